@@ -18,12 +18,14 @@ from posttrend.schema import FEATURES, LANDED, LINEAR_FEATURES, SNAPSHOT, TREE_F
 from posttrend.session import cut_lineage, fresh_path
 from posttrend.sources import registry
 from posttrend.sources.events import (
+    EVENTS,
     event_listing,
     event_snapshots,
     hot_snapshots,
     labelled_posts,
     proxy_scored,
     read_events,
+    zoned,
 )
 from posttrend.streaming.features import stream_snapshots
 from posttrend.streaming.scoring import run_scoring, write_feature_updates
@@ -59,16 +61,6 @@ HIST_WIDTHS = {c: 100.0 for c in feature_columns() if "Score2" in c or "Score4"
     "maxScoreGrowth21_40m41_60m": 0.5,
     "maxNumCommentsGrowth21_40m41_60m": 0.5,
 }
-EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
 
 QUERIES: dict[str, Query] = {}
 
@@ -76,10 +68,13 @@ QUERIES: dict[str, Query] = {}
 def plain(df: DataFrame) -> DataFrame:
     """Output types that compare across engines: zone-less timestamps, no 32-bit floats."""
     casts = {T.TimestampType: "timestamp_ntz", T.FloatType: "double"}
-    return df.select(
+    fields = df.schema.fields
+    if not any(type(f.dataType) in casts for f in fields):
+        return df
+    return df.selectExpr(
         *[
-            F.col(f"`{f.name}`").cast(casts[type(f.dataType)]).alias(f.name) if type(f.dataType) in casts else F.col(f"`{f.name}`")
-            for f in df.schema.fields
+            f"cast(`{f.name}` AS {casts[type(f.dataType)]}) AS `{f.name}`" if type(f.dataType) in casts else f"`{f.name}`"
+            for f in fields
         ]
     )
 
@@ -97,7 +92,7 @@ def query(name: str):
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.withColumns({n: F.expr(f"round(`{n}`, 6)") for n in names})
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -590,7 +585,7 @@ def _(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     events = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet")
-    return event_snapshots(events.withColumn("ts", F.col("ts").cast("timestamp")))
+    return event_snapshots(zoned(events))
 
 
 @query("stream_snapshots")

@@ -31,15 +31,15 @@ def map_value_sum(counts: Column) -> Column:
     return F.aggregate(F.map_values(counts), F.lit(0), lambda acc, n: acc + F.coalesce(n, F.lit(0)))
 
 
-def max_between(age: Column, value: Column, low: int | None, high: int) -> Column:
+def max_between(age: str, value: str, low: int | None, high: int, name: str) -> Column:
     """Largest ``value`` seen at an age in [low, high]; NULL when no snapshot falls in there."""
-    inside = age <= high if low is None else age.between(low, high)
-    return F.max(F.when(inside, value))
+    inside = f"`{age}` <= {high}" if low is None else f"`{age}` BETWEEN {low} AND {high}"
+    return F.expr(f"max(CASE WHEN {inside} THEN `{value}` END) AS `{name}`")
 
 
-def growth(later: Column, earlier: Column) -> Column:
+def growth(later: str, earlier: str, name: str) -> Column:
     """Relative growth, NULL when either side is NULL or the base is zero."""
-    return F.try_divide(later - earlier, earlier)
+    return F.expr(f"try_divide(`{later}` - `{earlier}`, `{earlier}`) AS `{name}`")
 
 
 def local_hour(ts: Column, zone: str) -> Column:
@@ -61,5 +61,6 @@ def hash_fraction(*parts: Column | int | str) -> Column:
     return F.conv(F.substring(row_hash(*parts), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def to_double(*names: str) -> list[Column]:
-    return [F.col(n).cast("double").alias(n) for n in names]
+def to_double(*names: str) -> list[str]:
+    """Cast expressions for ``selectExpr``."""
+    return [f"cast(`{n}` AS double) AS `{n}`" for n in names]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posttrend.operators.ranking import SLICES, quantiles_wide, running_counts, value_counts
@@ -19,20 +19,18 @@ def quantiles(
     """Exact quantiles with linear interpolation, one row per (group,) quantile."""
     by = list(by or [])
     wide = quantiles_wide(df, col, qs, by, slices)
-    rows = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col("quantiles")[i].alias("value")) for i, q in enumerate(qs)])
-    return wide.select(*by, F.inline(rows))
+    return wide.selectExpr(*by, f"inline({_long(qs, 'quantiles')})")
 
 
-def approx_quantiles(df: DataFrame, col: str, qs: list[float], accuracy: int = 10000) -> DataFrame:
-    """Sketch quantiles in one pass, for a quick look at very large score tables."""
-    wide = df.agg(F.percentile_approx(col, F.array(*[F.lit(float(q)) for q in qs]), F.lit(accuracy)).alias("_qs"))
-    rows = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col("_qs")[i].alias("value")) for i, q in enumerate(qs)])
-    return wide.select(F.inline(rows))
+def _long(qs: list[float], array: str) -> str:
+    """(q, value) structs from an array in the order of ``qs``."""
+    return "array(" + ", ".join(f"struct({float(q)!r}D AS q, {array}[{i}] AS value)" for i, q in enumerate(qs)) + ")"
 
 
-def _at_or_above(threshold: Column) -> tuple[Column, Column]:
-    above = F.col("value") >= threshold
-    return F.sum(F.when(above, F.col("n"))), F.sum(F.when(above, F.col("tp")))
+def approx_quantiles(df: DataFrame, col: str, qs: list[float], accuracy: int = 10000) -> DataFrame:
+    """Sketch quantiles in one pass, for a quick look at very large score tables."""
+    wide = df.select(F.percentile_approx(col, [float(q) for q in qs], accuracy).alias("quantiles"))
+    return wide.selectExpr(f"inline({_long(qs, 'quantiles')})")
 
 
 def pr_at_quantiles(df: DataFrame, p: str, y: str, qs: list[float] | None = None) -> DataFrame:
@@ -42,24 +40,18 @@ def pr_at_quantiles(df: DataFrame, p: str, y: str, qs: list[float] | None = None
     single pass over the distinct scores.
     """
     qs = list(TOP_QUANTILES if qs is None else qs)
-    thresholds = quantiles_wide(df, p, qs).select("quantiles").scalar()
-    counts = value_counts(df.withColumn("_v", F.col(p).cast("double")), "_v", [], {"tp": F.col(y)})
-    counts = counts.withColumn("_t", thresholds)
+    scores = df.select(F.col(p).cast("double").alias("_v"), F.col(y).alias("_y"))
+    thresholds = quantiles_wide(scores, "_v", qs).select("quantiles").scalar()
+    counts = value_counts(scores, "_v", [], {"tp": F.col("_y")}).withColumn("_t", thresholds)
     measures = [F.sum("tp").alias("positives"), F.first("_t").alias("_t")]
     for i in range(len(qs)):
-        rows, hits = _at_or_above(F.col("_t")[i])
-        measures += [rows.alias(f"n{i}"), hits.alias(f"tp{i}")]
-    wide = counts.agg(*measures)
-    out = [
-        F.struct(
-            F.lit(float(q)).alias("q"),
-            F.col("_t")[i].alias("threshold"),
-            F.try_divide(F.col(f"tp{i}"), F.col(f"n{i}")).alias("precision"),
-            F.try_divide(F.col(f"tp{i}"), F.col("positives")).alias("recall"),
-        )
+        measures += [F.expr(f"sum(CASE WHEN value >= _t[{i}] THEN {c} END) AS {c}{i}") for c in ("n", "tp")]
+    rows = ", ".join(
+        f"struct({float(q)!r}D AS q, _t[{i}] AS threshold, try_divide(tp{i}, n{i}) AS precision,"
+        f" try_divide(tp{i}, positives) AS recall)"
         for i, q in enumerate(qs)
-    ]
-    return wide.select(F.inline(F.array(*out)))
+    )
+    return counts.agg(*measures).selectExpr(f"inline(array({rows}))")
 
 
 def top_share_metrics(df: DataFrame, p: str, y: str, q: float = 0.98) -> DataFrame:
@@ -69,29 +61,20 @@ def top_share_metrics(df: DataFrame, p: str, y: str, q: float = 0.98) -> DataFra
 
 def _curve(df: DataFrame, p: str, y: str, by: list[str], slices: int) -> DataFrame:
     """Totals at or above each distinct score, and strictly above it."""
-    scored = df.withColumn("_v", F.col(p).cast("double"))
-    ranked = running_counts(scored, "_v", by, {"tp": F.col(y)}, None, slices)
-    return ranked.select(
-        *by,
-        F.col("value"),
-        F.col("tp"),
-        (F.col("total_n") - F.col("cum_n")).alias("n_above"),
-        (F.col("total_tp") - F.col("cum_tp")).alias("tp_above"),
-        (F.col("total_n") - F.col("cum_n") + F.col("n")).alias("n_upto"),
-        (F.col("total_tp") - F.col("cum_tp") + F.col("tp")).alias("tp_upto"),
-        F.col("total_tp"),
-    )
+    scored = df.select(*by, F.col(p).cast("double").alias("_v"), F.col(y).alias("_y"))
+    ranked = running_counts(scored, "_v", by, {"tp": F.col("_y")}, None, slices)
+    above = [f"total_{c} - cum_{c} AS {c}_above" for c in ("n", "tp")]
+    upto = [f"total_{c} - cum_{c} + {c} AS {c}_upto" for c in ("n", "tp")]
+    return ranked.selectExpr(*by, "value", "tp", *above, *upto, "total_tp")
 
 
 def pr_curve(df: DataFrame, p: str, y: str, slices: int = SLICES) -> DataFrame:
     """One point per distinct score, and the anchor (recall 0, precision 1) with no threshold."""
-    points = _curve(df, p, y, [], slices).select(
-        F.col("value").alias("threshold"),
-        F.try_divide(F.col("tp_upto"), F.col("n_upto")).alias("precision"),
-        F.try_divide(F.col("tp_upto"), F.col("total_tp")).alias("recall"),
+    points = _curve(df, p, y, [], slices).selectExpr(
+        "value AS threshold", "try_divide(tp_upto, n_upto) AS precision", "try_divide(tp_upto, total_tp) AS recall"
     )
-    anchor = df.sparkSession.range(1).select(
-        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    anchor = df.sparkSession.range(1).selectExpr(
+        "cast(NULL AS double) AS threshold", "1.0D AS precision", "0.0D AS recall"
     )
     return points.unionByName(anchor)
 
@@ -117,10 +100,8 @@ def auc_pr(
             df = df.join(limits, by).where(F.col(p) >= F.col("_floor")).drop("_floor")
         else:
             df = df.where(F.col(p) >= floor_of.select(F.col("quantiles")[0]).scalar())
-    here = F.try_divide(F.col("tp_upto"), F.col("n_upto"))
-    left = F.coalesce(F.try_divide(F.col("tp_above"), F.col("n_above")), F.lit(1.0))
-    width = F.try_divide(F.col("tp"), F.col("total_tp"))
-    return _curve(df, p, y, by, slices).groupBy(*by).agg(F.sum(width * (here + left) / 2).alias("aucpr"))
+    area = "try_divide(tp, total_tp) * (try_divide(tp_upto, n_upto) + coalesce(try_divide(tp_above, n_above), 1.0D)) / 2"
+    return _curve(df, p, y, by, slices).groupBy(*by).agg(F.expr(f"sum({area}) AS aucpr"))
 
 
 def pr_at_threshold(df: DataFrame, p: str, y: str, threshold: float, by: list[str] | None = None) -> DataFrame:

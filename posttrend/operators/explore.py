@@ -13,7 +13,7 @@ from posttrend.operators.ranking import quantiles_wide
 
 def long_features(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
     """(by, feature, value) rows; the features become doubles first so they share a column."""
-    return df.select(by, *to_double(*cols)).unpivot([by], cols, "feature", "value")
+    return df.selectExpr(by, *to_double(*cols)).unpivot([by], cols, "feature", "value")
 
 
 def describe_by(df: DataFrame, by: str, cols: list[str]) -> DataFrame:

@@ -22,18 +22,18 @@ def post_features(
     edited title starts a row of its own because the title is part of the key.
     """
     labels = bucket_labels(edges)
-    age = F.col("timeElapsedMin")
+    age = "timeElapsedMin"
     maxima = [
-        max_between(age, F.col(metric), low, high).alias(feature_name(metric, label))
+        max_between(age, metric, low, high, feature_name(metric, label))
         for metric in metrics
         for low, high, label in labels
     ]
-    rows = snapshots.groupBy(*POST_KEY).agg(F.max(age).alias("timeElapsedMin"), *maxima)
+    rows = snapshots.groupBy(*POST_KEY).agg(F.max(age).alias(age), *maxima)
     if len(labels) < 2:
         return rows
     earlier, later = labels[-2][2], labels[-1][2]
     ratios = [
-        growth(F.col(feature_name(m, later)), F.col(feature_name(m, earlier))).alias(growth_name(m, earlier, later))
+        growth(feature_name(m, later), feature_name(m, earlier), growth_name(m, earlier, later))
         for m in GROWTH_METRICS
         if m in metrics
     ]

@@ -109,12 +109,10 @@ def linear_weights(model: PipelineModel) -> tuple[dict[str, float], float]:
 
 def attribution_rows(df: DataFrame, weights: dict[str, float], keep: list[str]) -> DataFrame:
     """Contribution of every feature to every row's log-odds: weight times distance from the mean."""
-    means = df.agg(*[F.avg(f).alias(f) for f in weights]).select(F.struct("*")).scalar()
-    packed = df.withColumn("_means", means)
-    parts = [
-        (F.lit(float(w)) * (F.col(f).cast("double") - F.col("_means")[f])).alias(f) for f, w in weights.items()
-    ]
-    return packed.select(*keep, *parts).unpivot(keep, list(weights), "feature", "attribution")
+    means = df.agg(*[F.expr(f"avg(`{f}`) AS `{f}`") for f in weights]).select(F.struct("*")).scalar()
+    parts = [f"{float(w)!r}D * (cast(`{f}` AS double) - _means.`{f}`) AS `{f}`" for f, w in weights.items()]
+    packed = df.withColumn("_means", means).selectExpr(*keep, *parts)
+    return packed.unpivot(keep, list(weights), "feature", "attribution")
 
 
 def linear_attribution(df: DataFrame, weights: dict[str, float], by: str = "target") -> DataFrame:

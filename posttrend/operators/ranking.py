@@ -8,9 +8,7 @@ happens within a slice only; what lies before a slice is added as an offset.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICES = 256
@@ -28,8 +26,8 @@ def value_counts(df: DataFrame, value: str, by: list[str], sums: dict[str, Colum
 
 def _slice_stats(counts: DataFrame, by: list[str], names: list[str], slices: int) -> DataFrame:
     """Cut points and totals per group; every column of ``counts`` is used so its shuffle is shared."""
-    probs = F.array(*[F.lit((i + 1) / slices) for i in range(slices - 1)])
-    cuts = F.percentile_approx("value", probs, F.lit(20 * slices)).alias("cuts")
+    probs = ", ".join(f"{(i + 1) / slices!r}D" for i in range(slices - 1))
+    cuts = F.expr(f"percentile_approx(value, array({probs}), {20 * slices}) AS cuts")
     return counts.groupBy(*by).agg(cuts, *[F.sum(c).alias(f"total_{c}") for c in names])
 
 
@@ -38,54 +36,47 @@ def running_counts(
     value: str,
     by: list[str] | None = None,
     sums: dict[str, Column] | None = None,
-    needed: Callable[[Column, Column, Column], Column] | None = None,
+    needed: str | None = None,
     slices: int = SLICES,
 ) -> DataFrame:
     """Distinct values with running totals in ascending order of value.
 
     Columns: ``by``, ``value``, ``n`` and each named sum, ``cum_*`` (this value
-    included) and ``total_*`` for all of them.  ``needed(before, inside, total)``
-    picks the slices worth ranking from the row numbers they cover; the rows of
-    the others are dropped before the sort.
+    included) and ``total_*`` for all of them.  ``needed`` is a condition on the
+    row numbers a slice covers (``before_n``, ``size_n``, ``total_n``); the rows
+    of slices that do not meet it are dropped before the sort.
     """
     by, sums = list(by or []), dict(sums or {})
     names = ["n", *sums]
     counts = value_counts(df, value, by, sums)
     stats = _slice_stats(counts, by, names, slices)
-    slice_of = lambda cuts: F.size(F.filter(cuts, lambda c: c < F.col("value")))
     totals = [f"total_{c}" for c in names]
     if by:
-        sliced = counts.join(stats, by).withColumn("slice", slice_of(F.col("cuts"))).drop("cuts")
+        sliced = counts.join(stats, by).selectExpr(
+            *counts.columns, "size(filter(cuts, c -> c < value)) AS slice", *totals
+        )
     else:
-        packed = stats.select(F.struct("*")).scalar()
-        sliced = counts.withColumn("_s", packed).select(
-            *counts.columns, slice_of(F.col("_s.cuts")).alias("slice"), *[F.col(f"_s.{t}").alias(t) for t in totals]
+        sliced = counts.withColumn("_s", stats.select(F.struct("*")).scalar()).selectExpr(
+            *counts.columns, "size(filter(_s.cuts, c -> c < value)) AS slice", *[f"_s.{t}" for t in totals]
         )
     # At most ``slices`` rows per group from here to the join.
     sizes = sliced.groupBy(*by, "slice").agg(
-        *[F.sum(c).alias(f"size_{c}") for c in names], F.max("total_n").alias("total_n")
+        *[F.expr(f"sum({c}) AS size_{c}") for c in names], F.max("total_n").alias("total_n")
     )
-    before = Window.partitionBy(*by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *by,
-        "slice",
-        *[F.coalesce(F.sum(f"size_{c}").over(before), F.lit(0)).alias(f"before_{c}") for c in names],
-        "size_n",
-        "total_n",
+    groups = f"PARTITION BY {', '.join(by)} " if by else ""
+    before = f"OVER ({groups}ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = sizes.selectExpr(
+        *by, "slice", *[f"coalesce(sum(size_{c}) {before}, 0) AS before_{c}" for c in names], "size_n", "total_n"
     )
     if needed is not None:
-        offsets = offsets.where(needed(F.col("before_n"), F.col("size_n"), F.col("total_n")))
+        offsets = offsets.where(needed)
     offsets = offsets.drop("size_n", "total_n")
     # Without groups the offsets are ``slices`` rows at most, whatever the data; with
     # groups their number is the caller's, so the measured size decides.
     ranked = sliced.join(offsets if by else F.broadcast(offsets), [*by, "slice"])
-    upto = Window.partitionBy(*by, "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return ranked.select(
-        *by,
-        "value",
-        *names,
-        *[(F.col(f"before_{c}") + F.sum(c).over(upto)).alias(f"cum_{c}") for c in names],
-        *totals,
+    upto = f"OVER (PARTITION BY {', '.join([*by, 'slice'])} ORDER BY value ROWS UNBOUNDED PRECEDING)"
+    return ranked.selectExpr(
+        *by, "value", *names, *[f"before_{c} + sum({c}) {upto} AS cum_{c}" for c in names], *totals
     )
 
 
@@ -94,27 +85,14 @@ def quantiles_wide(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per group with an array in the order of ``qs``."""
     by = list(by or [])
-    position = lambda q, total: (total - F.lit(1)) * F.lit(float(q))
-
-    def holds_a_rank(before: Column, inside: Column, total: Column) -> Column:
-        hits = F.lit(False)
-        for q in qs:
-            low, high = F.floor(position(q, total)), F.ceil(position(q, total))
-            hits = hits | ((high >= before) & (low < before + inside))
-        return hits
-
-    ranked = running_counts(df.withColumn("_v", F.col(value).cast("double")), "_v", by, None, holds_a_rank, slices)
-    at = lambda rank: F.min(F.when(F.col("cum_n") > rank, F.col("value")))
-    total = F.col("total_n")
+    at = [f"(total_n - 1) * {float(q)!r}D" for q in qs]
+    holds_a_rank = " OR ".join(f"(ceil({h}) >= before_n AND floor({h}) < before_n + size_n)" for h in at)
+    doubles = df.select(*by, F.col(value).cast("double").alias("_v"))
+    ranked = running_counts(doubles, "_v", by, None, holds_a_rank, slices)
     ends = []
-    for i, q in enumerate(qs):
-        ends += [
-            at(F.floor(position(q, total))).alias(f"lo{i}"),
-            at(F.ceil(position(q, total))).alias(f"hi{i}"),
-        ]
+    for i, h in enumerate(at):
+        ends.append(F.expr(f"min(CASE WHEN cum_n > floor({h}) THEN value END) AS lo{i}"))
+        ends.append(F.expr(f"min(CASE WHEN cum_n > ceil({h}) THEN value END) AS hi{i}"))
     found = ranked.groupBy(*by).agg(*ends, F.max("total_n").alias("total_n"))
-    parts = []
-    for i, q in enumerate(qs):
-        share = position(q, total) - F.floor(position(q, total))
-        parts.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * share)
-    return found.select(*by, F.array(*parts).alias("quantiles"))
+    parts = ", ".join(f"lo{i} + (hi{i} - lo{i}) * ({h} - floor({h}))" for i, h in enumerate(at))
+    return found.selectExpr(*by, f"array({parts}) AS quantiles")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +13,8 @@ ALERT_FOOTER = "threshold = %.4f"
 
 
 def linear_margin(weights: dict[str, float], intercept: float) -> Column:
-    terms = [F.col(name).cast("double") * F.lit(float(w)) for name, w in weights.items()]
-    return reduce(lambda a, b: a + b, terms, F.lit(float(intercept)))
+    terms = [f"cast(`{name}` AS double) * {float(w)!r}D" for name, w in weights.items()]
+    return F.expr(" + ".join([f"{float(intercept)!r}D", *terms]))
 
 
 def score_linear(

@@ -17,30 +17,36 @@ from posttrend.operators.scoring import mark_step_up
 HOT_PER_DAY = 3
 
 
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return zoned(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+
+
+def zoned(events: DataFrame) -> DataFrame:
+    """The log's zone-less times are UTC."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def event_snapshots(events: DataFrame) -> DataFrame:
     """Snapshots with the event id kept as a tie-breaker."""
-    ts = F.col("ts")
-    load = F.date_trunc("second", ts)
-    return events.select(
-        F.col("event_id"),
-        F.to_date(ts).alias("loadDateUTC"),
-        F.date_format(ts, "HH:mm:ss").alias("loadTimeUTC"),
-        load.alias("loadTSUTC"),
-        F.concat_ws("-", "event_type", F.date_format(ts, "yyyyMMddHH")).alias("postId"),
-        F.col("event_type").alias("subreddit"),
-        (F.col("user_id") * 1000).cast("int").alias("subscribers"),
-        F.col("user_id").cast("int").alias("activeUsers"),
-        F.concat(F.lit("post "), F.col("event_type")).alias("title"),
-        F.date_trunc("hour", ts).alias("createdTSUTC"),
-        F.minute(ts).alias("timeElapsedMin"),
-        F.floor(F.col("value") * 10).cast("int").alias("score"),
-        F.get_json_object("props", "$.k").cast("int").alias("numComments"),
-        ((F.col("user_id") % 100) / F.lit(100.0)).alias("upvoteRatio"),
-        (F.col("event_id") % 3).cast("int").alias("numGildings"),
+    return events.selectExpr(
+        "event_id",
+        "to_date(ts) AS loadDateUTC",
+        "date_format(ts, 'HH:mm:ss') AS loadTimeUTC",
+        "date_trunc('second', ts) AS loadTSUTC",
+        "concat_ws('-', event_type, date_format(ts, 'yyyyMMddHH')) AS postId",
+        "event_type AS subreddit",
+        "cast(user_id * 1000 AS int) AS subscribers",
+        "cast(user_id AS int) AS activeUsers",
+        "concat('post ', event_type) AS title",
+        "date_trunc('hour', ts) AS createdTSUTC",
+        "minute(ts) AS timeElapsedMin",
+        "cast(floor(value * 10) AS int) AS score",
+        "cast(get_json_object(props, '$.k') AS int) AS numComments",
+        "(user_id % 100) / 100.0D AS upvoteRatio",
+        "cast(event_id % 3 AS int) AS numGildings",
     )
 
 
@@ -53,25 +59,22 @@ def hot_snapshots(snapshots: DataFrame) -> DataFrame:
 
 def event_listing(events: DataFrame) -> DataFrame:
     """Raw feed items, fetched hourly, some pinned, some old."""
-    ts, id_ = F.col("ts"), F.col("event_id")
-    aged = F.unix_timestamp(F.date_trunc("minute", ts)) - (F.col("user_id") % 4) * 600
-    return events.select(
-        F.col("event_type").alias("subreddit"),
-        F.when(id_ % 3 == 0, F.lit("hot")).otherwise(F.lit("rising")).alias("view"),
-        id_.alias("rank"),
-        (id_ % 11 == 0).alias("stickied"),
-        (aged - F.when(id_ % 17 == 0, F.lit(86400)).otherwise(F.lit(0))).cast("double").alias("created_utc"),
-        F.concat_ws("-", F.col("event_type"), id_.cast("string")).alias("id"),
-        F.concat(F.lit("post "), F.col("event_type")).alias("title"),
-        F.floor(F.col("value") * 10).cast("int").alias("score"),
-        F.get_json_object("props", "$.k").cast("int").alias("num_comments"),
-        ((F.col("user_id") % 100) / F.lit(100.0)).alias("upvote_ratio"),
-        F.create_map(
-            F.lit("silver"), (id_ % 3).cast("int"), F.lit("gold"), (F.col("user_id") % 2).cast("int")
-        ).alias("gildings"),
-        (F.col("user_id") * 1000).cast("int").alias("subscribers"),
-        F.col("user_id").cast("int").alias("accounts_active"),
-        (F.date_trunc("hour", ts) + F.expr("interval 1 hour")).alias("fetched_at"),
+    created = "unix_timestamp(date_trunc('minute', ts)) - (user_id % 4) * 600 - if(event_id % 17 = 0, 86400, 0)"
+    return events.selectExpr(
+        "event_type AS subreddit",
+        "if(event_id % 3 = 0, 'hot', 'rising') AS view",
+        "event_id AS rank",
+        "event_id % 11 = 0 AS stickied",
+        f"cast({created} AS double) AS created_utc",
+        "concat_ws('-', event_type, cast(event_id AS string)) AS id",
+        "concat('post ', event_type) AS title",
+        "cast(floor(value * 10) AS int) AS score",
+        "cast(get_json_object(props, '$.k') AS int) AS num_comments",
+        "(user_id % 100) / 100.0D AS upvote_ratio",
+        "map('silver', cast(event_id % 3 AS int), 'gold', cast(user_id % 2 AS int)) AS gildings",
+        "cast(user_id * 1000 AS int) AS subscribers",
+        "cast(user_id AS int) AS accounts_active",
+        "date_trunc('hour', ts) + interval 1 hour AS fetched_at",
     )
 
 
