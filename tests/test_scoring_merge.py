@@ -1,0 +1,166 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from posttrend.operators import merge, scoring
+from posttrend.plans import live, monitoring
+from posttrend.schema import SCORED, SNAPSHOT
+from posttrend.sources.tables import append_scored, read_scored, read_scored_batch
+
+DAY = dt.datetime(2024, 1, 5, 10, 0)
+
+
+def scored_rows(spark, data, created=DAY):
+    """(postId, probability, stepUp) as rows of the scored table."""
+    base = spark.createDataFrame(data, "postId string, predict_proba_1 double, stepUp int")
+    fill = {f.name: F.lit(None).cast(f.dataType) for f in SCORED.fields}
+    fill |= {"subreddit": F.lit("pics"), "title": F.lit("t"), "createdTSUTC": F.lit(created), "modelName": F.lit("m")}
+    fill |= {"timeElapsedMin": F.lit(55), "maxScore41_60m": F.lit(21), "maxNumComments41_60m": F.lit(4)}
+    fill |= {c: F.col(c) for c in base.columns}
+    return base.select(*[fill[f.name].cast(f.dataType).alias(f.name) for f in SCORED.fields])
+
+
+def test_linear_score(spark):
+    frame = spark.createDataFrame([(2, 1.0)], "a int, b double")
+    p = scoring.score_linear(frame, {"a": 0.5, "b": -0.25}, -1.0).first().predict_proba_1
+    assert p == pytest.approx(1 / (1 + math.exp(0.25)))
+
+
+def test_step_up_is_inclusive(spark, rows):
+    frame = spark.createDataFrame([(0.2,), (0.3,), (0.4,)], "predict_proba_1 double")
+    assert rows(scoring.mark_step_up(frame, 0.3), "stepUp") == [(0,), (1,), (1,)]
+    assert rows(scoring.mark_step_up(frame), "stepUp") == [(1,), (1,), (1,)]
+
+
+def test_already_alerted(spark, rows):
+    prior = scored_rows(spark, [("a", 0.9, 1), ("b", 0.9, 1), ("c", 0.1, 0)])
+    new = scored_rows(spark, [("a", 0.9, 1), ("b", 0.1, 0), ("c", 0.9, 1), ("d", 0.9, 1)])
+    kept = scoring.drop_already_alerted(new, prior)
+    assert rows(kept, "postId") == [("b",), ("c",), ("d",)]
+
+
+def test_post_may_alert_again_after_a_reset(spark, rows):
+    table = scored_rows(spark, [("a", 0.9, 1)])
+    calm = scoring.drop_already_alerted(scored_rows(spark, [("a", 0.1, 0)]), table)
+    table = merge.upsert(table, calm, ["postId"])
+    assert rows(table, "stepUp") == [(0,)]
+    again = scoring.drop_already_alerted(scored_rows(spark, [("a", 0.8, 1)]), table)
+    assert again.count() == 1
+
+
+def test_alert_text(spark):
+    row = scoring.alert_messages(scored_rows(spark, [("abc", 0.45678, 1), ("no", 0.1, 0)]), 0.29412).collect()
+    assert len(row) == 1
+    assert row[0].message == (
+        "  https://reddit.com/abc\n    score=0.4568\n    :arrow_up: 21 | :speech_balloon: 4 | :clock10: 55"
+    )
+    assert (row[0].header, row[0].footer) == ("Found potentially viral post(s):", "threshold = 0.2941")
+
+
+def test_upsert(spark, rows):
+    make = lambda data: spark.createDataFrame(data, "k int, v string")
+    old, new = make([(1, "a"), (2, "b")]), make([(2, "B"), (3, "C")])
+    once = merge.upsert(old, new, ["k"])
+    assert rows(once) == [(1, "a"), (2, "B"), (3, "C")]
+    assert rows(merge.upsert(once, new, ["k"])) == rows(once)
+    assert rows(merge.upsert(old, make([]), ["k"])) == rows(old)
+    assert rows(merge.upsert(merge.empty_like(spark, old.schema), new, ["k"])) == rows(new)
+
+
+def test_upsert_composite_key_and_partial_columns(spark, rows):
+    old = spark.createDataFrame(
+        [(1, "x", "ann", 20), (1, "y", "bob", 30), (2, "x", "cyd", 40)], "id1 long, id2 string, name string, age long"
+    )
+    new = spark.createDataFrame([(1, "x", "ANN"), (9, "z", "new")], "id1 long, id2 string, name string")
+    assert rows(merge.upsert(old, new, ["id1", "id2"])) == [
+        (1, "x", "ANN", 20), (1, "y", "bob", 30), (2, "x", "cyd", 40), (9, "z", "new", None),
+    ]
+
+
+def test_upsert_refuses_unknown_columns(spark):
+    old = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError):
+        merge.upsert(old, spark.createDataFrame([(1, 2)], "k int, extra int"), ["k"])
+
+
+def test_delete_by_key(spark, rows):
+    data = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "a int, b int")
+    assert rows(merge.delete_by_key(data, data.where("a = 1 AND b = 2"), ["a", "b"])) == [(1, 1), (2, 1)]
+    assert rows(merge.delete_by_key(data, data.where("false"), ["a", "b"])) == rows(data)
+
+
+def test_ensure_columns(spark):
+    data = spark.createDataFrame([(1,)], "a int")
+    out = merge.ensure_columns(data, {"a": "string", "b": "double"})
+    assert dict(out.dtypes) == {"a": "int", "b": "double"}
+    assert merge.ensure_columns(out, {"b": "double"}).columns == out.columns
+
+
+def test_union_and_flatten(spark, rows):
+    data = spark.createDataFrame([(1,)], "a int")
+    assert rows(merge.union_all([data, data], spark, data.schema)) == [(1,), (1,)]
+    assert merge.union_all([], spark, data.schema).count() == 0
+    nested = spark.createDataFrame([(1, [[1, 2], [], [3]])], "k int, xs array<array<int>>")
+    assert rows(merge.flatten_items(nested, "xs")) == [(1, 1), (1, 2), (1, 3)]
+    assert rows(merge.flatten_items(nested.select("k", F.flatten("xs").alias("xs")), "xs")) == [(1, 1), (1, 2), (1, 3)]
+
+
+def test_scored_log_keeps_the_newest_row(spark, tmp_path, rows):
+    path = str(tmp_path / "scored")
+    append_scored(scored_rows(spark, [("a", 0.9, 1), ("b", 0.2, 0)]), path, 0)
+    append_scored(scored_rows(spark, [("a", 0.1, 0), ("c", 0.2, 0)]), path, 1)
+    append_scored(scored_rows(spark, [("a", 0.1, 0), ("c", 0.3, 0)]), path, 1)  # replay
+    assert rows(read_scored(spark, path), "postId", "predict_proba_1") == [("a", 0.1), ("b", 0.2), ("c", 0.3)]
+    assert rows(read_scored(spark, path, before_batch=1), "postId") == [("a",), ("b",)]
+    assert rows(read_scored_batch(spark, path, 1), "postId") == [("a",), ("c",)]
+    assert read_scored(spark, path, since=DAY.date() + dt.timedelta(days=1)).count() == 0
+
+
+def _snapshots(spark, scores):
+    data = [
+        (DAY.date(), "10:50:00", DAY + dt.timedelta(minutes=50), p, "pics", 1, 1, "t", DAY, 50, s, 3, 0.5, 0)
+        for p, s in scores.items()
+    ]
+    return spark.createDataFrame(data, SNAPSHOT)
+
+
+def test_scoring_runs_end_to_end(spark, tmp_path, rows):
+    scored, alerts = str(tmp_path / "scored"), str(tmp_path / "alerts")
+    scorer = lambda df: scoring.score_linear(df, {"maxScore41_60m": 0.1}, -5.0)
+    run = lambda scores, batch: live.run_once(
+        _snapshots(spark, scores), scorer, "m", 0.5, scored, alerts, DAY + dt.timedelta(minutes=60), batch
+    )
+    assert run({"a": 100, "b": 1}, 0)
+    assert rows(spark.read.parquet(alerts), "postId") == [("a",)]
+    assert run({"a": 100, "b": 1}, 0)  # a repeat of the same run changes nothing
+    assert rows(spark.read.parquet(alerts), "postId") == [("a",)]
+    assert run({"a": 120, "b": 90}, 1)
+    assert rows(spark.read.parquet(alerts), "postId", "batch") == [("a", 0), ("b", 1)]
+    assert rows(read_scored(spark, scored), "postId", "stepUp") == [("a", 1), ("b", 1)]
+    assert not run({}, 2)
+    assert not run({"a": 120}, 3)  # alerted and unchanged: nothing to store
+
+
+def test_monitoring_report(spark):
+    as_of = DAY + dt.timedelta(days=1)
+    scored = scored_rows(spark, [("hit", 0.9, 1), ("false", 0.9, 1), ("missed", 0.1, 0)])
+    hot = _snapshots(spark, {"hit": 15000, "missed": 50, "unseen": 20000})
+    labels = {r.postId: r for r in monitoring.recent_labels(scored, hot, as_of).collect()}
+    assert (labels["hit"].stepUpHotPost, labels["hit"].stepUpHotPost10k) == (1, 1)
+    assert (labels["missed"].hotPost, labels["missed"].hotPost10k) == (1, 0)
+    assert (labels["unseen"].stepUp, labels["unseen"].coalesceSubreddit) == (0, "pics")
+    row = monitoring.report(scored, hot, as_of).first()
+    assert (row.recall_hotPost, row.precision_hotPost) == (pytest.approx(1 / 3), 0.5)
+    assert (row.recall_hotPost10k, row.precision_hotPost10k) == (0.5, 0.5)
+
+
+def test_monitoring_without_positives_gives_null_last(spark):
+    from posttrend.operators.monitor import FLAG_COLUMNS, metrics_long, precision_recall_by, ranked_metrics
+
+    data = spark.createDataFrame([("quiet", 0, 0, 0, 0, 0), ("busy", 1, 1, 1, 1, 1)], ["coalesceSubreddit", *FLAG_COLUMNS])
+    metrics = precision_recall_by(data)
+    assert [r.coalesceSubreddit for r in ranked_metrics(metrics).collect()] == ["busy", "quiet"]
+    assert metrics.where("coalesceSubreddit = 'quiet'").first().recall_hotPost is None
+    assert metrics_long(metrics, "hotPost").count() == 4
