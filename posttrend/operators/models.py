@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from posttrend.operators.evaluate import auc_pr, value_counts
 from posttrend.operators.ranking import quantiles_wide
+from posttrend.session import cut_lineage
 
 VECTOR = "_features"
 
@@ -183,7 +184,8 @@ def grid_search(
     jobs = [(combo, split) for combo in range(len(combos)) for split in sorted(sizes)]
     with ThreadPoolExecutor(parallelism) as pool:
         scored = reduce(DataFrame.unionByName, pool.map(run, jobs))
-    metrics = _fold_metrics(scored, ["combo", "split"], y, q, top)
+    # The metrics read the scores several times, and callers the metrics; neither should refit or rescore.
+    metrics = cut_lineage(_fold_metrics(cut_lineage(scored), ["combo", "split"], y, q, top))
     params = splits.sparkSession.createDataFrame(
         [(i, *[float(v) for v in c.values()]) for i, c in enumerate(combos)],
         "combo int, " + ", ".join(f"`{name}` double" for name in grid),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import posixpath
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,13 @@ def save_model(model: PipelineModel, root: str, name: str) -> str:
 
 def list_models(spark: SparkSession, root: str, prefix: str = PREFIX) -> DataFrame:
     """Names of the complete models below ``root``, read off their metadata files."""
-    files = spark.read.text(posixpath.join(root, f"{prefix}*", "metadata")).select(F.col("_metadata.file_path").alias("f"))
+    try:
+        files = spark.read.text(posixpath.join(root, f"{prefix}*", "metadata"))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no model named {prefix}* in {root}") from error
+        raise
+    files = files.select(F.col("_metadata.file_path").alias("f"))
     return files.select(F.element_at(F.split("f", "/"), -3).alias("name")).distinct()
 
 
@@ -36,6 +43,4 @@ def latest_name(models: DataFrame, prefix: str = PREFIX) -> DataFrame:
 
 def load_latest(spark: SparkSession, root: str, prefix: str = PREFIX) -> tuple[PipelineModel, str]:
     name = latest_name(list_models(spark, root, prefix), prefix).first()["name"]
-    if name is None:
-        raise FileNotFoundError(f"no model named {prefix}* in {root}")
     return PipelineModel.load(posixpath.join(root, name)), name
