@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posttrend.operators.ranking import SLICES, quantiles_wide, running_counts, value_counts
+from posttrend.operators.ranking import (
+    SLICES,
+    at_or_above,
+    interpolated,
+    position,
+    quantile_ends,
+    quantiles_wide,
+    running_counts,
+)
 from posttrend.operators.scoring import post_link
 
 # The quantiles the review plots use.  The last one is 1.0: stepping
@@ -33,25 +41,36 @@ def approx_quantiles(df: DataFrame, col: str, qs: list[float], accuracy: int = 1
     return wide.selectExpr(f"inline({_long(qs, 'quantiles')})")
 
 
-def pr_at_quantiles(df: DataFrame, p: str, y: str, qs: list[float] | None = None) -> DataFrame:
-    """Precision and recall of the rows at or above each score quantile.
+def running_scores(
+    df: DataFrame, p: str, y: str, by: list[str] | None = None, min_quantile: float | None = None, slices: int = SLICES
+) -> DataFrame:
+    """Distinct scores with running row and positive counts, optionally of the top scores only.
 
-    The thresholds come in as one array value, and all of them are applied in a
-    single pass over the distinct scores.
+    Whether a score lies at or above a quantile shows in its running count, so the
+    top scores need no threshold to be looked up first.
     """
+    scores = df.select(*(by or []), F.col(p).cast("double").alias("_v"), F.col(y).alias("_y"))
+    needed = None if min_quantile is None else f"before_n + size_n > floor{position(min_quantile)}"
+    return running_counts(scores, "_v", by, {"tp": F.col("_y")}, needed, slices)
+
+
+def above_counts(q: float, tag: str) -> list[Column]:
+    """Aggregates over running scores: rows and positives at or above quantile ``q``."""
+    return [F.expr(f"sum(CASE WHEN {at_or_above(q)} THEN {c} END) AS {c}{tag}") for c in ("n", "tp")]
+
+
+def pr_at_quantiles(df: DataFrame, p: str, y: str, qs: list[float] | None = None, slices: int = SLICES) -> DataFrame:
+    """Threshold, precision and recall of the rows at or above each score quantile, in one pass."""
     qs = list(TOP_QUANTILES if qs is None else qs)
-    scores = df.select(F.col(p).cast("double").alias("_v"), F.col(y).alias("_y"))
-    thresholds = quantiles_wide(scores, "_v", qs).select("quantiles").scalar()
-    counts = value_counts(scores, "_v", [], {"tp": F.col("_y")}).withColumn("_t", thresholds)
-    measures = [F.sum("tp").alias("positives"), F.first("_t").alias("_t")]
-    for i in range(len(qs)):
-        measures += [F.expr(f"sum(CASE WHEN value >= _t[{i}] THEN {c} END) AS {c}{i}") for c in ("n", "tp")]
+    measures = [F.max("total_n").alias("total_n"), F.max("total_tp").alias("positives")]
+    for i, q in enumerate(qs):
+        measures += [*quantile_ends(q, str(i)), *above_counts(q, str(i))]
     rows = ", ".join(
-        f"struct({float(q)!r}D AS q, _t[{i}] AS threshold, try_divide(tp{i}, n{i}) AS precision,"
-        f" try_divide(tp{i}, positives) AS recall)"
+        f"struct({float(q)!r}D AS q, {interpolated(q, str(i))} AS threshold,"
+        f" try_divide(tp{i}, n{i}) AS precision, try_divide(tp{i}, positives) AS recall)"
         for i, q in enumerate(qs)
     )
-    return counts.agg(*measures).selectExpr(f"inline(array({rows}))")
+    return running_scores(df, p, y, min_quantile=min(qs), slices=slices).agg(*measures).selectExpr(f"inline(array({rows}))")
 
 
 def top_share_metrics(df: DataFrame, p: str, y: str, q: float = 0.98) -> DataFrame:
@@ -59,19 +78,17 @@ def top_share_metrics(df: DataFrame, p: str, y: str, q: float = 0.98) -> DataFra
     return pr_at_quantiles(df, p, y, [q])
 
 
-def _curve(df: DataFrame, p: str, y: str, by: list[str], slices: int) -> DataFrame:
-    """Totals at or above each distinct score, and strictly above it."""
-    scored = df.select(*by, F.col(p).cast("double").alias("_v"), F.col(y).alias("_y"))
-    ranked = running_counts(scored, "_v", by, {"tp": F.col("_y")}, None, slices)
-    above = [f"total_{c} - cum_{c} AS {c}_above" for c in ("n", "tp")]
-    upto = [f"total_{c} - cum_{c} + {c} AS {c}_upto" for c in ("n", "tp")]
-    return ranked.selectExpr(*by, "value", "tp", *above, *upto, "total_tp")
+# Totals at or above a distinct score, and strictly above it, from its running counts.
+_UPTO = {c: f"(total_{c} - cum_{c} + {c})" for c in ("n", "tp")}
+_ABOVE = {c: f"(total_{c} - cum_{c})" for c in ("n", "tp")}
 
 
 def pr_curve(df: DataFrame, p: str, y: str, slices: int = SLICES) -> DataFrame:
     """One point per distinct score, and the anchor (recall 0, precision 1) with no threshold."""
-    points = _curve(df, p, y, [], slices).selectExpr(
-        "value AS threshold", "try_divide(tp_upto, n_upto) AS precision", "try_divide(tp_upto, total_tp) AS recall"
+    points = running_scores(df, p, y, slices=slices).selectExpr(
+        "value AS threshold",
+        f"try_divide({_UPTO['tp']}, {_UPTO['n']}) AS precision",
+        f"try_divide({_UPTO['tp']}, total_tp) AS recall",
     )
     anchor = df.sparkSession.range(1).selectExpr(
         "cast(NULL AS double) AS threshold", "1.0D AS precision", "0.0D AS recall"
@@ -79,6 +96,19 @@ def pr_curve(df: DataFrame, p: str, y: str, slices: int = SLICES) -> DataFrame:
     return points.unionByName(anchor)
 
 
+def area_under_curve(name: str, min_quantile: float | None = None) -> Column:
+    """Aggregate over running scores: trapezoid area under the anchored precision-recall curve.
+
+    Each point holds the totals above it, so the trapezoid to its left needs no
+    look at the neighbouring row.  Leaving out low scores changes no such total.
+    """
+    here = f"try_divide({_UPTO['tp']}, {_UPTO['n']})"
+    left = f"coalesce(try_divide({_ABOVE['tp']}, {_ABOVE['n']}), 1.0D)"
+    kept = "true" if min_quantile is None else at_or_above(min_quantile)
+    area = f"sum(CASE WHEN {kept} THEN tp * ({here} + {left}) / 2 END)"
+    return F.expr(f"try_divide({area}, sum(CASE WHEN {kept} THEN tp END)) AS {name}")
+
+
 def auc_pr(
     df: DataFrame,
     p: str,
@@ -87,21 +117,9 @@ def auc_pr(
     by: list[str] | None = None,
     slices: int = SLICES,
 ) -> DataFrame:
-    """Trapezoid area under the anchored precision-recall curve, optionally of the top scores only.
-
-    Each point holds the totals above it, so the trapezoid to its left needs no
-    look at the neighbouring row.
-    """
+    """Area under the precision-recall curve, optionally of the scores at or above a quantile."""
     by = list(by or [])
-    if min_quantile is not None:
-        floor_of = quantiles_wide(df, p, [min_quantile], by, slices)
-        if by:
-            limits = floor_of.select(*by, F.col("quantiles")[0].alias("_floor"))
-            df = df.join(limits, by).where(F.col(p) >= F.col("_floor")).drop("_floor")
-        else:
-            df = df.where(F.col(p) >= floor_of.select(F.col("quantiles")[0]).scalar())
-    area = "try_divide(tp, total_tp) * (try_divide(tp_upto, n_upto) + coalesce(try_divide(tp_above, n_above), 1.0D)) / 2"
-    return _curve(df, p, y, by, slices).groupBy(*by).agg(F.expr(f"sum({area}) AS aucpr"))
+    return running_scores(df, p, y, by, min_quantile, slices).groupBy(*by).agg(area_under_curve("aucpr", min_quantile))
 
 
 def pr_at_threshold(df: DataFrame, p: str, y: str, threshold: float, by: list[str] | None = None) -> DataFrame:

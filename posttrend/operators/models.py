@@ -14,8 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from posttrend.operators.evaluate import auc_pr, value_counts
-from posttrend.operators.ranking import quantiles_wide
+from posttrend.operators.evaluate import above_counts, area_under_curve, running_scores
 from posttrend.session import cut_lineage
 
 VECTOR = "_features"
@@ -132,23 +131,19 @@ def expand_grid(grid: dict[str, list]) -> list[dict]:
 
 def _fold_metrics(scored: DataFrame, by: list[str], y: str, q: float, top: float) -> DataFrame:
     """Area under the PR curve, the same for the top scores, and precision and recall above quantile ``q``."""
-    p = "predict_proba_1"
-    counts = value_counts(scored, p, by, {"tp": F.col(y)})
-    limit = quantiles_wide(scored, p, [q], by).select(*by, F.col("quantiles")[0].alias("_limit"))
-    above = F.col("value") >= F.col("_limit")
-    sums = counts.join(limit, by).groupBy(*by).agg(
-        F.sum(F.when(above, F.col("n"))).alias("_n"),
-        F.sum(F.when(above, F.col("tp"))).alias("_tp"),
+    measures = running_scores(scored, "predict_proba_1", y, by).groupBy(*by).agg(
+        area_under_curve("aucpr"),
+        area_under_curve("top5Pctaucpr", top),
+        *above_counts(q, "_up"),
         F.sum("tp").alias("_all"),
     )
-    top_rows = sums.select(
+    return measures.selectExpr(
         *by,
-        F.try_divide("_tp", "_n").alias("top2PctPrecision"),
-        F.try_divide("_tp", "_all").alias("top2PctRecall"),
+        "aucpr",
+        "top5Pctaucpr",
+        "try_divide(tp_up, n_up) AS top2PctPrecision",
+        "try_divide(tp_up, _all) AS top2PctRecall",
     )
-    whole = auc_pr(scored, p, y, by=by)
-    part = auc_pr(scored, p, y, min_quantile=top, by=by).withColumnRenamed("aucpr", "top5Pctaucpr")
-    return top_rows.join(whole, by).join(part, by)
 
 
 def grid_search(

@@ -12,6 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICES = 256
+SALTS = 32
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, by: list[str], spread: str, salts: int = SALTS) -> DataFrame:
+    """Bring one-per-group facts to the rows of the group.
+
+    The facts are repeated per salt and the rows salted by a hash of ``spread``.
+    If the facts turn out small they are broadcast; if not, a group holding a
+    third of all rows is still spread over ``salts`` tasks, and what follows
+    cannot settle on one task per group.
+    """
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread_rows = rows.withColumn("_salt", F.expr(f"pmod(hash({spread}), {salts})"))
+    return spread_rows.join(salted, [*by, "_salt"]).drop("_salt")
 
 
 def value_counts(df: DataFrame, value: str, by: list[str], sums: dict[str, Column]) -> DataFrame:
@@ -27,7 +41,7 @@ def value_counts(df: DataFrame, value: str, by: list[str], sums: dict[str, Colum
 def _slice_stats(counts: DataFrame, by: list[str], names: list[str], slices: int) -> DataFrame:
     """Cut points and totals per group; every column of ``counts`` is used so its shuffle is shared."""
     probs = ", ".join(f"{(i + 1) / slices!r}D" for i in range(slices - 1))
-    cuts = F.expr(f"percentile_approx(value, array({probs}), {20 * slices}) AS cuts")
+    cuts = F.expr(f"percentile_approx(value, array({probs}), {4 * slices}) AS cuts")
     return counts.groupBy(*by).agg(cuts, *[F.sum(c).alias(f"total_{c}") for c in names])
 
 
@@ -51,13 +65,15 @@ def running_counts(
     counts = value_counts(df, value, by, sums)
     stats = _slice_stats(counts, by, names, slices)
     totals = [f"total_{c}" for c in names]
+    # Never NULL, or the join below would filter on it beneath the counts and spoil their reuse.
+    slice_of = "coalesce(size(filter({cuts}, c -> c < value)), 0) AS slice"
     if by:
-        sliced = counts.join(stats, by).selectExpr(
-            *counts.columns, "size(filter(cuts, c -> c < value)) AS slice", *totals
+        sliced = join_groups(counts, stats, by, "value").selectExpr(
+            *counts.columns, slice_of.format(cuts="cuts"), *totals
         )
     else:
         sliced = counts.withColumn("_s", stats.select(F.struct("*")).scalar()).selectExpr(
-            *counts.columns, "size(filter(_s.cuts, c -> c < value)) AS slice", *[f"_s.{t}" for t in totals]
+            *counts.columns, slice_of.format(cuts="_s.cuts"), *[f"_s.{t}" for t in totals]
         )
     # At most ``slices`` rows per group from here to the join.
     sizes = sliced.groupBy(*by, "slice").agg(
@@ -71,8 +87,8 @@ def running_counts(
     if needed is not None:
         offsets = offsets.where(needed)
     offsets = offsets.drop("size_n", "total_n")
-    # Without groups the offsets are ``slices`` rows at most, whatever the data; with
-    # groups their number is the caller's, so the measured size decides.
+    # Without groups the offsets are ``slices`` rows at most, whatever the data.  With
+    # groups the measured size decides; slices are even, so this join has no hot key.
     ranked = sliced.join(offsets if by else F.broadcast(offsets), [*by, "slice"])
     upto = f"OVER (PARTITION BY {', '.join([*by, 'slice'])} ORDER BY value ROWS UNBOUNDED PRECEDING)"
     return ranked.selectExpr(
@@ -80,19 +96,42 @@ def running_counts(
     )
 
 
+def position(q: float) -> str:
+    """Fractional row number of quantile ``q``, counted from 0."""
+    return f"((total_n - 1) * {float(q)!r}D)"
+
+
+def at_or_above(q: float) -> str:
+    """Condition on a running count: the value is not below the interpolated quantile ``q``."""
+    return f"cum_n > ceil{position(q)}"
+
+
+def quantile_ends(q: float, tag: str) -> list[Column]:
+    """Aggregates over running counts: the values on either side of quantile ``q``."""
+    side = "min(CASE WHEN cum_n > {at} THEN value END) AS {name}"
+    return [
+        F.expr(side.format(at=f"floor{position(q)}", name=f"lo{tag}")),
+        F.expr(side.format(at=f"ceil{position(q)}", name=f"hi{tag}")),
+    ]
+
+
+def interpolated(q: float, tag: str) -> str:
+    """The quantile from its ``quantile_ends`` and ``total_n``."""
+    at = position(q)
+    return f"lo{tag} + (hi{tag} - lo{tag}) * ({at} - floor{at})"
+
+
 def quantiles_wide(
     df: DataFrame, value: str, qs: list[float], by: list[str] | None = None, slices: int = SLICES
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per group with an array in the order of ``qs``."""
     by = list(by or [])
-    at = [f"(total_n - 1) * {float(q)!r}D" for q in qs]
-    holds_a_rank = " OR ".join(f"(ceil({h}) >= before_n AND floor({h}) < before_n + size_n)" for h in at)
+    holds_a_rank = " OR ".join(
+        f"(ceil{position(q)} >= before_n AND floor{position(q)} < before_n + size_n)" for q in qs
+    )
     doubles = df.select(*by, F.col(value).cast("double").alias("_v"))
     ranked = running_counts(doubles, "_v", by, None, holds_a_rank, slices)
-    ends = []
-    for i, h in enumerate(at):
-        ends.append(F.expr(f"min(CASE WHEN cum_n > floor({h}) THEN value END) AS lo{i}"))
-        ends.append(F.expr(f"min(CASE WHEN cum_n > ceil({h}) THEN value END) AS hi{i}"))
+    ends = [end for i, q in enumerate(qs) for end in quantile_ends(q, str(i))]
     found = ranked.groupBy(*by).agg(*ends, F.max("total_n").alias("total_n"))
-    parts = ", ".join(f"lo{i} + (hi{i} - lo{i}) * ({h} - floor({h}))" for i, h in enumerate(at))
+    parts = ", ".join(interpolated(q, str(i)) for i, q in enumerate(qs))
     return found.selectExpr(*by, f"array({parts}) AS quantiles")
