@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import product
 
+import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -51,9 +52,9 @@ def boosted_stage(
         featuresCol=VECTOR,
         labelCol=y,
         stepSize=learning_rate,
-        maxDepth=max_depth,
-        minInstancesPerNode=min_samples_leaf,
-        maxIter=n_estimators,
+        maxDepth=int(max_depth),
+        minInstancesPerNode=int(min_samples_leaf),
+        maxIter=int(n_estimators),
         seed=seed,
     )
 
@@ -79,6 +80,22 @@ def score_model(df: DataFrame, model: PipelineModel, out: str = "predict_proba_1
     return scored.select(*df.columns, out)
 
 
+def score_foreign(df: DataFrame, model, features: list[str] | None = None, out: str = "predict_proba_1") -> DataFrame:
+    """Scores of a model from outside Spark: anything picklable with ``predict_proba`` on a pandas frame.
+
+    The model travels with the function (Spark broadcasts it if it is large) and sees
+    Arrow batches of its features, in the order it names them itself unless
+    ``features`` is given.
+    """
+    names = list(model.feature_names_in_ if features is None else features)
+
+    @F.pandas_udf("double")
+    def positive(batch: pd.DataFrame) -> pd.Series:
+        return pd.Series(model.predict_proba(batch[names])[:, 1])
+
+    return df.withColumn(out, positive(F.struct(*names)))
+
+
 def _parts(model: PipelineModel) -> tuple[list[str], Model]:
     assembler, fitted = model.stages
     return assembler.getInputCols(), fitted
@@ -209,6 +226,11 @@ def best_params(summary: DataFrame, params: list[str], measure: str = "mean_top5
     return row.asDict() if row else {}
 
 
+def refit(df: DataFrame, stage_of: Callable[[dict, int], object], params: dict, features: list[str], y: str = "target"):
+    """The final model: the chosen combination fitted on all rows."""
+    return _fit(df, features, stage_of(params, df.count()), y)
+
+
 def grid_long(summary: DataFrame, params: list[str], measure: str) -> DataFrame:
     """One row per (parameter, value, combination) with a measure, as the search plots need it."""
     return summary.select(*params, measure).unpivot([measure], params, "param", "param_value")

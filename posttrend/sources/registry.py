@@ -41,6 +41,11 @@ def latest_name(models: DataFrame, prefix: str = PREFIX) -> DataFrame:
     return models.where(F.col("name").startswith(prefix)).agg(F.max("name").alias("name"))
 
 
+def load_model(root: str, name: str) -> PipelineModel:
+    """A model by its full name."""
+    return PipelineModel.load(posixpath.join(root, name))
+
+
 def load_latest(spark: SparkSession, root: str, prefix: str = PREFIX) -> tuple[PipelineModel, str]:
     name = latest_name(list_models(spark, root, prefix), prefix).first()["name"]
-    return PipelineModel.load(posixpath.join(root, name)), name
+    return load_model(root, name), name

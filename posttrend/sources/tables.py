@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from posttrend.operators.intake import dedupe_latest
+from posttrend.operators.merge import delete_by_key
 from posttrend.schema import LANDED, LISTING, SCORED, SNAPSHOT, SNAPSHOT_KEY
 
 
@@ -25,9 +26,20 @@ def read_landed_csv(spark: SparkSession, path: str, columns: list[str] | None =
 
 
 def read_snapshots(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
-    """A snapshot table partitioned by load date; ``latest_only`` keeps one row per (post, load time)."""
-    rows = spark.read.schema(SNAPSHOT).parquet(path).select(*SNAPSHOT.names)
-    return dedupe_latest(rows, SNAPSHOT_KEY, "loadTSUTC", ["score"]) if latest_only else rows
+    """A snapshot table partitioned by load date.
+
+    ``latest_only`` lets the row written last stand for its (post, load time), so
+    that writing a snapshot again replaces it.
+    """
+    rows = spark.read.schema(SNAPSHOT).parquet(path)
+    if not latest_only:
+        return rows.select(*SNAPSHOT.names)
+    written = rows.select(
+        *SNAPSHOT.names,
+        F.col("_metadata.file_modification_time").alias("_written"),
+        F.col("_metadata.file_path").alias("_file"),
+    )
+    return dedupe_latest(written, SNAPSHOT_KEY, "_written", ["_file"]).drop("_written", "_file")
 
 
 def _by_day(df: DataFrame, day: str) -> DataFrame:
@@ -50,6 +62,15 @@ def write_training(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def rewrite_without(snapshots: DataFrame, bad: DataFrame, path: str) -> None:
+    """A copy of a snapshot table less the rows whose (post, load time) is in ``bad``.
+
+    It goes to a path of its own: a day that loses all its rows must not survive,
+    and readers of the old table are left alone until they are pointed here.
+    """
+    append_snapshots(delete_by_key(snapshots, bad, SNAPSHOT_KEY), path)
+
+
 def read_training(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

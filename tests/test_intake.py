@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import Row
@@ -7,7 +8,14 @@ from pyspark.sql import functions as F
 from posttrend.operators import intake
 from posttrend.plans.collect import collect, feed_snapshots
 from posttrend.schema import LANDED, LISTING, SNAPSHOT
-from posttrend.sources.tables import append_snapshots, read_landed_csv, read_listing, read_snapshots, replace_days
+from posttrend.sources.tables import (
+    append_snapshots,
+    read_landed_csv,
+    read_listing,
+    read_snapshots,
+    replace_days,
+    rewrite_without,
+)
 
 NOW = dt.datetime(2024, 3, 1, 12, 0, 0, 750000)
 EPOCH = dt.datetime(1970, 1, 1)
@@ -174,6 +182,21 @@ def test_replace_days_leaves_other_days_alone(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path), "id") == [(1,), (3,)]
 
 
+def test_snapshot_written_again_replaces_the_first(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    base = feed_snapshots(listing(spark, [item("a", 60, 0), item("b", 60, 1)]), "rising")
+    append_snapshots(base, path)
+    time.sleep(1.1)  # file times have a resolution
+    append_snapshots(base.where("postId = 'a'").withColumn("score", F.lit(3)), path)
+    assert rows(read_snapshots(spark, path, latest_only=True), "postId", "score") == [("a", 3), ("b", 10)]
+
+
+def test_rewrite_without_stale_rows(spark, tmp_path, rows):
+    hot = intake.normalize_listing(listing(spark, [item("old", 7200, 0, "hot"), item("new", 60, 1, "hot")]), "hot")
+    rewrite_without(hot, intake.stale_rows(hot), str(tmp_path / "t"))
+    assert rows(read_snapshots(spark, str(tmp_path / "t")), "postId") == [("new",)]
+
+
 def test_csv_with_its_own_column_order(spark, tmp_path):
     names = ["postId", "score"] + [c for c in LANDED.names if c not in ("postId", "score")]
     values = dict(zip(LANDED.names, landed()))

@@ -1,7 +1,9 @@
 import datetime as dt
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from posttrend.operators import models
@@ -127,6 +129,28 @@ def test_grid_expansion():
     assert len(models.expand_grid(grid)) == 108
 
 
+class Foreign:
+    feature_names_in_ = np.array(["b", "a"])
+
+    def predict_proba(self, batch):
+        assert list(batch.columns) == ["b", "a"]
+        p = 1 / (1 + np.exp(-batch["a"].to_numpy()))
+        return np.column_stack([1 - p, p])
+
+
+def test_model_from_outside(frame):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    scored = models.score_foreign(frame, Foreign())
+    worst = scored.agg(F.max(F.abs(F.col("predict_proba_1") - 1 / (1 + F.exp(-F.col("a")))))).first()[0]
+    assert worst < 1e-12
+
+
+def test_refit_uses_all_rows(frame, data):
+    model = models.refit(frame, lambda params, n: models.logistic_stage(n, params["C"]), {"C": 0.25}, FEATURES)
+    weights, intercept = models.linear_weights(model)
+    assert [*weights.values(), intercept] == pytest.approx(list(penalised_optimum(*data, 0.25)), abs=1e-5)
+
+
 def test_newest_model_wins(spark, lr, frame, tmp_path):
     root = str(tmp_path)
     old = registry.model_name("LR", dt.datetime(2023, 4, 14, 6, 10, 9))
@@ -138,6 +162,7 @@ def test_newest_model_wins(spark, lr, frame, tmp_path):
     assert name == new
     assert models.linear_weights(model) == models.linear_weights(lr)
     assert models.score_model(frame, model).count() == 400
+    assert models.linear_weights(registry.load_model(root, old)) == models.linear_weights(lr)
 
 
 def test_no_model_is_an_error(spark, tmp_path):
