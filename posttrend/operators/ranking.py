@@ -8,6 +8,8 @@ happens within a slice only; what lies before a slice is added as an offset.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,25 +26,43 @@ def join_groups(rows: DataFrame, groups: DataFrame, by: list[str], spread: str,
     cannot settle on one task per group.
     """
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread_rows = rows.withColumn("_salt", F.expr(f"pmod(hash({spread}), {salts})"))
+    # Never NULL, as in ``_slice_of``.
+    spread_rows = rows.withColumn("_salt", F.expr(f"coalesce(pmod(hash({spread}), {salts}), 0)"))
     return spread_rows.join(salted, [*by, "_salt"]).drop("_salt")
 
 
 def value_counts(df: DataFrame, value: str, by: list[str], sums: dict[str, Column]) -> DataFrame:
-    """One row per distinct (by, value): row count ``n`` and the named sums."""
+    """One row per distinct (by, value): row count ``n`` and the named sums; NULLs in either are left out."""
     totals = [F.sum(column).alias(name) for name, column in sums.items()]
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"), *totals)
-    )
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*by, value])
+    return df.where(known).groupBy(*by, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"), *totals)
 
 
 def _slice_stats(counts: DataFrame, by: list[str], names: list[str], slices: int) -> DataFrame:
     """Cut points and totals per group; every column of ``counts`` is used so its shuffle is shared."""
     probs = ", ".join(f"{(i + 1) / slices!r}D" for i in range(slices - 1))
     cuts = F.expr(f"percentile_approx(value, array({probs}), {4 * slices}) AS cuts")
-    return counts.groupBy(*by).agg(cuts, *[F.sum(c).alias(f"total_{c}") for c in names])
+    stats = counts.groupBy(*by).agg(cuts, *[F.sum(c).alias(f"total_{c}") for c in names])
+    step = _step(slices)
+    every = ", ".join(f"cuts[{i}]" for i in range(step - 1, slices - 1, step))
+    return stats.selectExpr("*", f"array({every}) AS marks")
+
+
+def _step(slices: int) -> int:
+    return max(math.isqrt(slices), 2)
+
+
+def _slice_of(stats: str, slices: int) -> str:
+    """Number of cut points below the value: first among every ``step``-th one, then among those that follow it.
+
+    Never NULL, or the join on it would filter beneath the counts and spoil their reuse.
+    """
+    step = _step(slices)
+    mark = f"size(filter({stats}marks, c -> c < value))"
+    return (
+        f"coalesce({mark} * {step}"
+        f" + size(filter(slice({stats}cuts, {mark} * {step} + 1, {step - 1}), c -> c < value)), 0) AS slice"
+    )
 
 
 def running_counts(
@@ -65,20 +85,17 @@ def running_counts(
     counts = value_counts(df, value, by, sums)
     stats = _slice_stats(counts, by, names, slices)
     totals = [f"total_{c}" for c in names]
-    # Never NULL, or the join below would filter on it beneath the counts and spoil their reuse.
-    slice_of = "coalesce(size(filter({cuts}, c -> c < value)), 0) AS slice"
     if by:
         sliced = join_groups(counts, stats, by, "value").selectExpr(
-            *counts.columns, slice_of.format(cuts="cuts"), *totals
+            *counts.columns, _slice_of("", slices), *totals
         )
     else:
         sliced = counts.withColumn("_s", stats.select(F.struct("*")).scalar()).selectExpr(
-            *counts.columns, slice_of.format(cuts="_s.cuts"), *[f"_s.{t}" for t in totals]
+            *counts.columns, _slice_of("_s.", slices), *[f"_s.{t}" for t in totals]
         )
     # At most ``slices`` rows per group from here to the join.
-    sizes = sliced.groupBy(*by, "slice").agg(
-        *[F.expr(f"sum({c}) AS size_{c}") for c in names], F.max("total_n").alias("total_n")
-    )
+    # The totals are grouping columns so that both uses of the stats need all of them and share one run.
+    sizes = sliced.groupBy(*by, "slice", *totals).agg(*[F.expr(f"sum({c}) AS size_{c}") for c in names])
     groups = f"PARTITION BY {', '.join(by)} " if by else ""
     before = f"OVER ({groups}ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = sizes.selectExpr(

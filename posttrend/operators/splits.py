@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from posttrend.functions import row_hash
 
-PREFIX_DIGITS = 4
+PREFIX_DIGITS = 3
 
 
 def _repeats(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
