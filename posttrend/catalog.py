@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from posttrend.functions import map_value_sum
+from posttrend.functions import map_value_sum, utc
 from posttrend.operators import evaluate as ev
 from posttrend.operators import explore, features, intake, merge, models, monitor, scans, scoring, splits
-from posttrend.operators.labels import label_members
 from posttrend.plans import collect, live, monitoring, training
 from posttrend.schema import FEATURES, LANDED, LINEAR_FEATURES, SNAPSHOT, TREE_FEATURES, feature_columns
 from posttrend.session import cut_lineage, fresh_path
@@ -122,8 +121,8 @@ def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prior_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = posts(spark, sf_dir)
-    prior = proxy_scored(rows.where(F.col("createdTSUTC") < F.lit(PRIOR_BEFORE)), THRESHOLD, "first")
-    new = proxy_scored(rows.where(F.col("createdTSUTC") >= F.lit(NEW_FROM)), THRESHOLD, "second")
+    prior = proxy_scored(rows.where(F.col("createdTSUTC") < utc(PRIOR_BEFORE)), THRESHOLD, "first")
+    new = proxy_scored(rows.where(F.col("createdTSUTC") >= utc(NEW_FROM)), THRESHOLD, "second")
     return prior, new
 
 
@@ -211,7 +210,7 @@ def _(spark, sf_dir):
 
 @query("ids_by_date_range")
 def _(spark, sf_dir):
-    days = scans.days_until(spark, dt.date(2024, 1, 10), dt.date(2024, 1, 14))
+    days = scans.days_until(dt.date(2024, 1, 10), dt.date(2024, 1, 14))
     return scans.ids_on_dates(snapshots(spark, sf_dir), days)
 
 
@@ -246,7 +245,7 @@ def _(spark, sf_dir):
 @query("history_for_ids")
 def _(spark, sf_dir):
     rows = snapshots(spark, sf_dir)
-    ids = scans.ids_on_dates(hot_snapshots(rows), scans.days_until(spark, dt.date(2024, 1, 5), dt.date(2024, 1, 12)))
+    ids = scans.ids_on_dates(hot_snapshots(rows), scans.days_until(dt.date(2024, 1, 5), dt.date(2024, 1, 12)))
     return scans.history_for(rows, ids).select("event_id", "postId", "loadTSUTC", "score")
 
 

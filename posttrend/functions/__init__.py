@@ -10,6 +10,7 @@ from posttrend.functions.columns import (
     max_between,
     row_hash,
     to_double,
+    utc,
 )
 
 __all__ = [
@@ -24,4 +25,5 @@ __all__ = [
     "max_between",
     "row_hash",
     "to_double",
+    "utc",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,3 +66,8 @@ def hash_fraction(*parts: Column | int | str) -> Column:
 def to_double(*names: str) -> list[str]:
     """Cast expressions for ``selectExpr``."""
     return [f"cast(`{n}` AS double) AS `{n}`" for n in names]
+
+
+def utc(ts: dt.datetime) -> Column:
+    """A timestamp literal; a naive time is UTC, whatever zone the driver's machine is in."""
+    return F.lit(ts if ts.tzinfo else ts.replace(tzinfo=dt.timezone.utc))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posttrend.functions import to_double
-from posttrend.operators.ranking import quantiles_wide
+from posttrend.operators.ranking import interpolated, quantile_ends, running_counts
 
 
 def long_features(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
@@ -17,24 +17,29 @@ def long_features(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
 
 
 def describe_by(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, min, quartiles and max of each column per group."""
-    long = long_features(df, by, cols)
+    """Count, mean, sample deviation, min, quartiles and max of each column per group.
+
+    All of it comes from the distinct values and their running counts.  The sum
+    total rides along, so the deviation is taken from the mean as it should be.
+    """
     keys = ["feature", by]
-    basics = long.groupBy(*keys).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    ranked = running_counts(long_features(df, by, cols), "value", keys, {"s": F.col("value")}, slices=64)
+    found = ranked.groupBy(*keys).agg(
+        F.max("total_n").alias("total_n"),
+        F.max("total_s").alias("total_s"),
+        F.expr("sum(n * pow(value - total_s / total_n, 2)) AS squares"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+        *[end for name, q in quartiles.items() for end in quantile_ends(q, name)],
     )
-    quartiles = quantiles_wide(long, "value", [0.25, 0.5, 0.75], keys, slices=64)
-    return basics.join(quartiles, keys, "left").select(
+    return found.selectExpr(
         *keys,
-        "count",
-        "mean",
-        "std",
+        "total_n AS count",
+        "total_s / total_n AS mean",
+        "sqrt(try_divide(squares, total_n - 1)) AS std",
         "min",
-        *[F.col("quantiles")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+        *[f"{interpolated(q, name)} AS {name}" for name, q in quartiles.items()],
         "max",
     )
 

@@ -99,48 +99,44 @@ def dedupe_latest(df: DataFrame, keys: list[str], order_col: str, tiebreak: list
     return df.withColumn("_newest", newest).where(F.col("_newest") == 1).drop("_newest")
 
 
-_PATTERNS = {
-    "loadDateUTC": "yyyy-MM-dd",
-    "loadTimeUTC": "HH:mm:ss",
-    "loadTSUTC": "yyyy-MM-dd HH:mm:ss",
-    "createdTSUTC": "yyyy-MM-dd HH:mm:ss",
+_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_TIME = r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
+# The one layout each attribute may have; a plain cast would let others through.
+_LAYOUTS = {
+    "loadDateUTC": f"^{_DATE}$",
+    "loadTimeUTC": f"^{_TIME}$",
+    "loadTSUTC": f"^{_DATE} {_TIME}$",
+    "createdTSUTC": f"^{_DATE} {_TIME}$",
 }
 
 
-def _typed(name: str) -> Column:
-    text, kind = F.col(name), SNAPSHOT[name].dataType.simpleString()
-    if name not in _PATTERNS:
-        return text.try_cast(kind)
-    parsed = F.try_to_timestamp(text, F.lit(_PATTERNS[name]))
+def _typed(name: str) -> str:
+    """The attribute converted, NULL where it does not convert."""
+    kind = SNAPSHOT[name].dataType.simpleString()
+    value = f"try_cast(`{name}` AS {kind})"
     if name == "loadTimeUTC":
-        return F.date_format(parsed, _PATTERNS[name])
-    return parsed.cast(kind)
+        value = f"date_format(try_cast(concat('1900-01-01 ', `{name}`) AS timestamp), 'HH:mm:ss')"
+    return f"CASE WHEN `{name}` RLIKE '{_LAYOUTS[name]}' THEN {value} END" if name in _LAYOUTS else value
 
 
-def _bad(name: str) -> Column:
+def _bad(name: str) -> str:
     """A value that is present but does not convert, or a required one that is absent."""
-    if SNAPSHOT[name].nullable:
-        return _typed(name).isNull() & F.col(name).isNotNull()
-    return _typed(name).isNull()
+    present = f" AND `{name}` IS NOT NULL" if SNAPSHOT[name].nullable else ""
+    return f"({_typed(name)} IS NULL{present})"
 
 
-def _any_bad() -> Column:
-    flags = [_bad(f.name) for f in SNAPSHOT.fields]
-    out = flags[0]
-    for flag in flags[1:]:
-        out = out | flag
-    return out
+_ANY_BAD = " OR ".join(_bad(name) for name in SNAPSHOT.names)
 
 
 def typed_snapshots(landed: DataFrame) -> DataFrame:
     """Text attributes to typed snapshots; rows that do not convert go to ``rejected_snapshots``."""
-    return landed.where(~_any_bad()).select(*[_typed(f.name).alias(f.name) for f in SNAPSHOT.fields])
+    return landed.where(f"NOT ({_ANY_BAD})").selectExpr(*[f"{_typed(name)} AS `{name}`" for name in SNAPSHOT.names])
 
 
 def rejected_snapshots(landed: DataFrame) -> DataFrame:
     """The rows ``typed_snapshots`` leaves out, untouched, with the offending columns listed."""
-    names = [F.when(_bad(f.name), F.lit(f.name)) for f in SNAPSHOT.fields]
-    return landed.where(_any_bad()).select(*LANDED.names, F.concat_ws(",", *names).alias("badColumns"))
+    names = ", ".join(f"CASE WHEN {_bad(name)} THEN '{name}' END" for name in SNAPSHOT.names)
+    return landed.where(_ANY_BAD).selectExpr(*LANDED.names, f"concat_ws(',', {names}) AS badColumns")
 
 
 def stale_rows(snapshots: DataFrame, max_seconds: int = 3600) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from itertools import product
 
 import pandas as pd
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from posttrend.operators.evaluate import above_counts, area_under_curve, running_scores
-from posttrend.session import cut_lineage
+from posttrend.session import cut_lineage, fresh_path
 
 VECTOR = "_features"
 
@@ -178,27 +177,32 @@ def grid_search(
     ``splits`` is the output of ``stratified_splits``; pass a stored or
     checkpointed frame, since each fit reads it several times.
     ``stage_of(params, train_rows)`` returns an unfitted classifier.  The fits
-    are submitted from a few threads; the test rows of all of them are measured
-    together, one group per (combination, split).
+    are submitted from a few threads and store their scored test rows; all of them
+    are then measured together, one group per (combination, split).
     """
     combos = expand_grid(grid)
     sizes = {
         r["split"]: r["n"] for r in splits.where("is_train = 1").groupBy("split").agg(F.count("*").alias("n")).collect()
     }
 
-    def run(job: tuple[int, int]) -> DataFrame:
+    spark = splits.sparkSession
+    store = fresh_path(spark, "grid-scores")
+
+    def run(job: tuple[int, int]) -> None:
         combo, split = job
         rows = splits.where(F.col("split") == split)
         model = _fit(rows.where("is_train = 1"), features, stage_of(combos[combo], sizes[split]), y)
-        test = score_model(rows.where("is_train = 0"), model)
-        return test.select(F.lit(combo).alias("combo"), "split", y, "predict_proba_1")
+        test = score_model(rows.where("is_train = 0"), model).select(F.col(y).cast("int"), "predict_proba_1")
+        test.write.mode("overwrite").parquet(f"{store}/combo={combo}/split={split}")
 
     jobs = [(combo, split) for combo in range(len(combos)) for split in sorted(sizes)]
     with ThreadPoolExecutor(parallelism) as pool:
-        scored = reduce(DataFrame.unionByName, pool.map(run, jobs))
-    # The metrics read the scores several times, and callers the metrics; neither should refit or rescore.
-    metrics = cut_lineage(_fold_metrics(cut_lineage(scored), ["combo", "split"], y, q, top))
-    params = splits.sparkSession.createDataFrame(
+        list(pool.map(run, jobs))
+    layout = f"`{y}` int, predict_proba_1 double, combo int, split int"
+    scored = spark.read.schema(layout).parquet(store)
+    # A few rows per fit, read by every summary made of them.
+    metrics = cut_lineage(_fold_metrics(scored, ["combo", "split"], y, q, top))
+    params = spark.createDataFrame(
         [(i, *[float(v) for v in c.values()]) for i, c in enumerate(combos)],
         "combo int, " + ", ".join(f"`{name}` double" for name in grid),
     )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from posttrend.functions import utc
+
 
 def date_spine(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """One ``yyyy-MM-dd`` row per day of each [start, end] pair, both ends included.
@@ -18,7 +20,7 @@ def date_spine(bounds: DataFrame, start: str = "start", end: str = "end") -> Dat
     return bounds.select(F.explode(days).alias("_day")).select(F.date_format("_day", "yyyy-MM-dd").alias("date"))
 
 
-def days_until(spark: SparkSession, start: dt.date, today: dt.date | None = None) -> list[str]:
+def days_until(start: dt.date, today: dt.date | None = None) -> list[str]:
     """The same span as Python strings, for use in a partition filter."""
     today = today or dt.datetime.now(dt.timezone.utc).date()
     span = max((today - start).days, 0)
@@ -51,7 +53,7 @@ def recent_ids(
     """
     start = as_of - lookback
     last = start if same_day_only else as_of
-    window = F.col("loadTSUTC").between(F.lit(start), F.lit(as_of))
+    window = F.col("loadTSUTC").between(utc(start), utc(as_of))
     window = window & F.col("loadDateUTC").between(F.lit(start.date()), F.lit(last.date()))
     if extra is not None:
         window = window & extra
@@ -69,7 +71,7 @@ def history_for(snapshots: DataFrame, ids: DataFrame, key: str = "postId") -> Da
 
 def scored_between(scored: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """Scored posts created in [start, end]."""
-    return scored.where(F.col("createdTSUTC").between(F.lit(start), F.lit(end)))
+    return scored.where(F.col("createdTSUTC").between(utc(start), utc(end)))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -56,7 +56,8 @@ def stratified_splits(
     """``n`` copies of the rows, each marked ``is_train`` for round((1 - test) * size) rows per class.
 
     Rows are taken in the order of a hash of (key, split, seed), so a split is
-    the same in every run and engine.  Rows sharing a key land on the same side.
+    the same in every run and engine.  Rows sharing a key land on the same side;
+    rows whose label is not one of ``classes`` are left out.
     """
     cuts = split_cutoffs(df, y, key, test, n, seed, classes)
     rows = _repeats(df.where(F.col(y).isin(list(classes))), key, n, seed)

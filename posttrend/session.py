@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import posixpath
 import tempfile
 import uuid
 
@@ -49,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    return posixpath.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
 def cut_lineage(df):

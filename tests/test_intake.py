@@ -134,6 +134,10 @@ def test_typed_and_rejected_snapshots(spark, rows):
         [landed(), landed(postId="b", score="many"), landed(postId="c", loadTSUTC="yesterday"), landed(postId="d", score=None)],
         LANDED,
     )
+    odd = [landed(postId="e", createdTSUTC="2023-05-04"), landed(postId="f", loadTimeUTC="25:00:00")]
+    odd.append(landed(postId="g", loadTSUTC="2023-5-4 2:20:21", loadTimeUTC="2:20:21"))
+    got = rows(intake.typed_snapshots(spark.createDataFrame(odd, LANDED)), "postId", "loadTSUTC", "loadTimeUTC")
+    assert got == [("g", dt.datetime(2023, 5, 4, 2, 20, 21), "02:20:21")]
     good = intake.typed_snapshots(frame)
     assert [(f.name, f.dataType) for f in good.schema] == [(f.name, f.dataType) for f in SNAPSHOT]
     assert rows(good, "postId", "score") == [("a", 3), ("d", None)]

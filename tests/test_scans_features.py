@@ -122,8 +122,8 @@ def test_date_spine(spark, rows):
     assert rows(scans.date_spine(bounds)) == [("2024-02-28",), ("2024-02-29",), ("2024-03-01",)]
     turned = spark.createDataFrame([(dt.date(2024, 3, 1), dt.date(2024, 2, 1))], "start date, end date")
     assert rows(scans.date_spine(turned)) == [("2024-03-01",)]
-    assert scans.days_until(spark, dt.date(2024, 2, 28), dt.date(2024, 3, 1)) == ["2024-02-28", "2024-02-29", "2024-03-01"]
-    assert len(scans.days_until(spark, dt.date.today() - dt.timedelta(days=3))) >= 3
+    assert scans.days_until(dt.date(2024, 2, 28), dt.date(2024, 3, 1)) == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    assert len(scans.days_until(dt.date.today() - dt.timedelta(days=3))) >= 3
 
 
 def test_ids_keep_duplicates(spark, rows):
