@@ -57,12 +57,16 @@ def top_n_per_feed(df: DataFrame, feed: list[str], rank: str, n: int) -> DataFra
 
 
 def normalize_listing(
-    listing: DataFrame, view: str, top_n: int = MAX_FEED, time_filter: str | None = None
+    listing: DataFrame,
+    view: str,
+    top_n: int = MAX_FEED,
+    time_filter: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Snapshots of one view: over-fetch, drop stickies and stale rising items, keep ``top_n``.
 
     The feed is read ``STICKY_SLACK`` items deeper than asked for because pinned
-    items use up positions.
+    items use up positions.  ``keep`` names listing columns to carry along.
     """
     check_feed_request(top_n, view, time_filter)
     feed = ["subreddit", "loadTSUTC"]
@@ -85,6 +89,7 @@ def normalize_listing(
         F.col("num_comments").alias("numComments"),
         F.col("upvote_ratio").alias("upvoteRatio"),
         map_value_sum(F.col("gildings")).alias("numGildings"),
+        *keep,
     )
 
 

@@ -13,9 +13,9 @@ FEED_DEPTH = {"rising": 25, "hot": 3}
 
 
 def feed_snapshots(listing: DataFrame, view: str, top_n: int | None = None) -> DataFrame:
-    """Clean snapshots of one view, one per post and load time."""
-    rows = normalize_listing(listing, view, FEED_DEPTH[view] if top_n is None else top_n)
-    return dedupe_latest(rows, SNAPSHOT_KEY, "loadTSUTC", ["score", "numComments"])
+    """Clean snapshots of one view, one per post and load time: of repeats, the one listed last."""
+    rows = normalize_listing(listing, view, FEED_DEPTH[view] if top_n is None else top_n, keep=("rank",))
+    return dedupe_latest(rows, SNAPSHOT_KEY, "loadTSUTC", ["rank"]).drop("rank")
 
 
 def collect(listing: DataFrame, paths: dict[str, str]) -> None:

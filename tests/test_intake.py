@@ -114,6 +114,12 @@ def test_dedupe_ties_fall_to_the_tiebreak(spark, rows):
     assert rows(intake.dedupe_latest(frame, ["k"], "t", ["n"])) == [("a", 1, 9), ("b", 1, 1)]
 
 
+def test_of_repeats_in_a_feed_the_last_listed_stays(spark, rows):
+    twice = [item("a", 60, 0), item("a", 120, 5), item("b", 60, 1)]
+    got = rows(feed_snapshots(listing(spark, twice), "rising"), "postId", "timeElapsedMin")
+    assert got == [("a", 2), ("b", 1)]
+
+
 def test_dedupe_limits_before_the_shuffle(spark, plan):
     frame = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     text = plan(intake.dedupe_latest(frame, ["k"], "t"))
