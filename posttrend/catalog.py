@@ -65,8 +65,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Output types that compare across engines: zone-less timestamps, no 32-bit floats."""
-    casts = {T.TimestampType: "timestamp_ntz", T.FloatType: "double"}
+    """Output types that compare across engines: zone-less timestamps, dates as text, no 32-bit floats."""
+    casts = {T.TimestampType: "timestamp_ntz", T.DateType: "string", T.FloatType: "double"}
     fields = df.schema.fields
     if not any(type(f.dataType) in casts for f in fields):
         return df

@@ -184,12 +184,11 @@ def with_ctes(body: str, *roots: str) -> str:
 
     for root in roots:
         visit(root)
-    if not order:
-        return body
     return "WITH " + ",\n".join(f"{name} AS ({CTES[name][1]})" for name in order) + "\n" + body
 
 
 ORACLES: dict[str, str] = {}
+_DATE_AS_TEXT = '* REPLACE ("loadDateUTC"::varchar AS "loadDateUTC")'
 
 
 def oracle(name: str, body: str, *roots: str) -> None:
@@ -198,12 +197,26 @@ def oracle(name: str, body: str, *roots: str) -> None:
 
 # ---------------------------------------------------------------- intake
 
-oracle("snapshot_normalize", "SELECT * FROM rising3 UNION ALL SELECT * FROM hot1", "rising3", "hot1")
-oracle("collect_feed", "SELECT * FROM hot3", "hot3")
+oracle(
+    "snapshot_normalize",
+    f"SELECT {_DATE_AS_TEXT} FROM (SELECT * FROM rising3 UNION ALL SELECT * FROM hot1)",
+    "rising3",
+    "hot1",
+)
+oracle("collect_feed", f"SELECT {_DATE_AS_TEXT} FROM hot3", "hot3")
 oracle("snapshot_age", 'SELECT id, minutes AS "timeElapsedMin", days AS "ageDays" FROM aged', "aged")
 oracle("map_value_sum", 'SELECT id, gilded AS "numGildings" FROM raw', "raw")
-oracle("load_columns", 'SELECT event_id, "loadTSUTC", "loadDateUTC", "loadTimeUTC" FROM snap', "snap")
-oracle("typed_snapshots", "SELECT * EXCLUDE (event_id) FROM snap WHERE event_id % 97 <> 0", "snap")
+oracle(
+    "load_columns",
+    'SELECT event_id, "loadTSUTC", "loadDateUTC"::varchar AS "loadDateUTC", "loadTimeUTC" FROM snap',
+    "snap",
+)
+oracle(
+    "typed_snapshots",
+    """SELECT * EXCLUDE (event_id) REPLACE ("loadDateUTC"::varchar AS "loadDateUTC")
+FROM snap WHERE event_id % 97 <> 0""",
+    "snap",
+)
 oracle(
     "rejected_snapshots",
     """SELECT "postId", strftime("loadTSUTC", '%Y-%m-%d %H:%M:%S') AS "loadTSUTC", 'n/a' AS score, 'score' AS "badColumns"
@@ -528,7 +541,11 @@ FROM (SELECT target, {w!r}::double * ("{c}" - avg("{c}") OVER ()) AS a FROM time
     for c, w in WEIGHTS.items()
 ]
 oracle("linear_attribution", "\nUNION ALL ".join(_ATTRIBUTION), "timed")
-oracle("stream_snapshots", "SELECT * EXCLUDE (event_id) FROM snap", "snap")
+oracle(
+    "stream_snapshots",
+    'SELECT * EXCLUDE (event_id) REPLACE ("loadDateUTC"::varchar AS "loadDateUTC") FROM snap',
+    "snap",
+)
 oracle("stream_features", "SELECT * FROM feat", "feat")
 oracle(
     "stream_scoring",
