@@ -55,11 +55,11 @@ def sketches(docs: DataFrame, shingle: int, k: int) -> DataFrame:
     """``doc_id, n, digest, sketch`` of every document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for other, texts in slices(batches, ["doc_id"], "text"):
+        for part, texts in slices(batches, "text"):
             sets = shingle_sets(Words(texts, SPACE_WORD_BYTES), shingle)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(other["doc_id"], pa.int64()),
+                    part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([s[:k] for s in sets], pa.list_(pa.int64())),
@@ -74,10 +74,10 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """``doc, hashes``: every document's set, packed as little-endian 64-bit numbers."""
 
     def rows(batches):
-        for other, texts in slices(batches, ["doc"], "text"):
+        for part, texts in slices(batches, "text"):
             sets = shingle_sets(Words(texts, SPACE_WORD_BYTES), shingle)
             packed = pa.array([s.tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(other["doc"], pa.int64()), packed], names=["doc", "hashes"])
+            yield pa.RecordBatch.from_arrays([part.column("doc"), packed], names=["doc", "hashes"])
 
     return docs.mapInArrow(rows, "doc long, hashes binary")
 

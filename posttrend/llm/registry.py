@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posttrend.llm import minhash, quality, urls
+from posttrend.llm import decontaminate, minhash, quality, urls
 from posttrend.llm.common import table
 
 
@@ -14,9 +14,14 @@ def op10_url_filter(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
 def op9_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op9_minhash_dedup, op10_url_filter)}
-ORACLES = {"op3_quality_rules": quality.oracle(), "op10_url_filter": urls.oracle()}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_decontaminate, op9_minhash_dedup, op10_url_filter)}
+ORACLES = {"op3_quality_rules": quality.oracle(), "op6_decontaminate": decontaminate.oracle(), "op10_url_filter": urls.oracle()}

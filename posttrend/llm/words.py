@@ -43,19 +43,23 @@ def _place(n: int) -> np.ndarray:
     return _powers
 
 
-def slices(batches: Iterator[pa.RecordBatch], columns: list[str], text: str) -> Iterator[tuple[dict[str, list], list[bytes]]]:
-    """Cuts Arrow batches into runs of rows: other columns as lists, ``text`` as bytes (NULL as empty)."""
+def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Cuts Arrow batches into runs of rows, each with its texts as bytes (NULL as empty).  ``text``: a column's name,
+    or ``column.field`` of a struct column."""
+    name, _, field = text.partition(".")
     for batch in batches:
-        texts = [t or b"" for t in batch.column(text).cast(pa.large_binary()).to_pylist()]
-        others = {c: batch.column(c).to_pylist() for c in columns}
+        column = batch.column(name)
+        if field:
+            column = column.field(column.type.get_field_index(field))
+        texts = [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
         begin, size = 0, 0
         for i, t in enumerate(texts):
             if size and size + len(t) > SLICE:
-                yield {c: v[begin:i] for c, v in others.items()}, texts[begin:i]
+                yield batch.slice(begin, i - begin), texts[begin:i]
                 begin, size = i, 0
             size += len(t)
         if begin < len(texts):
-            yield {c: v[begin:] for c, v in others.items()}, texts[begin:]
+            yield batch.slice(begin), texts[begin:]
 
 
 class Words:
@@ -97,10 +101,10 @@ def shingle_sets(words: Words, n: int) -> list[np.ndarray]:
         if b - a >= n:
             out.append(np.unique(runs[a : b - n + 1]))
         elif b > a:
-            short = np.uint64(b - a)
+            short = np.array([b - a], np.uint64)
             for k in range(a, b):
-                short = np.multiply(short, _STEP, dtype=np.uint64) + h[k]
-            out.append(mix(np.array([short], np.uint64)).view(np.int64))
+                short = short * _STEP + h[k]
+            out.append(mix(short).view(np.int64))
         else:
             out.append(np.zeros(0, np.int64))
     return out
