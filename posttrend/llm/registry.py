@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from posttrend.llm import decontaminate, minhash, quality, urls
+from posttrend.llm import decontaminate, licenses, minhash, mixing, quality, tokens, urls
 from posttrend.llm.common import table
 
 
+def op2_token_counts(spark, sf_dir):
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), ("source", "lang", "text"))
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality.measure_quality(table(spark, sf_dir, "documents"))
 
@@ -14,14 +18,30 @@ def op10_url_filter(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_decontaminate(spark, sf_dir):
     found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
 
 
+def op7_mix_sources(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_decontaminate, op9_minhash_dedup, op10_url_filter)}
-ORACLES = {"op3_quality_rules": quality.oracle(), "op6_decontaminate": decontaminate.oracle(), "op10_url_filter": urls.oracle()}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_token_counts, op3_quality_rules, op4_license_scan, op6_decontaminate, op7_mix_sources, op9_minhash_dedup, op10_url_filter,
+    )
+}
+ORACLES = {
+    "op3_quality_rules": quality.oracle(), "op6_decontaminate": decontaminate.oracle(), "op7_mix_sources": mixing.oracle(),
+    "op10_url_filter": urls.oracle(),
+}
