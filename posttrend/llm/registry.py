@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from posttrend.llm import decontaminate, licenses, minhash, mixing, quality, tokens, urls
+from posttrend.llm import decontaminate, licenses, lines, minhash, mixing, quality, tokens, urls
 from posttrend.llm.common import table
 
 
+def op1_line_dedup(spark, sf_dir):
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"), ("source", "lang", "text"))
 
@@ -38,7 +42,7 @@ def op9_minhash_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_token_counts, op3_quality_rules, op4_license_scan, op6_decontaminate, op7_mix_sources, op9_minhash_dedup, op10_url_filter,
+        op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op6_decontaminate, op7_mix_sources, op9_minhash_dedup, op10_url_filter,
     )
 }
 ORACLES = {
