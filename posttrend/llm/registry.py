@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posttrend.llm import decontaminate, licenses, lines, minhash, mixing, quality, tokens, urls
+from posttrend.llm import decontaminate, licenses, lines, minhash, mixing, quality, suffixes, tokens, urls
 from posttrend.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_license_scan(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_decontaminate(spark, sf_dir):
     found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -42,7 +46,7 @@ def op9_minhash_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op6_decontaminate, op7_mix_sources, op9_minhash_dedup, op10_url_filter,
+        op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_suffix_dedup, op6_decontaminate, op7_mix_sources, op9_minhash_dedup, op10_url_filter,
     )
 }
 ORACLES = {
