@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posttrend.llm import decontaminate, licenses, lines, minhash, mixing, quality, suffixes, tokens, urls
+from posttrend.llm import decontaminate, extract, licenses, lines, minhash, mixing, quality, suffixes, tokens, urls
 from posttrend.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_mix_sources(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_extract_html(spark, sf_dir):
+    return extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op9_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
@@ -46,7 +50,7 @@ def op9_minhash_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_suffix_dedup, op6_decontaminate, op7_mix_sources, op9_minhash_dedup, op10_url_filter,
+        op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_suffix_dedup, op6_decontaminate, op7_mix_sources, op8_extract_html, op9_minhash_dedup, op10_url_filter,
     )
 }
 ORACLES = {
