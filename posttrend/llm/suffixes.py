@@ -4,7 +4,7 @@ Only suffixes that can be repeated are sorted.
 
 1. Anchors.  Every window of 50 bytes names one 28-byte string inside it, by content alone (the smallest 5-byte hash in
    the window, its place modulo 23), so equal windows name equal anchors; about one place in twenty is one.  Anchors are
-   counted; those of a single document are done with.
+   brought together; those of a single document are done with.
 2. Contexts.  Around each place of a repeated anchor the bytes of all windows that name it, 73 at most, are gathered
    under the anchor, equal ones next to each other: of those only the first document's is sorted, as the others are
    covered altogether.
@@ -35,7 +35,7 @@ from posttrend.llm.words import mix
 
 LENGTH, ANCHOR, SEED = 50, 28, 5
 STEP = LENGTH - ANCHOR + 1
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 BATCH_BYTES = 4 << 20
 DEPTHS = (8, 16, 32, LENGTH)
 
@@ -45,12 +45,11 @@ def _loads(buffer: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(buffer.view(np.uint8), (max(0, len(buffer) - 7), 8), (1, 1)).copy().view(np.uint64)[:, 0]
 
 
-def anchors(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of a segment's anchors."""
-    n = len(segment)
-    if n < LENGTH:
+def _anchors(buffer: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors that the windows at ``start`` name.  ``buffer`` has 8 bytes to spare."""
+    n = len(buffer) - 8
+    if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    buffer = np.frombuffer(segment + b"\0" * 8, np.uint8)
     words = _loads(buffer)
     seeds = n - SEED + 1
     place = np.arange(seeds, dtype=np.uint64)
@@ -62,8 +61,7 @@ def anchors(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
         width *= 2
     if span > width:
         key = np.minimum(key[: len(key) - (span - width)], key[span - width :])
-    start = np.arange(n - LENGTH + 1)
-    chosen = (key[: len(start)] & np.uint64(0xFFFFFF)).astype(np.int64)
+    chosen = (key[start] & np.uint64(0xFFFFFF)).astype(np.int64)
     mark = np.zeros(n, bool)
     mark[start + (chosen - start) % STEP] = True
     at = np.flatnonzero(mark)
@@ -73,62 +71,115 @@ def anchors(segment: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, h.view(np.int64)
 
 
-def segments(text: bytes) -> Iterator[tuple[int, bytes]]:
-    """Pieces of bounded length that overlap so that each window lies in one of them."""
-    for at in range(0, max(1, len(text) - LENGTH + 1), SEGMENT):
-        yield at, text[at : at + SEGMENT + LENGTH - 1]
-
-
-def text_anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    found = [(at + places, h) for at, piece in segments(text) for places, h in [anchors(piece)]]
-    places = np.concatenate([p for p, _ in found])
-    hashes = np.concatenate([h for _, h in found])
-    if len(found) > 1:
-        places, first = np.unique(places, return_index=True)
-        hashes = hashes[first]
-    return places, hashes
+class Pack:
+    """Pieces of texts next to each other, with their anchors.
+
+    A text longer than ``SEGMENT`` is cut in pieces that overlap so that each window lies in one of them.
+    """
+
+    def __init__(self, pieces: list[tuple[int, int, bytes]]):
+        self.text = np.array([t for t, _, _ in pieces])
+        self.offset = np.array([o for _, o, _ in pieces], np.int64)
+        self.buffer = np.frombuffer(b"".join([p for _, _, p in pieces] + [b"\0" * 8]), np.uint8)
+        size = np.array([len(p) for _, _, p in pieces], np.int64)
+        self.end = np.cumsum(size)
+        self.begin = self.end - size
+        room = np.maximum(size - LENGTH + 1, 0)
+        start = np.repeat(self.begin - (np.cumsum(room) - room), room) + np.arange(int(room.sum()))
+        self.places, self.hashes = _anchors(self.buffer, start)
+        self.piece = np.searchsorted(self.end, self.places, side="right")
+
+    def contexts(self, which: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Of the marked anchors: where their contexts begin in the text, and the bytes."""
+        places, piece = self.places[which], self.piece[which]
+        begin = np.maximum(places - (LENGTH - ANCHOR), self.begin[piece])
+        size = np.minimum(places + LENGTH, self.end[piece]) - begin
+        ends = np.cumsum(size)
+        data = self.buffer[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        body = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+        return begin - self.begin[piece] + self.offset[piece], body
+
+
+def packs(texts: list[bytes]) -> Iterator[Pack]:
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, max(0, len(text) - LENGTH + 1), SEGMENT):
+            piece = text[at : at + SEGMENT + LENGTH - 1]
+            if held and size + len(piece) > SEGMENT:
+                yield Pack(held)
+                held, size = [], 0
+            held.append((i, at, piece))
+            size += len(piece)
+    if held:
+        yield Pack(held)
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """``h, doc_id``: once per slice of rows."""
+    """``h, doc_id`` of every anchor."""
 
     def rows(batches):
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            hashes, owners, held = [], [], 0
-            for i, (doc, text) in enumerate(zip(ids, texts)):
-                h = np.unique(text_anchors((text or "").encode())[1])
-                if len(h):
-                    hashes.append(h)
-                    owners.append(np.full(len(h), doc))
-                    held += len(h)
-                if held > 200_000 or i + 1 == len(ids):
-                    if held:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(owners))], names=["h", "doc_id"])
-                    hashes, owners, held = [], [], 0
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for pack in packs([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]):
+                owner = ids[pack.text[pack.piece]]
+                yield pa.RecordBatch.from_arrays([pa.array(pack.hashes), pa.array(owner, pa.int64())], names=["h", "doc_id"])
 
     return docs.mapInArrow(rows, "h long, doc_id long")
 
 
+def _shared(places: DataFrame) -> DataFrame:
+    """The distinct rows ``h, doc_id`` of anchors with two documents or more, from rows in that order."""
+
+    def rows(batches):
+        last_h, last_doc, told = None, None, False  # told: whether the last row has been given out
+        for batch in batches:
+            h, doc = batch.column("h").to_numpy(), batch.column("doc_id").to_numpy()
+            if last_h is not None:
+                h, doc = np.concatenate([[last_h], h]), np.concatenate([[last_doc], doc])
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+            h, doc = h[new], doc[new]
+            same = h[1:] == h[:-1]
+            give = np.zeros(len(h), bool)
+            give[1:] |= same
+            give[:-1] |= same
+            # The first row may be the one carried over, and may have been given out before.
+            known = told
+            told = bool(give[-1]) or (len(h) == 1 and known)
+            if known:
+                give[0] = False
+            last_h, last_doc = h[-1], doc[-1]
+            if give.any():
+                yield pa.RecordBatch.from_arrays([pa.array(h[give]), pa.array(doc[give])], names=["h", "doc_id"])
+
+    return places.mapInArrow(rows, "h long, doc_id long")
+
+
 def _contexts(joined: DataFrame) -> DataFrame:
     """Around the places of the anchors listed in ``hs``: ``h, doc_id, row, at, body``."""
 
     def rows(batches):
         for batch in batches:
-            for doc, text, hs in zip(batch.column("doc_id"), batch.column("text").to_pylist(), batch.column("hs")):
-                body = (text or "").encode()
-                places, hashes = text_anchors(body)
-                wanted = np.isin(hashes, hs.values.to_numpy())
-                places, hashes = places[wanted], hashes[wanted]
-                begin = np.maximum(places - (LENGTH - ANCHOR), 0)
-                end = np.minimum(places + LENGTH, len(body))
-                if len(places):
-                    n = len(places)
+            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            marks = np.array([_row_mark(t) for t in texts], np.int64)
+            lists = batch.column("hs")
+            salt = mix(np.arange(1, len(texts) + 1, dtype=np.uint64))
+            wanted = lists.flatten().to_numpy().view(np.uint64)
+            lengths = np.diff(lists.offsets.to_numpy())
+            wanted = np.sort(mix(wanted ^ np.repeat(salt, lengths)))
+            for pack in packs(texts):
+                text = pack.text[pack.piece]
+                asked = mix(pack.hashes.view(np.uint64) ^ salt[text])
+                at = np.searchsorted(wanted, asked)
+                at[at == len(wanted)] = 0
+                which = np.flatnonzero(wanted[at] == asked)
+                if len(which):
+                    begin, body = pack.contexts(which)
+                    text = text[which]
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(hashes), pa.array([doc.as_py()] * n, pa.int64()), pa.array([_row_mark(body)] * n, pa.int64()), pa.array(begin),
-                            pa.array([body[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()),
-                        ],
+                        [pa.array(pack.hashes[which]), pa.array(ids[text], pa.int64()), pa.array(marks[text]), pa.array(begin), body],
                         names=["h", "doc_id", "row", "at", "body"],
                     )
 
@@ -259,10 +310,8 @@ def _strip(joined: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the bytes that are left."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    # One exchange on the anchor serves both the counting and the join.
-    places = _anchor_rows(docs.where("doc_id IS NOT NULL")).repartition("h")
-    repeated = places.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("h")
-    wanted = places.join(repeated, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
+    places = _anchor_rows(docs.where("doc_id IS NOT NULL")).repartition("h").sortWithinPartitions("h", "doc_id")
+    wanted = _shared(places).groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
     joined = docs.join(wanted, "doc_id").select("doc_id", "text", "hs")
     contexts = _contexts(joined).repartition("h").sortWithinPartitions("h", "body", "doc_id")
     spans = _repeats(contexts).groupBy("doc_id").agg(F.collect_list(F.struct("row", "begin", "end")).alias("spans"))
