@@ -7,13 +7,14 @@
    (five standard deviations below the expected number, or exactly for sets within ``k``), so it is enough to list each
    set under its ``size - overlap + 1`` rarest values.  Values that occur once are settled without a shuffle of their
    own; lists with the same members are looked at once.
-3. Within a list, in blocks of at most ``2 * BLOCK`` sets, the union sketch estimates the similarity and pairs below
-   ``threshold`` minus five deviations go.
-4. Remaining sets are built again in full and compared exactly, block by block; each block gives a spanning forest of
-   its links, never all pairs.
+3. Within a list, in blocks of bounded size, the union sketch estimates the similarity of pairs that share enough;
+   pairs below ``threshold`` minus five deviations go.  What is left connects sets to clusters.
+4. The sets of a cluster are built again in full and compared exactly, block by block.  Blocks give stars that connect
+   what their pairs connect, never all pairs.
 
-A list of any length is split in blocks, so no task holds more than a block; a value as frequent as a third of all rows
-costs blocks in proportion to the square of its distinct texts, and it is listed only for sets that have nothing rarer.
+Lists and clusters of any length are split in blocks, so no task holds more than a block; a value as frequent as a third
+of all rows costs blocks in proportion to the square of its distinct texts, and it is listed only for sets that have
+nothing rarer.
 
 Cases: NULL, empty and wordless texts have an empty set and stay alone; a NULL id stays alone and is kept; rows that
 repeat an id count as one document with the union of their links; empty tables give empty tables; further columns are
@@ -36,7 +37,7 @@ from posttrend.llm.components import components
 from posttrend.llm.words import SPACE_WORD_BYTES, Words, shingle_sets, slices
 
 K = 32
-BLOCK = 256
+BLOCK = 512
 SHINGLE, THRESHOLD = 5, 80
 
 
@@ -155,10 +156,36 @@ def _pairs(block: dict[str, list]) -> np.ndarray:
     return wanted
 
 
+def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Joins the groups of the pairs; every group is labelled by its smallest member."""
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        apart = low < high
+        if not apart.any():
+            return label
+        np.minimum.at(label, high[apart], low[apart])
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _stars(docs: list[int], label: np.ndarray) -> pa.RecordBatch | None:
+    """Every member of a group with the group's first: connected as the pairs were, in fewer rows than members."""
+    docs, at = np.array(docs, np.int64), np.flatnonzero(label != np.arange(len(label)))
+    return pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(docs[label[at]])], names=["a", "b"]) if len(at) else None
+
+
+def _blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Deals the members (``v, doc``, ...) of every list out to blocks ``v, i, j``, so that each pair meets in one."""
+    rows = members.join(sizes, "v").withColumn("chunks", F.ceil(F.col("size") / block).cast("int"))
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("doc", F.lit(7)), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.withColumns({"i": F.least("side", "t"), "j": F.greatest("side", "t")}).drop("t", "chunks", "size")
+
+
 def similar_pairs(docs: DataFrame, reps: DataFrame, shingle: int, threshold: int, k: int, block: int = BLOCK) -> DataFrame:
-    """``a, b``: links that connect all representatives (``doc_id, n, sketch``) that are connected by similar pairs."""
+    """``a, b``: connects all representatives (``doc_id, n, sketch``) that similar pairs connect, and no others."""
     low = slack(threshold, k)
-    schema_key = ["v", "i", "j"]
+    key = ["v", "i", "j"]
 
     # Lists.  Values of one set only are known by their absence from ``common``.
     values = reps.select("doc_id", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
@@ -170,78 +197,58 @@ def similar_pairs(docs: DataFrame, reps: DataFrame, shingle: int, threshold: int
     )
     places = (F.col("s") - need + 1) - (F.col("s") - F.size("held"))
     mine = mine.select("doc_id", "n", F.explode(F.slice("held", 1, F.greatest(F.lit(0), places).cast("int"))).alias("p"))
-    listed = stored(mine.select(F.col("p")["v"].alias("v"), "doc_id", "n"), "lists")
+    listed = stored(mine.select(F.col("p")["v"].alias("v"), F.col("doc_id").alias("doc"), "n"), "lists")
     sizes = listed.groupBy("v").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("y")
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.sum(F.xxhash64("doc", F.lit(1)).cast("decimal(38,0)")).alias("y")
     ).where("size > 1")
     # Lists with the same members: one of them will do.
-    kept = sizes.groupBy("size", "x", "y").agg(F.min("v").alias("v")).select("v", "size")
-    rows = listed.join(kept, "v").withColumn("chunks", F.ceil(F.col("size") / block).cast("int"))
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("chunks")).cast("int"))
-    rows = rows.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = rows.select("v", F.least("side", "t").alias("i"), F.greatest("side", "t").alias("j"), "side", F.col("doc_id").alias("doc"), "n")
+    sizes = sizes.groupBy("size", "x", "y").agg(F.min("v").alias("v")).select("v", "size")
 
     def estimate(batches):
         top = np.iinfo(np.int64).max
-        for (v, i, j), block in _by_key(batches, schema_key):
-            m = len(block["doc"])
+        for _, rows in _by_key(batches, key):
+            m = len(rows["doc"])
             if m < 2:
                 continue
-            n = np.array(block["n"])
-            wanted = _pairs(block) & (100 * np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]))
-            found = [np.array(s, np.int64) for s in block["sketch"]]
-            least = np.array([least_overlap(x, threshold, k) for x in block["n"]])
+            n = np.array(rows["n"])
+            wanted = _pairs(rows) & (100 * np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]))
+            found = [np.array(s, np.int64) for s in rows["sketch"]]
+            least = np.array([least_overlap(x, threshold, k) for x in rows["n"]])
             wanted &= shared_counts(found) >= np.maximum(least[:, None], least[None, :])
             a, b = np.nonzero(wanted)
             padded = np.full((m, k), top, np.int64)
             for row, s in zip(padded, found):
                 row[: len(s)] = s
-            good = np.zeros(m, bool)
+            label = np.arange(m)
             for at in range(0, len(a), 20_000):
                 x, y = a[at : at + 20_000], b[at : at + 20_000]
-                new = ~(good[x] & good[y])
-                x, y = x[new], y[new]
+                apart = label[x] != label[y]
+                x, y = x[apart], y[apart]
                 passes = union_sketch_passes(padded[x], padded[y], k, low)
-                good[x[passes]] = True
-                good[y[passes]] = True
-            if good.any():
-                at = np.flatnonzero(good)
-                doc, side = np.array(block["doc"])[at], np.array(block["side"])[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), x), t) for x, t in ((v, pa.int64()), (i, pa.int32()), (j, pa.int32()))]
-                    + [pa.array(side, pa.int32()), pa.array(doc, pa.int64())],
-                    names=["v", "i", "j", "side", "doc"],
-                )
+                label = merge(label, x[passes], y[passes])
+            out = _stars(rows["doc"], label)
+            if out is not None:
+                yield out
 
     def verify(batches):
-        for _, block in _by_key(batches, schema_key):
-            sets = [np.frombuffer(h, np.int64) for h in block["hashes"]]
+        for _, rows in _by_key(batches, key):
+            sets = [np.frombuffer(h, np.int64) for h in rows["hashes"]]
             n = np.array([len(s) for s in sets])
             both = shared_counts(sets)
-            linked = _pairs(block) & (100 * both >= threshold * (n[:, None] + n[None, :] - both))
-            parent = list(range(len(sets)))
-
-            def root(x):
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            out = []
-            for a, b in zip(*(x.tolist() for x in np.nonzero(linked))):
-                ra, rb = root(a), root(b)
-                if ra != rb:
-                    parent[rb] = ra
-                    out.append((block["doc"][a], block["doc"][b]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
-
-    small = blocks.join(reps.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
-    small = small.repartition(*schema_key).sortWithinPartitions(*schema_key)
-    close = stored(small.mapInArrow(estimate, "v long, i int, j int, side int, doc long"), "estimated")
-    wanted = close.select("doc").distinct()
-    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi")
-    whole = close.join(full_sets(texts, shingle), "doc").repartition(*schema_key).sortWithinPartitions(*schema_key)
+            linked = _pairs(rows) & (100 * both >= threshold * (n[:, None] + n[None, :] - both))
+            out = _stars(rows["doc"], merge(np.arange(len(sets)), *np.nonzero(linked)))
+            if out is not None:
+                yield out
+
+    near = _blocks(listed, sizes, 4 * block).join(reps.select(F.col("doc_id").alias("doc"), "sketch"), "doc")
+    near = near.repartition(*key).sortWithinPartitions(*key).mapInArrow(estimate, "a long, b long")
+    # Sets that estimates connect, in one way or another, are compared in full, each set once per block.
+    clusters = components(near).select(F.col("component").alias("v"), F.col("node").alias("doc"))
+    clusters = stored(clusters, "clusters")
+    rows = _blocks(clusters, clusters.groupBy("v").agg(F.count("*").alias("size")), block)
+    # A merge join at every size: the texts are the large side, and what is asked of them grows along.
+    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(clusters.select("doc").distinct().hint("merge"), "doc", "left_semi")
+    whole = rows.join(full_sets(texts, shingle), "doc").repartition(*key).sortWithinPartitions(*key)
     return whole.mapInArrow(verify, "a long, b long")
 
 
