@@ -5,13 +5,15 @@ Only suffixes that can be repeated are sorted.
 1. Anchors.  Every window of 50 bytes names one 28-byte string inside it, by content alone (the smallest 5-byte hash in
    the window, its place modulo 23), so equal windows name equal anchors; about one place in twenty is one.  Anchors are
    brought together; those of a single document are done with.
-2. Contexts.  Around each place of a repeated anchor the bytes of all windows that name it, 73 at most, are gathered
-   under the anchor, equal ones next to each other: of those only the first document's is sorted, as the others are
-   covered altogether.
+2. Contexts.  Around each place of a repeated anchor the other bytes of all windows that name it, 44 at most, are
+   gathered under the anchor's 64-bit hash, equal ones next to each other: of those only the first document's is sorted,
+   as the others are covered altogether.
 3. Bucket-pointer refinement.  The suffixes of a batch of contexts are put in buckets by their first 8 bytes; a bucket
    of depth d is refined by sorting on the bucket of the suffix d bytes on, which doubles the depth, and the refined
-   identifiers serve the next step: 8, 16, 32 and, with an overlap, 50.  A suffix whose bucket of depth 50 has an earlier
-   document is a repeat.
+   identifiers serve the next step: 8, 16 and, with an overlap, the 22 bytes of a window beside its anchor.  A window
+   whose anchor, place of the anchor and last bucket an earlier document has too is a repeat.
+
+Whole copies are settled before by the MD5 digest of their text.
 
 Batches end between anchors, so memory follows the number of different contexts of one anchor at most.
 
@@ -31,13 +33,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from posttrend.llm.common import stored
 from posttrend.llm.words import mix
 
 LENGTH, ANCHOR, SEED = 50, 28, 5
 STEP = LENGTH - ANCHOR + 1
 SEGMENT = 1 << 18
-BATCH_BYTES = 4 << 20
-DEPTHS = (8, 16, 32, LENGTH)
+BATCH_BYTES = 2 << 20
+REST = LENGTH - ANCHOR
+DEPTHS = (8, 16, REST)
 
 
 def _loads(buffer: np.ndarray) -> np.ndarray:
@@ -45,11 +49,12 @@ def _loads(buffer: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(buffer.view(np.uint8), (max(0, len(buffer) - 7), 8), (1, 1)).copy().view(np.uint64)[:, 0]
 
 
-def _anchors(buffer: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors that the windows at ``start`` name.  ``buffer`` has 8 bytes to spare."""
+def _anchors(buffer: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors that the windows at ``start`` name, and the place that each of them names.
+    ``buffer`` has 8 bytes to spare."""
     n = len(buffer) - 8
     if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), start
     words = _loads(buffer)
     seeds = n - SEED + 1
     place = np.arange(seeds, dtype=np.uint64)
@@ -63,12 +68,13 @@ def _anchors(buffer: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndar
         key = np.minimum(key[: len(key) - (span - width)], key[span - width :])
     chosen = (key[start] & np.uint64(0xFFFFFF)).astype(np.int64)
     mark = np.zeros(n, bool)
-    mark[start + (chosen - start) % STEP] = True
+    named = start + (chosen - start) % STEP
+    mark[named] = True
     at = np.flatnonzero(mark)
     h = mix(words[at])
     for offset in (8, 16, ANCHOR - 8):
         h = mix(h ^ words[at + offset])
-    return at, h.view(np.int64)
+    return at, h.view(np.int64), named
 
 
 class Pack:
@@ -85,20 +91,26 @@ class Pack:
         self.end = np.cumsum(size)
         self.begin = self.end - size
         room = np.maximum(size - LENGTH + 1, 0)
-        start = np.repeat(self.begin - (np.cumsum(room) - room), room) + np.arange(int(room.sum()))
-        self.places, self.hashes = _anchors(self.buffer, start)
+        self.start = np.repeat(self.begin - (np.cumsum(room) - room), room) + np.arange(int(room.sum()))
+        self.places, self.hashes, self.named = _anchors(self.buffer, self.start)
         self.piece = np.searchsorted(self.end, self.places, side="right")
 
-    def contexts(self, which: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-        """Of the marked anchors: where their contexts begin in the text, and the bytes."""
+    def contexts(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Of the marked anchors: where their first window begins in the text, the number of bytes before the anchor,
+        and the bytes of their windows without the anchor itself."""
+        first, last = np.zeros(len(self.buffer), np.int64), np.zeros(len(self.buffer), np.int64)
+        last[self.named] = self.start  # of equal places the last assignment stays
+        first[self.named[::-1]] = self.start[::-1]
         places, piece = self.places[which], self.piece[which]
-        begin = np.maximum(places - (LENGTH - ANCHOR), self.begin[piece])
-        size = np.minimum(places + LENGTH, self.end[piece]) - begin
+        begin, end = first[places], last[places] + LENGTH
+        left = places - begin
+        size = end - begin - ANCHOR
         ends = np.cumsum(size)
-        data = self.buffer[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
+        within = np.arange(int(size.sum())) - np.repeat(ends - size, size)
+        data = self.buffer[np.repeat(begin, size) + within + ANCHOR * (within >= np.repeat(left, size))]
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         body = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
-        return begin - self.begin[piece] + self.offset[piece], body
+        return begin - self.begin[piece] + self.offset[piece], left, body
 
 
 def packs(texts: list[bytes]) -> Iterator[Pack]:
@@ -157,7 +169,7 @@ def _shared(places: DataFrame) -> DataFrame:
 
 
 def _contexts(joined: DataFrame) -> DataFrame:
-    """Around the places of the anchors listed in ``hs``: ``h, doc_id, row, at, body``."""
+    """Around the places of the anchors listed in ``hs``: ``h, doc_id, row, at, before, body``."""
 
     def rows(batches):
         for batch in batches:
@@ -176,23 +188,27 @@ def _contexts(joined: DataFrame) -> DataFrame:
                 at[at == len(wanted)] = 0
                 which = np.flatnonzero(wanted[at] == asked)
                 if len(which):
-                    begin, body = pack.contexts(which)
+                    begin, left, body = pack.contexts(which)
                     text = text[which]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(pack.hashes[which]), pa.array(ids[text], pa.int64()), pa.array(marks[text]), pa.array(begin), body],
-                        names=["h", "doc_id", "row", "at", "body"],
+                        [pa.array(pack.hashes[which]), pa.array(ids[text], pa.int64()), pa.array(marks[text]), pa.array(begin), pa.array(left), body],
+                        names=["h", "doc_id", "row", "at", "before", "body"],
                     )
 
-    return joined.mapInArrow(rows, "h long, doc_id long, row long, at long, body binary")
+    return joined.mapInArrow(rows, "h long, doc_id long, row long, at long, before long, body binary")
 
 
 def _row_mark(body: bytes) -> int:
-    """Tells rows of one id apart."""
-    return xxhash.xxh64_intdigest(body) >> 1
+    """Tells rows of one id apart, in few bytes that change."""
+    return len(body) << 20 | xxhash.xxh64_intdigest(body) & 0xFFFFF
+
 
+def refine(bodies: list[bytes], anchor: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, place and bucket of all windows of the contexts, by bucket-pointer refinement.
 
-def refine(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, place and bucket of all suffixes with ``LENGTH`` bytes or more, by bucket-pointer refinement."""
+    A window is its anchor, the number of its bytes before the anchor, and its ``REST`` other bytes: those are a suffix
+    of the context's bytes, told apart to the depth ``REST``.
+    """
     sizes = np.fromiter((len(b) for b in bodies), np.int64, len(bodies))
     first = np.cumsum(sizes) - sizes
     words = _loads(np.frombuffer(b"".join(bodies) + b"\0" * 8, np.uint8))
@@ -209,7 +225,9 @@ def refine(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         refined = np.zeros(len(left), np.int64)
         _, refined[live] = np.unique(pair, return_inverse=True)
         bucket, depth = refined, deeper
-    return owner[live], live - first[owner[live]], bucket[live]
+    owner, place = owner[live], live - first[owner[live]]
+    _, same = np.unique(anchor, return_inverse=True)
+    return owner, place, (bucket[live] * (int(same.max()) + 1) + same[owner]) * STEP + before[owner] - place
 
 
 def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -222,11 +240,9 @@ def _repeats(contexts: DataFrame) -> DataFrame:
     schema = "doc_id long, row long, begin long, end long"
 
     def settle(held: list[tuple], out: list[list]) -> None:
-        """held: (doc, row, at, body) with different bytes, or equal ones of the first document only."""
-        owner, place, bucket = refine([h[3] for h in held])
-        if not len(owner):
-            return
-        docs = np.array([h[0] for h in held])[owner]
+        """held: (doc, row, at, before, body, h) with different bytes, or equal ones of the first document only."""
+        owner, place, bucket = refine([x[4] for x in held], np.array([x[5] for x in held]), np.array([x[3] for x in held]))
+        docs = np.array([x[0] for x in held])[owner]
         order = np.lexsort((docs, bucket))
         new = np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])
         earliest = docs[order][new][np.cumsum(new) - 1]
@@ -234,7 +250,7 @@ def _repeats(contexts: DataFrame) -> DataFrame:
         hit[order] = docs[order] > earliest
         owner, place = owner[hit], place[hit]
         for part in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(owner)) + 1) if len(owner) else []:
-            doc, row, at, _ = held[owner[part[0]]]
+            doc, row, at = held[owner[part[0]]][:3]
             for a, b in _spans(place[part]):
                 _add(out, doc, row, at + a, at + b)
 
@@ -247,23 +263,21 @@ def _repeats(contexts: DataFrame) -> DataFrame:
 
     def rows(batches):
         held: list[tuple] = []
-        size, last, last_body, last_doc = 0, None, None, None
+        size, last, last_doc = 0, (None, None, None), None
         out: list[list] = [[], [], [], []]
         for batch in batches:
-            for h, doc, row, at, body in zip(*(batch.column(c).to_pylist() for c in ("h", "doc_id", "row", "at", "body"))):
-                if h != last:
-                    if size > BATCH_BYTES:
-                        settle(held, out)
-                        held, size = [], 0
-                    last, last_body = h, None
-                if body == last_body and doc != last_doc:
-                    if len(body) >= LENGTH:
-                        _add(out, doc, row, at, at + len(body))
+            for h, doc, row, at, before, body in zip(*(batch.column(c).to_pylist() for c in ("h", "doc_id", "row", "at", "before", "body"))):
+                if h != last[0] and size > BATCH_BYTES:
+                    settle(held, out)
+                    held, size = [], 0
+                if (h, before, body) == last:
+                    if doc != last_doc:
+                        _add(out, doc, row, at, at + len(body) + ANCHOR)
+                        continue
                 else:
-                    if body != last_body:
-                        last_body, last_doc = body, doc
-                    held.append((doc, row, at, body))
-                    size += len(body)
+                    last, last_doc = (h, before, body), doc
+                held.append((doc, row, at, before, body, h))
+                size += len(body)
             if len(out[0]) > 20_000:
                 yield flush(out)
                 out = [[], [], [], []]
@@ -281,7 +295,7 @@ def _strip(joined: DataFrame) -> DataFrame:
     def rows(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            for text, spans, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "copy"))):
                 body = (text or "").encode()
                 mark = _row_mark(body) if spans else 0
                 merged: list[list[int]] = []
@@ -290,6 +304,8 @@ def _strip(joined: DataFrame) -> DataFrame:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
                         merged.append([a, b])
+                if copy:
+                    merged = [[0, len(body)]]
                 parts, at = [], 0
                 for a, b in merged:
                     parts.append(body[at:a])
@@ -310,9 +326,20 @@ def _strip(joined: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the bytes that are left."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    places = _anchor_rows(docs.where("doc_id IS NOT NULL")).repartition("h").sortWithinPartitions("h", "doc_id")
+    # Whole copies are told by their digest.  The first of each text speaks for all, since its id is the smallest.
+    named = docs.where("doc_id IS NOT NULL")
+    digest = F.md5(F.col("text").cast("binary"))
+    digests = named.where(F.octet_length("text") >= LENGTH).select("doc_id", digest.alias("digest"))
+    firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    copies = stored(digests.join(firsts, "digest").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("digest").alias("digests")), "copies")
+    copy = F.coalesce(F.array_contains("digests", digest), F.lit(False))
+    # All joins with the texts are on the id, so that one exchange of them serves all.
+    singles = named.join(copies, "doc_id", "left").where(~copy).select("doc_id", "text")
+    places = _anchor_rows(singles).repartition("h").sortWithinPartitions("h", "doc_id")
     wanted = _shared(places).groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
-    joined = docs.join(wanted, "doc_id").select("doc_id", "text", "hs")
-    contexts = _contexts(joined).repartition("h").sortWithinPartitions("h", "body", "doc_id")
+    joined = named.join(wanted, "doc_id").join(copies, "doc_id", "left").where(~copy).select("doc_id", "text", "hs")
+    contexts = _contexts(joined).repartition("h").sortWithinPartitions("h", "before", "body", "doc_id")
     spans = _repeats(contexts).groupBy("doc_id").agg(F.collect_list(F.struct("row", "begin", "end")).alias("spans"))
-    return _strip(docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans"))
+    found = named.join(spans, "doc_id", "left").join(copies, "doc_id", "left").select("doc_id", "text", "spans", copy.alias("copy"))
+    rest = docs.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast(found.schema["spans"].dataType).alias("spans"), F.lit(False).alias("copy"))
+    return _strip(found.unionByName(rest))
