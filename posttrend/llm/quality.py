@@ -145,7 +145,9 @@ def keep_good(
     min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT_PERCENT,
 ) -> DataFrame:
     """The rows of ``docs`` that pass every rule, columns unchanged."""
-    df = _verdict(_measures(docs, text, lang), rules, min_words, max_repeat).where("kept")
+    # The numbered rows keep the filter above the projections: pushed below, it would repeat them inside each other.
+    df = _verdict(_measures(docs, text, lang), rules, min_words, max_repeat)
+    df = df.select("__row", "kept", F.monotonically_increasing_id().alias("__n")).where("kept AND __n >= 0")
     return df.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
 
 
