@@ -315,6 +315,12 @@ def _(spark, sf_dir):
     return scoring.alert_messages(proxy_scored(features.fill_features(posts(spark, sf_dir)), THRESHOLD), THRESHOLD)
 
 
+@query("live_features_long")
+def _(spark, sf_dir):
+    rows = live.live_features(snapshots(spark, sf_dir), AS_OF, dt.timedelta(days=3))
+    return rows.select("postId", "timeElapsedMin", *[c for c in FEATURES.names if c.startswith("maxScore") and "Growth" not in c])
+
+
 @query("live_scoring")
 def _(spark, sf_dir):
     rows = live.live_features(snapshots(spark, sf_dir), AS_OF, dt.timedelta(hours=3))

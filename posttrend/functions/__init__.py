@@ -11,6 +11,7 @@ from posttrend.functions.columns import (
     row_hash,
     to_double,
     utc,
+    utc_date,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "row_hash",
     "to_double",
     "utc",
+    "utc_date",
 ]

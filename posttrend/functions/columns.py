@@ -68,6 +68,11 @@ def to_double(*names: str) -> list[str]:
     return [f"cast(`{n}` AS double) AS `{n}`" for n in names]
 
 
+def utc_date(ts: dt.datetime) -> dt.date:
+    """The UTC date of a time; a naive time is UTC, as in ``utc``."""
+    return (ts.astimezone(dt.timezone.utc) if ts.tzinfo else ts).date()
+
+
 def utc(ts: dt.datetime) -> Column:
     """A timestamp literal; a naive time is UTC, whatever zone the driver's machine is in."""
     return F.lit(ts if ts.tzinfo else ts.replace(tzinfo=dt.timezone.utc))

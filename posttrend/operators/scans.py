@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posttrend.functions import utc
+from posttrend.functions import utc, utc_date
 
 
 def date_spine(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -54,7 +54,7 @@ def recent_ids(
     start = as_of - lookback
     last = start if same_day_only else as_of
     window = F.col("loadTSUTC").between(utc(start), utc(as_of))
-    window = window & F.col("loadDateUTC").between(F.lit(start.date()), F.lit(last.date()))
+    window = window & F.col("loadDateUTC").between(F.lit(utc_date(start)), F.lit(utc_date(last)))
     if extra is not None:
         window = window & extra
     return distinct_ids(snapshots.where(window))

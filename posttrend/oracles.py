@@ -346,6 +346,14 @@ FROM lin WHERE "postId" IN (SELECT "postId" FROM snap
     "lin",
     "snap",
 )
+oracle(
+    "live_features_long",
+    """SELECT "postId", "timeElapsedMin", "maxScore20m", "maxScore21_40m", "maxScore41_60m"
+FROM feat WHERE "postId" IN (SELECT "postId" FROM snap
+  WHERE "loadTSUTC" BETWEEN TIMESTAMP '2024-01-27 23:00:00' AND TIMESTAMP '2024-01-30 23:00:00')""",
+    "feat",
+    "snap",
+)
 CTES["newest"] = (
     ("snap",),
     """

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from posttrend.functions.columns import utc_date
 from posttrend.operators.features import fill_features, post_features, time_features
 from posttrend.operators.models import score_model
 from posttrend.operators.scans import recent_ids
@@ -16,9 +17,6 @@ from posttrend.operators.scoring import alert_messages, drop_already_alerted, ma
 from posttrend.schema import SCORED
 from posttrend.sources.tables import append_scored, read_scored, read_scored_batch
 
-# Posts are followed for an hour; a day on either side covers midnight.
-HISTORY = dt.timedelta(days=1)
-
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -28,15 +26,20 @@ def model_scorer(model) -> Scorer:
 
 
 def live_features(
-    snapshots: DataFrame, as_of: dt.datetime, lookback: dt.timedelta = dt.timedelta(minutes=15), **window
+    snapshots: DataFrame, as_of: dt.datetime, lookback: dt.timedelta = dt.timedelta(minutes=15),
+    history: dt.timedelta | None = None, **window,
 ) -> DataFrame:
     """Features of the posts seen within ``lookback`` of ``as_of``.
 
     Features first, ids second: the aggregate leaves one row per post, so a post
     with very many snapshots is reduced in the map tasks instead of meeting the
-    join as one huge key.  The load date bounds the scan.
+    join as one huge key.  A post's whole history up to ``as_of`` counts;
+    ``history`` limits the scan to so much before the look-back, for callers who
+    know that no post has older snapshots.
     """
-    days = F.col("loadDateUTC").between(F.lit((as_of - HISTORY).date()), F.lit(as_of.date()))
+    days = F.col("loadDateUTC") <= F.lit(utc_date(as_of))
+    if history is not None:
+        days = days & (F.col("loadDateUTC") >= F.lit(utc_date(as_of - lookback - history)))
     ids = recent_ids(snapshots, as_of, lookback, **window)
     return post_features(snapshots.where(days)).join(ids, "postId", "left_semi")
 
@@ -57,10 +60,15 @@ def run_once(
     as_of: dt.datetime,
     batch: int,
     lookback: dt.timedelta = dt.timedelta(minutes=15),
+    history: dt.timedelta | None = None,
 ) -> bool:
-    """Score, alert and store one run; repeating a ``batch`` number replaces that batch.  False if nothing was new."""
-    scored = score_batch(live_features(snapshots, as_of, lookback), scorer, model, threshold)
-    return store_batch(scored, threshold, scored_path, alerts_path, batch, (as_of - 2 * HISTORY).date())
+    """Score, alert and store one run; repeating a ``batch`` number replaces that batch.  False if nothing was new.
+
+    All earlier alerts are remembered; ``history`` limits both the snapshots read and the alerts looked up.
+    """
+    scored = score_batch(live_features(snapshots, as_of, lookback, history), scorer, model, threshold)
+    since = None if history is None else utc_date(as_of - lookback - history)
+    return store_batch(scored, threshold, scored_path, alerts_path, batch, since)
 
 
 def store_batch(

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from posttrend.functions.columns import utc_date
 from posttrend.operators.monitor import hot_max_score, monitor_labels, precision_recall_by
 from posttrend.operators.scans import distinct_ids, scored_between
 
@@ -23,7 +24,7 @@ def recent_labels(
 
     A post seen hot in that time keeps the best score of its whole hot history.
     """
-    days = F.col("loadDateUTC").between(F.lit((as_of - back).date()), F.lit(as_of.date()))
+    days = F.col("loadDateUTC").between(F.lit(utc_date(as_of - back)), F.lit(utc_date(as_of)))
     window = scored_between(scored, as_of - back, as_of - lag)
     best = hot_max_score(hot).join(distinct_ids(hot.where(days)), "postId", "left_semi")
     return monitor_labels(window, best, cutoff)

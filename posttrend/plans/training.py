@@ -13,10 +13,6 @@ from posttrend.operators.scans import distinct_ids
 from posttrend.sources.tables import write_training
 
 
-# Rising posts are followed for an hour, so a day on either side holds their whole history.
-MARGIN = dt.timedelta(days=1)
-
-
 def _loaded(snapshots: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
     if start is not None:
         snapshots = snapshots.where(F.col("loadDateUTC") >= F.lit(start))
@@ -26,17 +22,20 @@ def _loaded(snapshots: DataFrame, start: dt.date | None, end: dt.date | None) ->
 
 
 def training_table(
-    rising: DataFrame, hot: DataFrame, start: dt.date | None = None, end: dt.date | None = None
+    rising: DataFrame, hot: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+    margin: dt.timedelta | None = None,
 ) -> DataFrame:
     """Features of the posts loaded from ``start`` to ``end``, target 1 where the post was hot in that time.
 
     Features come before the choice of posts: the aggregate reduces every post to
-    one row in the map tasks, so the semi join never meets a hot key.
+    one row in the map tasks, so the semi join never meets a hot key.  The whole
+    history of a chosen post counts; ``margin`` limits the scan to so many days
+    around the range, for callers who know that no post has older snapshots.
     """
     if start is None and end is None:
         features = post_features(rising)
     else:
-        around = _loaded(rising, start and start - MARGIN, end and end + MARGIN)
+        around = rising if margin is None else _loaded(rising, start and start - margin, end and end + margin)
         features = post_features(around).join(distinct_ids(_loaded(rising, start, end)), "postId", "left_semi")
     return label_members(features, _loaded(hot, start, end))
 

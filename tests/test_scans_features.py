@@ -201,3 +201,13 @@ def test_random_control_has_the_wanted_rate(spark):
     assert draw(0).agg(F.avg("randomVar")).first()[0] == pytest.approx(0.2, abs=0.015)
     assert draw(0).exceptAll(draw(0)).count() == 0
     assert draw(0).exceptAll(draw(1)).count() > 0
+
+
+def test_look_back_of_days_keeps_every_post(spark):
+    days = [CREATED - dt.timedelta(days=d) for d in range(5)]
+    rows = [snap(f"p{i}", 10, 5, created=c) for i, c in enumerate(days)]
+    data = frame(spark, rows)
+    as_of = CREATED + dt.timedelta(minutes=60)
+    assert live_features(data, as_of, dt.timedelta(days=4, hours=2)).count() == 5
+    aware = as_of.replace(tzinfo=dt.timezone.utc).astimezone(dt.timezone(dt.timedelta(hours=-5)))
+    assert live_features(data, aware, dt.timedelta(days=4, hours=2)).count() == 5
