@@ -10,6 +10,8 @@ from posttrend.session import fresh_path
 # What counts as white space between words, and a word, where a contract names byte ranges (fixed values).
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Spark's setting for removing the shuffle files of a finished query.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -23,8 +25,16 @@ def ascii_lower(column):
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` into the shared folder and reads it back: lineage ends there, and lost executors cost nothing."""
+    """Writes ``df`` into the shared folder and reads it back: lineage ends there, and lost executors cost nothing.
+
+    The shuffle files behind it have served when it is written, so Spark is told to remove them.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
