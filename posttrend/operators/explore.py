@@ -33,7 +33,7 @@ def describe_by(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
         F.max("value").alias("max"),
         *[end for name, q in quartiles.items() for end in quantile_ends(q, name)],
     )
-    return found.selectExpr(
+    described = found.selectExpr(
         *keys,
         "total_n AS count",
         "total_s / total_n AS mean",
@@ -42,6 +42,9 @@ def describe_by(df: DataFrame, by: str, cols: list[str]) -> DataFrame:
         *[f"{interpolated(q, name)} AS {name}" for name, q in quartiles.items()],
         "max",
     )
+    # Columns without a value in a group have no ranks; they count 0.
+    counts = df.groupBy(by).agg(*[F.count(c).alias(c) for c in cols]).unpivot([by], cols, "feature", "count")
+    return described.unionByName(counts.where("count = 0"), allowMissingColumns=True)
 
 
 def rate_by(df: DataFrame, group: Column, name: str, y: str = "target") -> DataFrame:

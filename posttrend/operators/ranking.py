@@ -9,6 +9,7 @@ happens within a slice only; what lies before a slice is added as an offset.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +29,20 @@ def join_groups(rows: DataFrame, groups: DataFrame, by: list[str], spread: str,
     salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # Never NULL, as in ``_slice_of``.
     spread_rows = rows.withColumn("_salt", F.expr(f"coalesce(pmod(hash({spread}), {salts}), 0)"))
-    return spread_rows.join(salted, [*by, "_salt"]).drop("_salt")
+    return join_equal(spread_rows, salted, [*by, "_salt"]).drop("_salt")
+
+
+def join_equal(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL equals NULL, so that the group without a name is kept like any other."""
+    named = facts.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return rows.join(named, same).drop(*[f"_r_{k}" for k in keys])
 
 
 def value_counts(df: DataFrame, value: str, by: list[str], sums: dict[str, Column]) -> DataFrame:
-    """One row per distinct (by, value): row count ``n`` and the named sums; NULLs in either are left out."""
+    """One row per distinct (by, value): row count ``n`` and the named sums; NULL values are left out, NULL groups are not."""
     totals = [F.sum(column).alias(name) for name, column in sums.items()]
-    known = " AND ".join(f"{c} IS NOT NULL" for c in [*by, value])
-    return df.where(known).groupBy(*by, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"), *totals)
+    return df.where(f"{value} IS NOT NULL").groupBy(*by, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"), *totals)
 
 
 def _slice_stats(counts: DataFrame, by: list[str], names: list[str], slices: int) -> DataFrame:
@@ -106,7 +113,7 @@ def running_counts(
     offsets = offsets.drop("size_n", "total_n")
     # Without groups the offsets are ``slices`` rows at most, whatever the data.  With
     # groups the measured size decides; slices are even, so this join has no hot key.
-    ranked = sliced.join(offsets if by else F.broadcast(offsets), [*by, "slice"])
+    ranked = join_equal(sliced, offsets, [*by, "slice"]) if by else sliced.join(F.broadcast(offsets), "slice")
     upto = f"OVER (PARTITION BY {', '.join([*by, 'slice'])} ORDER BY value ROWS UNBOUNDED PRECEDING)"
     return ranked.selectExpr(
         *by, "value", *names, *[f"before_{c} + sum({c}) {upto} AS cum_{c}" for c in names], *totals

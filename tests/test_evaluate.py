@@ -216,3 +216,17 @@ def test_rates_and_histograms(spark, rows):
     assert rows(explore.base_rate(frame)) == [(4, 3, 0.75)]
     bins = explore.feature_hist_by(frame, "target", {"minute": 10})
     assert rows(bins) == [("minute", 0, 0, 1, 1.0), ("minute", 1, 1, 1, 1 / 3), ("minute", 1, 2, 1, 1 / 3), ("minute", 1, 3, 1, 1 / 3)]
+
+
+def test_groups_without_a_name_are_kept(spark):
+    data = spark.createDataFrame([("a", 0.9, 1), ("a", 0.1, 0), (None, 0.8, 1), (None, 0.2, 1)], "feed string, p double, y int")
+    assert {r.feed: r.aucpr for r in ev.auc_pr(data, "p", "y", by=["feed"]).collect()} == {"a": 1.0, None: 1.0}
+    assert {r.feed: r.value for r in ev.quantiles(data, "p", [1.0], by=["feed"]).collect()} == {"a": 0.9, None: 0.8}
+
+
+def test_columns_without_values_are_described(spark):
+    from posttrend.operators.explore import describe_by
+
+    data = spark.createDataFrame([(0, 1.0, None), (0, 3.0, None), (1, None, 5.0)], "target int, a double, b double")
+    got = {(r.feature, r.target): (r["count"], r["mean"]) for r in describe_by(data, "target", ["a", "b"]).collect()}
+    assert got == {("a", 0): (2, 2.0), ("a", 1): (0, None), ("b", 0): (0, None), ("b", 1): (1, 5.0)}
