@@ -52,14 +52,10 @@ WEIGHTS = {
     "time1800": 0.1,
 }
 INTERCEPT = -3.0
-HIST_WIDTHS = {c: 100.0 for c in feature_columns() if "Score2" in c or "Score4" in c} | {
-    "maxNumComments20m": 10.0,
-    "maxNumComments21_40m": 10.0,
-    "maxNumComments41_60m": 10.0,
-    "maxNumGildings41_60m": 1.0,
-    "maxScoreGrowth21_40m41_60m": 0.5,
-    "maxNumCommentsGrowth21_40m41_60m": 0.5,
-}
+EXPLORED = ["timeElapsedMin", *feature_columns()]
+# The first fitting part of a name decides.
+_WIDTHS = {"Elapsed": 5.0, "Growth": 0.5, "Ratio": 0.25, "Gildings": 1.0, "Comments": 10.0, "Score": 100.0}
+HIST_WIDTHS = {c: next(w for part, w in _WIDTHS.items() if part in c) for c in EXPLORED}
 
 QUERIES: dict[str, Query] = {}
 
@@ -132,7 +128,9 @@ def prior_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 @query("snapshot_normalize")
 def _(spark, sf_dir):
     rows = listing(spark, sf_dir)
-    return intake.normalize_listing(rows, "rising", 3).unionByName(intake.normalize_listing(rows, "hot", 1))
+    return intake.normalize_listing(rows, "rising", collect.FEED_DEPTH["rising"]).unionByName(
+        intake.normalize_listing(rows, "hot", collect.FEED_DEPTH["hot"])
+    )
 
 
 @query("collect_feed")
@@ -443,7 +441,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = features.fill_features(labelled(spark, sf_dir))
     return rounded(
-        explore.describe_by(rows, "target", feature_columns()), "mean", "std", "min", "p25", "p50", "p75", "max"
+        explore.describe_by(rows, "target", EXPLORED), "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
 
@@ -470,7 +468,8 @@ def _(spark, sf_dir):
 
 @query("feature_hist_by_target")
 def _(spark, sf_dir):
-    return rounded(explore.feature_hist_by(labelled(spark, sf_dir), "target", HIST_WIDTHS), "share")
+    rows = features.fill_features(labelled(spark, sf_dir))
+    return rounded(explore.feature_hist_by(rows, "target", HIST_WIDTHS), "share")
 
 
 @query("base_rate")
@@ -537,7 +536,7 @@ def _(spark, sf_dir):
 
 @query("stratified_split")
 def _(spark, sf_dir):
-    return splits.stratified_splits(labelled(spark, sf_dir).select("postId", "target"), "target", "postId", n=3)
+    return splits.stratified_splits(labelled(spark, sf_dir).select("postId", "target"), "target", "postId")
 
 
 # ---------------------------------------------------------------- models

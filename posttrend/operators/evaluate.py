@@ -157,5 +157,5 @@ def review_list(df: DataFrame, p: str, y: str, threshold: float, features: list[
 
 
 def review_order(rows: DataFrame) -> DataFrame:
-    """Positives first, then false positives, each by falling score."""
-    return rows.orderBy(F.col("target").desc(), F.col("prediction").desc())
+    """Positives first, then false positives, each by falling score; equal scores by post."""
+    return rows.orderBy(F.col("target").desc(), F.col("prediction").desc(), "postId")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posttrend.catalog import HIST_WIDTHS, INTERCEPT, QUANTILES, RATES, WEIGHTS
+from posttrend.catalog import EXPLORED, HIST_WIDTHS, INTERCEPT, QUANTILES, RATES, WEIGHTS
 from posttrend.operators.evaluate import TOP_QUANTILES
 from posttrend.schema import METRICS, TREE_FEATURES, bucket_labels, feature_columns, feature_name, growth_name
 
@@ -118,8 +118,7 @@ def _normalized(view: str, n: int) -> str:
     QUALIFY row_number() {order} <= {n}"""
 
 
-CTES["rising3"] = (("aged",), _normalized("rising", 3))
-CTES["hot1"] = (("aged",), _normalized("hot", 1))
+CTES["rising25"] = (("aged",), _normalized("rising", 25))
 CTES["hot3"] = (("aged",), _normalized("hot", 3))
 CTES["hot25"] = (("aged",), _normalized("hot", 25))
 CTES["hotmax"] = (
@@ -199,9 +198,9 @@ def oracle(name: str, body: str, *roots: str) -> None:
 
 oracle(
     "snapshot_normalize",
-    f"SELECT {_DATE_AS_TEXT} FROM (SELECT * FROM rising3 UNION ALL SELECT * FROM hot1)",
-    "rising3",
-    "hot1",
+    f"SELECT {_DATE_AS_TEXT} FROM (SELECT * FROM rising25 UNION ALL SELECT * FROM hot3)",
+    "rising25",
+    "hot3",
 )
 oracle("collect_feed", f"SELECT {_DATE_AS_TEXT} FROM hot3", "hot3")
 oracle("snapshot_age", 'SELECT id, minutes AS "timeElapsedMin", days AS "ageDays" FROM aged', "aged")
@@ -423,7 +422,7 @@ _DESCRIBE = [
   round(quantile_cont("{c}"::double, 0.25), 6) AS p25, round(quantile_cont("{c}"::double, 0.5), 6) AS p50,
   round(quantile_cont("{c}"::double, 0.75), 6) AS p75, round(max("{c}")::double, 6) AS max
 FROM filled GROUP BY target"""
-    for c in _FEATURES
+    for c in EXPLORED
 ]
 oracle("describe_by_target", "\nUNION ALL ".join(_DESCRIBE), "filled")
 oracle(
@@ -445,7 +444,7 @@ FROM snap GROUP BY ALL""",
 )
 _HIST = [
     f"""SELECT '{c}' AS feature, target, floor("{c}" / {w}::double)::bigint AS bin, count(*) AS count
-FROM lab WHERE "{c}" IS NOT NULL GROUP BY ALL"""
+FROM filled GROUP BY ALL"""
     for c, w in HIST_WIDTHS.items()
 ]
 oracle(
@@ -453,7 +452,7 @@ oracle(
     "SELECT *, round(count / sum(count) OVER (PARTITION BY feature, target), 6) AS share FROM (\n"
     + "\nUNION ALL ".join(_HIST)
     + ")",
-    "lab",
+    "filled",
 )
 oracle(
     "base_rate",
@@ -537,7 +536,7 @@ oracle(
     """SELECT split, "postId", target,
   (row_number() OVER (PARTITION BY split, target ORDER BY md5(concat_ws('|', "postId", split::varchar, '0')))
      <= round(0.8 * count(*) OVER (PARTITION BY split, target)))::int AS is_train
-FROM lab, (SELECT unnest([0, 1, 2])::int AS split)""",
+FROM lab, (SELECT unnest(range(10))::int AS split)""",
     "lab",
 )
 
