@@ -12,8 +12,10 @@ empty table gives an empty table; further columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -116,16 +118,18 @@ def scan_text(text: str | None, phrases=PHRASES, notices: tuple[Notice, ...] = N
     words = [w for w in normalise(text) if w]
     joined = " ".join(words)
     padded = f" {joined} "
+    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+    word_at = lambda place: bisect_right(starts, place) - 1
     base = []
     for phrase, label in phrases:
         at = padded.find(f" {phrase} ")
         while at >= 0:
-            base.append((padded.count(" ", 0, at), label))
+            base.append((word_at(at), label))
             at = padded.find(f" {phrase} ", at + 1)
     spans = []
     for number, a, b, errors in fuzzy(joined, notices):
         notice = notices[number]
-        spans.append(Found(notice.label, joined.count(" ", 0, a), joined.count(" ", 0, max(a, b - 1)) + 1, errors, round(1 - errors / len(notice.words), 6)))
+        spans.append(Found(notice.label, word_at(a), word_at(max(a, b - 1)) + 1, errors, round(1 - errors / len(notice.words), 6)))
     return len(words), base, spans
 
 
