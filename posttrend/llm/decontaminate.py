@@ -10,7 +10,7 @@ words, one automaton each, and the blocks' findings are joined per document.  Me
 benchmark.
 
 Cases: NULL or wordless items have no windows; NULL or empty documents have no words; repeated items each count under
-their own id; repeated rows are judged one by one; an empty benchmark hits nothing; further columns are ignored by
+their own id, an item without one hits words but is not named; repeated rows are judged one by one; an empty benchmark hits nothing; further columns are ignored by
 ``find_leaks`` and pass through ``remove_leaks``.
 """
 
@@ -27,7 +27,7 @@ from posttrend.llm.common import stored
 from posttrend.llm.words import LETTER_WORD_BYTES, Words, slices
 
 WINDOW = 10
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 250_000
 MAX_COVERAGE = 0.5
 
 
@@ -213,7 +213,7 @@ def _hits(rows: DataFrame, benchmark: DataFrame, text: str, window: int, block_w
                 old = part.to_pylist() if "items" in part.schema.names else None
                 spans, items = [], []
                 for i, (ranges, names) in enumerate(found):
-                    names = {str(n) for n in names}
+                    names = {str(n) for n in names if n is not None}
                     if old:
                         ranges = ranges + [(s["begin"], s["end"]) for s in old[i]["spans"]]
                         names |= set(old[i]["items"])

@@ -66,3 +66,8 @@ def test_removal(make):
     ]
     assert decontaminate.remove_leaks(frame, make([], ITEMS)).count() == 6
     assert decontaminate.find_leaks(make([]), make([], ITEMS)).count() == 0
+
+
+def test_an_item_without_id_hits_but_is_not_named(make):
+    row = decontaminate.find_leaks(make([(1, "x one two three y")]), make([(None, "one two three")], ITEMS)).first()
+    assert (row.n_hit, row.n_items, row.contaminated) == (3, 0, True)
