@@ -61,8 +61,8 @@ def targets(cells: DataFrame, dimension: str, temperature: float, fixed: dict[st
     else:
         known = F.create_map(*[F.lit(x) for pair in fixed.items() for x in pair])
         sums = sums.withColumn("part", F.coalesce(known[F.col(dimension)], F.lit(0.0)))
-    total = sums.agg(F.sum("part").alias("total"))
-    return sums.join(F.broadcast(total)).select(dimension, F.when(F.col("total") > 0, F.col("part") / F.col("total")).otherwise(0.0).alias("target"))  # one row
+    total = sums.agg(F.sum("part")).first()[0] or 0.0
+    return sums.select(dimension, (F.col("part") / F.lit(total) if total > 0 else F.lit(0.0)).alias("target"))
 
 
 def rake(cells: DataFrame, wanted: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
