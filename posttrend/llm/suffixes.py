@@ -333,14 +333,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
     firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
     copies = stored(digests.join(firsts, "digest").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("digest").alias("digests")), "copies")
     copy = F.coalesce(F.array_contains("digests", digest), F.lit(False))
+    # Merge joins at every size: what is joined to the texts grows with them.
+    copies = copies.hint("merge")
     # Each step is stored, so that no more than one step's shuffle files lie on the disks at a time.
     singles = named.join(copies, "doc_id", "left").where(~copy).select("doc_id", "text")
     places = _anchor_rows(singles).repartition("h").sortWithinPartitions("h", "doc_id")
-    wanted = stored(_shared(places).groupBy("doc_id").agg(F.collect_set("h").alias("hs")), "wanted")
+    wanted = stored(_shared(places).groupBy("doc_id").agg(F.collect_set("h").alias("hs")), "wanted").hint("merge")
     joined = named.join(wanted, "doc_id").join(copies, "doc_id", "left").where(~copy).select("doc_id", "text", "hs")
     contexts = _contexts(joined).repartition("h").sortWithinPartitions("h", "before", "body", "doc_id")
     spans = _repeats(contexts).groupBy("doc_id").agg(F.collect_list(F.struct("row", "begin", "end")).alias("spans"))
-    spans = stored(spans, "spans")
+    spans = stored(spans, "spans").hint("merge")
     found = named.join(spans, "doc_id", "left").join(copies, "doc_id", "left").select("doc_id", "text", "spans", copy.alias("copy"))
     rest = docs.where("doc_id IS NULL").select("doc_id", "text", F.lit(None).cast(found.schema["spans"].dataType).alias("spans"), F.lit(False).alias("copy"))
     return _strip(found.unionByName(rest))
