@@ -15,7 +15,12 @@ from posttrend.sources.tables import read_listing, read_scored, read_snapshots
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def _naive(moment: dt.datetime) -> dt.datetime:
+    """The same moment in UTC, without a zone."""
+    return moment.astimezone(dt.timezone.utc).replace(tzinfo=None) if moment.tzinfo else moment
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -61,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
         rising, hot = read_snapshots(spark, args.rising), read_snapshots(spark, args.hot)
         build_training(rising, hot, args.output, start=args.start, end=args.end)
     elif args.job == "score":
-        as_of = args.as_of or _now()
+        as_of = _naive(args.as_of or _now())
         if args.model:
             model, name = registry.load_model(args.models, args.model), args.model
         else:
@@ -72,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         scorer = live.model_scorer(model)
         live.run_once(rising, scorer, name, args.threshold, args.scored, args.alerts, as_of, batch)
     else:
-        as_of = args.as_of or _now()
+        as_of = _naive(args.as_of or _now())
         # Only posts created in the report's two days count, so older days are not read.
         scored = read_scored(spark, args.scored, since=(as_of - dt.timedelta(days=2)).date())
         rows = monitoring.report(scored, read_snapshots(spark, args.hot), as_of)

@@ -8,26 +8,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from posttrend.operators.intake import dedupe_latest
+
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """The empty table an upsert starts from when the target is not there yet."""
     return spark.createDataFrame([], schema)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def _one_per_key(new: DataFrame, keys: list[str], order: str | None) -> DataFrame:
+    """The row of each key that comes last by ``order``, then by the other columns that can be sorted."""
+    sortable = [
+        f.name for f in new.schema.fields if f.name not in [*keys, order] and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    ranks = [order, *sortable] if order else sortable
+    if not ranks:
+        return new.dropDuplicates(keys)
+    return dedupe_latest(new, keys, ranks[0], ranks[1:])
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Insert the new keys and replace the columns ``new`` carries where the key exists.
 
     Columns only ``old`` has keep their value on an update and are NULL on an
-    insert.  ``new`` must be unique on ``keys`` and must not bring columns the
-    table lacks; add those first with ``ensure_columns``.
+    insert.  ``new`` must not bring columns the table lacks; add those first with
+    ``ensure_columns``.  Of several new rows of one key the one with the largest
+    ``order`` counts (without it, or on a tie, the largest by the other columns),
+    so the table stays unique on ``keys``.  A key with a NULL in it finds nothing
+    in ``old``; new rows with the same such key count as one.
     """
     unknown = [c for c in new.columns if c not in old.columns]
     if unknown:
         raise ValueError(f"columns not in the target table: {unknown}")
-    kept_only = [c for c in old.columns if c not in new.columns]
-    incoming = new.join(old.select(*keys, *kept_only), keys, "left") if kept_only else new
-    untouched = old.join(new.select(*keys), keys, "left_anti")
-    return untouched.select(*old.columns).unionByName(incoming.select(*old.columns))
+    # Both sides are read once, and the rank above is partitioned like the join.
+    here = F.lit(True).alias("here")
+    before = old.select(*keys, F.struct(here, *[c for c in old.columns if c not in keys]).alias("_old"))
+    incoming = _one_per_key(new, keys, order)
+    incoming = incoming.select(*keys, F.struct(here, *[c for c in new.columns if c not in keys]).alias("_new"))
+
+    def pick(name: str):
+        if name in keys:
+            return F.col(name)
+        if name not in new.columns:
+            return F.col("_old")[name].alias(name)
+        return F.when(F.col("_new.here"), F.col("_new")[name]).otherwise(F.col("_old")[name]).alias(name)
+
+    return before.join(incoming, keys, "full").select(*[pick(c) for c in old.columns])
 
 
 def delete_by_key(df: DataFrame, bad: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from posttrend.operators.models import score_model
 from posttrend.operators.scans import recent_ids
 from posttrend.operators.scoring import alert_messages, drop_already_alerted, mark_step_up, with_model_name
 from posttrend.schema import SCORED
-from posttrend.sources.tables import append_scored, read_scored, read_scored_batch
+from posttrend.sources.tables import JOBS, append_scored, batch_path, read_scored, read_scored_batch
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -65,37 +65,52 @@ def run_once(
     """Score, alert and store one run; repeating a ``batch`` number replaces that batch.  False if nothing was new.
 
     All earlier alerts are remembered; ``history`` limits both the snapshots read and the alerts looked up.
+    Batches come in the order of their ``as_of``, those of one ``as_of`` in the order of their numbers.
     """
     scored = score_batch(live_features(snapshots, as_of, lookback, history), scorer, model, threshold)
     since = None if history is None else utc_date(as_of - lookback - history)
-    return store_batch(scored, threshold, scored_path, alerts_path, batch, since)
+    return store_batch(scored, threshold, scored_path, alerts_path, batch, since, moment=_micros(as_of))
+
+
+def _micros(moment: dt.datetime) -> int:
+    """Microseconds since 1970; a time without a zone is UTC."""
+    aware = moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
+    return (aware - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
 
 
 def store_batch(
-    scored: DataFrame, threshold: float, scored_path: str, alerts_path: str, batch: int, since: dt.date | None
+    scored: DataFrame,
+    threshold: float,
+    scored_path: str,
+    alerts_path: str,
+    batch: int,
+    since: dt.date | None,
+    run: str = JOBS,
+    moment: int | None = None,
 ) -> bool:
-    """Write a scored batch and its alerts; False, and no files, if no row is left.
+    """Write a scored batch and its alerts; False if no row is left.
 
     The batch is computed once: alerts come from the rows as stored.  A repeat of
-    the same ``batch`` does not see its own rows as prior ones, so a run cut short
-    can simply be repeated.
+    the same ``batch`` of a ``run`` does not see its own rows as prior ones and
+    replaces both its rows and its alerts, also by none, so a run cut short can
+    simply be repeated.  ``moment`` (microseconds) tells its place among all runs.
     """
     spark = scored.sparkSession
-    prior = _prior(spark, scored_path, since, batch)
-    append_scored(scored if prior is None else drop_already_alerted(scored, prior), scored_path, batch)
-    stored = read_scored_batch(spark, scored_path, batch)
-    if stored.isEmpty():
-        return False
-    alerts = alert_messages(stored, threshold).withColumn("batch", F.lit(batch).cast("long"))
-    writer = alerts.write.partitionBy("batch").mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(alerts_path)
-    return True
-
-
-def _prior(spark: SparkSession, path: str, since: dt.date | None, batch: int) -> DataFrame | None:
+    prior = _prior(spark, scored_path, since, batch, run, moment)
+    left = scored if prior is None else drop_already_alerted(scored, prior)
+    append_scored(left, scored_path, batch, run, moment)
+    stored = read_scored_batch(spark, scored_path, batch, run)
+    writer = alert_messages(stored, threshold).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").parquet(batch_path(alerts_path, batch, run))
+    return not stored.isEmpty()
+
+
+def _prior(
+    spark: SparkSession, path: str, since: dt.date | None, batch: int, run: str, moment: int | None
+) -> DataFrame | None:
     """What earlier batches stored; None before the first one."""
     try:
-        return read_scored(spark, path, since=since, before_batch=batch)
+        return read_scored(spark, path, since, batch, run, moment)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

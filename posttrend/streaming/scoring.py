@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +16,11 @@ def _trigger(writer, cadence: str | None):
     return writer.trigger(processingTime=cadence) if cadence else writer.trigger(availableNow=True)
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identifier Spark gave a stream when its checkpoint was begun."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def run_scoring(
     snapshots: DataFrame,
     scorer: Scorer,
@@ -30,20 +35,28 @@ def run_scoring(
 
     ``cadence=None`` works off what is there and stops.  Prior alerts are looked
     up among the posts created within ``history`` of the oldest post of a batch.
+    Rows are stored under the identifier kept in the checkpoint: a stream that goes
+    on continues its batch numbers, one begun anew has a run of its own.  A batch
+    stands for the time at which it was first tried, also when it is repeated.
     """
+    run: list[str] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Kept for the two reads below; each would otherwise replay the stateful aggregate.
         batch = batch.persist()
         try:
-            oldest = batch.agg(F.min(F.to_date("createdTSUTC")).alias("day")).first()["day"]
+            oldest, moment = batch.agg(F.min(F.to_date("createdTSUTC")), F.max("_moment")).first()
             if oldest is not None:
-                scored = score_batch(batch, scorer, model, threshold)
-                store_batch(scored, threshold, paths["scored"], paths["alerts"], batch_id, oldest - history)
+                if not run:
+                    run.append(checkpoint_id(batch.sparkSession, paths["checkpoint"]))
+                scored = score_batch(batch.drop("_moment"), scorer, model, threshold)
+                since = oldest - history
+                store_batch(scored, threshold, paths["scored"], paths["alerts"], batch_id, since, run[0], moment)
         finally:
             batch.unpersist()
 
-    features = stream_features(drop_aged(snapshots), delay)
+    # In a stream the current time is that of the micro-batch, which its offset log keeps.
+    features = stream_features(drop_aged(snapshots), delay).withColumn("_moment", F.unix_micros(F.current_timestamp()))
     writer = features.writeStream.outputMode("update").foreachBatch(handle)
     return _trigger(writer.option("checkpointLocation", paths["checkpoint"]), cadence).start()
 

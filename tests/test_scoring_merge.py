@@ -69,6 +69,26 @@ def test_upsert(spark, rows):
     assert rows(merge.upsert(merge.empty_like(spark, old.schema), new, ["k"])) == rows(new)
 
 
+def test_upsert_keeps_keys_unique(spark, rows):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
+    new = spark.createDataFrame([(1, "x", 7), (1, "y", 9), (1, "z", 8), (3, "p", 2), (3, "q", 2)], "k int, v string, at int")
+    assert rows(merge.upsert(old, new, ["k"], order="at")) == [(1, "y", 9), (2, "b", 1), (3, "q", 2)]
+    assert rows(merge.upsert(old, new, ["k"])) == [(1, "z", 8), (2, "b", 1), (3, "q", 2)]
+    assert rows(merge.upsert(old.select("k"), new.select("k"), ["k"])) == [(1,), (2,), (3,)]
+    nulls = spark.createDataFrame([(None, "n", 1)], "k int, v string, at int")
+    assert merge.upsert(old.union(nulls), nulls, ["k"]).count() == 4
+    half = new.select("k", F.lit(None).cast("string").alias("v"))  # NULL is a value like others
+    assert rows(merge.upsert(old, half, ["k"]), "k", "v") == [(1, None), (2, "b"), (3, None)]
+
+
+def test_upsert_reads_each_side_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1, "a", 1)], "k int, v string, at int").write.parquet(path)
+    read = lambda: spark.read.parquet(path)
+    plan = merge.upsert(read(), read().select("k", "v"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+
+
 def test_upsert_composite_key_and_partial_columns(spark, rows):
     old = spark.createDataFrame(
         [(1, "x", "ann", 20), (1, "y", "bob", 30), (2, "x", "cyd", 40)], "id1 long, id2 string, name string, age long"
@@ -143,6 +163,32 @@ def test_scoring_runs_end_to_end(spark, tmp_path, rows):
     assert not run({"a": 120}, 3)  # alerted and unchanged: nothing to store
 
 
+def test_repeated_run_replaces_all_it_stored(spark, tmp_path, rows):
+    scored, alerts = str(tmp_path / "scored"), str(tmp_path / "alerts")
+    scorer = lambda df: scoring.score_linear(df, {"maxScore41_60m": 0.1}, -5.0)
+    run = lambda scores, threshold=0.5: live.run_once(
+        _snapshots(spark, scores), scorer, "m", threshold, scored, alerts, DAY + dt.timedelta(minutes=60), 7
+    )
+    assert run({"a": 100, "b": 90})
+    assert run({"a": 100, "b": 90}, threshold=1.0)  # nothing steps up any more
+    assert spark.read.parquet(alerts).count() == 0
+    assert rows(read_scored(spark, scored), "postId", "stepUp") == [("a", 0), ("b", 0)]
+    assert run({"a": 100})  # fewer posts
+    assert rows(read_scored(spark, scored), "postId", "stepUp") == [("a", 1)]
+    assert not run({})
+    assert read_scored(spark, scored).count() == 0 and spark.read.parquet(alerts).count() == 0
+
+
+def test_runs_share_one_line_of_time(spark, tmp_path, rows):
+    path = str(tmp_path / "scored")
+    append_scored(scored_rows(spark, [("a", 0.1, 0), ("b", 0.1, 0)]), path, 900, "one", 50)
+    append_scored(scored_rows(spark, [("a", 0.2, 0)]), path, 0, "two", 60)
+    append_scored(scored_rows(spark, [("a", 0.3, 0)]), path, 901, "one", 55)
+    assert rows(read_scored(spark, path), "postId", "predict_proba_1") == [("a", 0.2), ("b", 0.1)]
+    prior = read_scored(spark, path, before_batch=0, run="two", moment=60)
+    assert rows(prior, "postId", "predict_proba_1") == [("a", 0.3), ("b", 0.1)]
+
+
 def test_monitoring_report(spark):
     as_of = DAY + dt.timedelta(days=1)
     scored = scored_rows(spark, [("hit", 0.9, 1), ("false", 0.9, 1), ("missed", 0.1, 0)])

@@ -100,3 +100,18 @@ def test_streamed_scoring_alerts_once(spark, feed, tmp_path, rows):
     run()
     assert spark.read.parquet(paths["alerts"]).count() == before
     assert spark.read.parquet(paths["scored"]).agg(F.max("batch")).first()[0] == a_batch
+
+
+def test_scoring_on_a_new_checkpoint_loses_nothing_and_alerts_nothing_again(spark, feed, tmp_path, rows):
+    paths = {part: str(tmp_path / part) for part in ("scored", "alerts", "checkpoint")}
+    scorer = lambda df: score_linear(df, {"maxScore41_60m": 0.1}, -5.0)
+    run = lambda: run_scoring(feed.stream(), scorer, "m", 0.5, paths, cadence=None).awaitTermination()
+    feed(snap("a", 45, 10), snap("b", 45, 90))
+    feed(snap("c", 45, 80))
+    run()
+    stored = rows(read_scored(spark, paths["scored"]), "postId", "stepUp")
+    assert stored == [("a", 0), ("b", 1), ("c", 1)]
+    paths["checkpoint"] = str(tmp_path / "another")
+    run()  # all events come again
+    assert rows(read_scored(spark, paths["scored"]), "postId", "stepUp") == stored
+    assert rows(spark.read.parquet(paths["alerts"]), "postId") == [("b",), ("c",)]
