@@ -97,7 +97,7 @@ def _removed(docs: DataFrame, window: int, mean: int, least: int) -> tuple[DataF
     often = found.groupBy("hash").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1")
     proposed = stored(found.join(often, "hash"), "proposed")
     asked = proposed.groupBy("key").agg(F.collect_list("no").alias("nos"))
-    bodies = _bytes_of(docs.join(asked, "key").select("text", "nos"), window, mean, least)
+    bodies = _bytes_of(docs.select("key", "text").join(asked.hint("merge"), "key").select("text", "nos"), window, mean, least)
     # One string between the least and the greatest: all bytes agree.
     equal = bodies.groupBy("hash").agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a = b").select("hash")
     later = proposed.where(place != F.col("first")).join(equal, "hash")
@@ -145,7 +145,9 @@ def _strip(rows_in: DataFrame, window: int, mean: int, least: int) -> DataFrame:
 def _deduped(docs, id_col, text, window, mean, least) -> DataFrame:
     keyed = _keyed(docs, id_col, text)
     _, removed = _removed(keyed.select("key", "doc_id", "text"), window, mean, least)
-    return _strip(keyed.join(removed, "key", "left").select("row", "text", "nos"), window, mean, least)
+    # Whole rows travel once: the text is taken out of them afterwards.  A merge join at every size, as both sides grow.
+    joined = keyed.select("key", "row").join(removed.hint("merge"), "key", "left")
+    return _strip(joined.select("row", F.col("row")[text].alias("text"), "nos"), window, mean, least)
 
 
 def line_report(
