@@ -56,3 +56,26 @@ def test_pipeline_form(make):
     assert len(texts.get(3, "")) <= len("passage 29")
     assert texts[None] is None and texts[4] == "" and got.where("doc_id = 5").count() == 2
     assert lines.dedup_lines(make([])).count() == 0 and lines.line_report(make([])).count() == 0
+
+
+def test_short_passages_and_long_lines_go(make, by_id):
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [[words(30) for _ in range(size)] for size in (2, 3, 4, 5) for _ in range(6)] + [[words(51)] for _ in range(6)]
+    rows, want = [], {}
+    for i, passage in enumerate(passages):
+        for doc, lead in ((i, 1), (1000 + i, i % 4)):
+            before, after = [words(5) for _ in range(lead)], [words(5) for _ in range(i % 3)]
+            rows.append((doc, "\n".join([*before, "", *passage, *after])))
+            want[doc] = "\n".join([*before, "", *passage, *after] if doc < 1000 else [*before, *after])
+    rows.append((2000, words(3) + "\n" + words(50)))
+    rows.append((2001, rows[-1][1].split("\n")[1]))
+    got = by_id(lines.dedup_lines(make(rows)))
+    assert {d: got[d].text.rstrip("\n") for d in want} == want
+    assert (got[2000].text, got[2001].text) == (rows[-2][1], rows[-1][1])
+
+
+def test_every_line_stands_somewhere(make):
+    rows = corpus()
+    left = {line for r in lines.dedup_lines(make(rows)).collect() for line in (r.text or "").split("\n")}
+    assert {line for _, text in rows for line in (text or "").split("\n") if line.strip()} <= left
