@@ -10,6 +10,8 @@ from typing import NamedTuple
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe noembed noframes xmp".split())
 SKIPPED = RAW | frozenset("head svg math object audio video canvas select datalist button".split())
+# What a head can hold; any other opening tag, and text, ends an open head as </head> does.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -42,7 +44,7 @@ def blocks(page: str | None) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     skipped = 0  # open tags whose text does not count
-    links = 0
+    links = heads = 0
 
     def end_block():
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
@@ -52,13 +54,20 @@ def blocks(page: str | None) -> list[Block]:
         linked.clear()
 
     def pop_to(index):
-        nonlocal skipped, links
+        nonlocal skipped, links, heads
         for tag, _ in stack[index:]:
+            heads -= tag == "head"
             skipped -= tag in SKIPPED
             links -= tag == "a"
         del stack[index:]
 
+    def end_head():
+        end_block()
+        pop_to(next(i for i, (tag, _) in enumerate(stack) if tag == "head"))
+
     def take(text):
+        if heads and text.strip(" \t\n\f\r"):
+            end_head()
         if not skipped:
             parts.append(text)
             if links:
@@ -76,6 +85,8 @@ def blocks(page: str | None) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if heads and (tag in ("body", "html", "br") if m[1] else tag not in IN_HEAD):
+            end_head()
         if m[1]:
             if tag in BLOCK or tag in SKIPPED:
                 end_block()
@@ -112,6 +123,7 @@ def blocks(page: str | None) -> list[Block]:
             continue
         stack.append((tag, _names(m[3])))
         skipped += tag in SKIPPED
+        heads += tag == "head"
         links += tag == "a"
     end_block()
     return out

@@ -15,6 +15,22 @@ def test_blocks():
     assert blocks(None) == blocks("") == blocks("<p> </p>") == [] and blocks("<p>x<!-- open") [0].text == "x"
 
 
+def test_head_without_its_end():
+    head = "<html><HEAD><meta charset=x><title>T</title>\n<link rel=x><style>p{}</style><script>var t='<p>no</p>';</script> "
+    for body in ("<body><p>one<p>two</body></html>", "<p>one<p>two", "\n<main>one<div>two</div>", "one<p>two</html>", "</body>one<p>two"):
+        assert [b.text for b in blocks(head + body)] == ["one", "two"], body
+        assert not any(tag == "head" for b in blocks(head + body) for tag, _ in b.path)
+        assert blocks(head + body) == blocks(head + "</head>" + body)
+    assert blocks(head) == blocks(head + "</head></html>") == []
+
+
+def test_page_without_head_end_is_extracted(make):
+    body = "<body><article><h1>Title here</h1><p>First paragraph with words, long enough to read.</p></article></body></html>"
+    rows = [(1, "u", "<html><head><title>T</title>" + body), (2, "u", "<html><head><title>T</title></head>" + body)]
+    a, b = extract.extract_text(make(rows, PAGES)).orderBy("page_id").collect()
+    assert a.text == b.text == "Title here First paragraph with words, long enough to read." and a.n_chars == b.n_chars > 0
+
+
 def test_held_out_accuracy():
     field = extract.default_field()
     wrong = total = 0
