@@ -38,6 +38,7 @@ NEW_FROM = dt.datetime(2024, 1, 15)
 PRIOR_BEFORE = dt.datetime(2024, 1, 20)
 HOT_CUTOFF = 2000
 QUANTILES = [0.95, 0.97, 0.975, 0.98, 0.99]
+C_VALUES = [1.0, 0.5, 0.25, 0.1, 0.01, 0.001, 0.0001, 0.00001]
 WEIGHTS = {
     "maxScore21_40m": 0.0004,
     "maxScore41_60m": 0.0011,
@@ -578,10 +579,10 @@ def _(spark, sf_dir):
 @query("cv_summary")
 def _(spark, sf_dir):
     rows = train_rows(spark, sf_dir).select("postId", "target", *LINEAR_FEATURES)
-    folds = cut_lineage(splits.stratified_splits(rows, "target", "postId", n=2))
+    folds = cut_lineage(splits.stratified_splits(rows, "target", "postId"))
     stage = lambda params, n: models.logistic_stage(n, params["C"])
-    results = models.grid_search(folds, stage, {"C": [1.0, 0.25, 0.01]}, LINEAR_FEATURES)
-    return models.leaderboard(models.cv_summary(results, ["C"]))
+    results = models.grid_search(folds, stage, {"C": C_VALUES}, LINEAR_FEATURES)
+    return models.leaderboard(models.cv_summary(results, ["C"]), n=len(C_VALUES))
 
 
 # ---------------------------------------------------------------- streams

@@ -6,6 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from posttrend.catalog import QUERIES
 from posttrend.operators import models
 from posttrend.operators.evaluate import auc_pr
 from posttrend.operators.scoring import score_linear
@@ -124,6 +125,19 @@ def test_boosted_grid_takes_whole_numbers(frame):
     assert results.count() == 1
 
 
+def test_registered_search_is_whole(spark, sf_small, monkeypatch):
+    asked = []
+
+    def search(folds, stage_of, grid, features, **_):
+        asked.append((grid, folds.select("split").distinct().count()))
+        rows = [(float(c), 0.5, 0.5, 0.5, 0.5) for c in grid["C"]]
+        return spark.createDataFrame(rows, "C double, " + ", ".join(f"{m} double" for m in models.MEASURES))
+
+    monkeypatch.setattr(models, "grid_search", search)
+    out = QUERIES["cv_summary"](spark, sf_small)
+    assert asked == [({"C": [1, 0.5, 0.25, 0.1, 0.01, 0.001, 0.0001, 0.00001]}, 10)] and out.count() == 8
+
+
 def test_grid_expansion():
     grid = {"n": [50, 100, 150], "rate": [0.1, 0.01, 0.001], "leaf": [1, 3, 5, 7], "depth": [2, 3, 4]}
     assert len(models.expand_grid(grid)) == 108
