@@ -39,7 +39,9 @@ RULES = (
     UrlRule("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 12
+ROUNDS = 12  # what the SQL writes out; the spread itself goes on until it settles
+TOLERANCE = 1e-11
+MOST_ROUNDS = 1000
 LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
@@ -81,17 +83,50 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return edges.where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """``kind, host, rank`` after ``rounds`` steps, or earlier when nothing moves any more.
-
-    ``seeds``: ``kind`` (trust or distrust), ``host``, ``seed``, adding up to 1 per kind.  Rank that leaves through no
-    link goes back to the seeds.
-    """
+def _flow(edges: DataFrame) -> DataFrame:
+    """``kind, host, to, share``: how a host's trust follows its links, and distrust the links to it."""
     both = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "links").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "links")
     )
     out = both.groupBy("kind", "host").agg(F.sum("links").alias("all_links"))
-    flow = cut_lineage(both.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("links") / F.col("all_links")).alias("share")))
+    return cut_lineage(both.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("links") / F.col("all_links")).alias("share")))
+
+
+def settle(
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS,
+) -> DataFrame:
+    """``kind, host, rank`` that ``propagate`` comes ever closer to.
+
+    As what leaves through no link goes back to the seeds, the settled ranks are in proportion to the sum of all that
+    arrives over 0, 1, 2, ... links from the seeds.  A step goes one link further, until less than ``tolerance`` is on
+    its way in all; without cycles that is the longest path.
+    """
+    flow = _flow(edges)
+    ranks = cut_lineage(seeds.select("kind", "host", F.col("seed").alias("step"), F.col("seed").alias("rank")))
+    for _ in range(most_rounds):
+        moved = flow.join(ranks.where("step > 0"), ["kind", "host"]).select(
+            "kind", F.col("to").alias("host"), (F.col("step") * F.col("share") * damping).alias("step"), F.lit(0.0).alias("rank")
+        )
+        parts = moved.unionByName(ranks.select("kind", "host", F.lit(0.0).alias("step"), "rank"))
+        sums = parts.groupBy("kind", "host").agg(F.sum("step").alias("step"), F.sum("rank").alias("rank"))
+        ranks = cut_lineage(sums.withColumn("rank", F.col("rank") + F.col("step")))
+        if (ranks.agg(F.sum("step")).first()[0] or 0.0) < tolerance:
+            break
+    else:
+        raise RuntimeError("trust and distrust did not settle")
+    total = ranks.groupBy("kind").agg(F.sum("rank").alias("all"))  # two rows at most
+    return ranks.join(F.broadcast(total), "kind").select("kind", "host", (F.col("rank") / F.col("all")).alias("rank"))
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
+    """``kind, host, rank``, settled, or after ``rounds`` steps if they are given.
+
+    ``seeds``: ``kind`` (trust or distrust), ``host``, ``seed``, adding up to 1 per kind.  Rank that leaves through no
+    link goes back to the seeds.
+    """
+    if rounds is None:
+        return settle(edges, seeds, damping)
+    flow = _flow(edges)
     seeds = cut_lineage(seeds)
     ranks = seeds.select("kind", "host", F.col("seed").alias("rank"))
     for _ in range(rounds):
@@ -117,7 +152,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     return ranks
 
 
-def host_scores(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """``host, trust, distrust, blocked`` for every host that either spread reaches."""
     judged = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = judged.select("host", match_rule(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict"))
@@ -134,7 +169,7 @@ def host_scores(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds:
     return sums.withColumn("blocked", F.round("distrust", 9) > F.round("trust", 9))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict``; ``verdict`` is the rule's, else that of the host."""
     blocked = host_scores(pages, rules, damping, rounds).where("blocked").select(F.col("host").alias("bad_host"))
     judged = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))

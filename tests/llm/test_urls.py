@@ -1,3 +1,5 @@
+import pytest
+
 from posttrend.llm import urls
 
 PAGES = "page_id long, url string, html string"
@@ -58,5 +60,24 @@ def test_propagation_matches_brute_force(spark):
     assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 1e-9 for h in want)
 
 
+def test_spread_goes_on_until_it_settles(spark):
+    edges = {("a", "b"): 2, ("b", "c"): 1, ("c", "a"): 1, ("a", "c"): 1, ("d", "a"): 3, ("c", "e"): 1}
+    edges |= {(f"h{i}", f"h{i + 1}"): 1 for i in range(15)} | {("e", "h0"): 1}
+    seeds = {"a": 0.25, "d": 0.75}
+    frame = spark.createDataFrame([(s, d, n) for (s, d), n in edges.items()], "src string, dst string, links long")
+    start = spark.createDataFrame([("trust", h, v) for h, v in seeds.items()], "kind string, host string, seed double")
+    got = {r.host: r["rank"] for r in urls.propagate(frame, start).collect()}
+    want = brute(edges, seeds, 1000)
+    assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 1e-9 for h in want) and got["h15"] > 1e-3
+    with pytest.raises(RuntimeError):
+        urls.settle(frame, start, most_rounds=2)
+
+
+def test_distrust_reaches_along_a_long_chain(make, by_id):
+    rows = [(0, "http://bad.com/de/", None), *[(i, f"http://h{i}.net/", f'<a href="//{"bad.com" if i == 1 else f"h{i - 1}.net"}/">') for i in range(1, 16)]]
+    got = by_id(urls.filter_urls(make([*rows, (99, "http://alone.net/", None)], PAGES)), "page_id")
+    assert {i for i, r in got.items() if r.verdict == "block"} == set(range(16))
+
+
 def test_empty_table(make):
     assert urls.filter_urls(make([], PAGES)).count() == 0
