@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from posttrend.llm import (
-    decontaminate, extract, infill, licenses, lines, minhash, mixing, quality, suffixes, tokens, urls,
+    audit, decontaminate, extract, infill, licenses, lines, minhash, mixing, quality, suffixes, tokens, urls,
 )
 from posttrend.llm.common import table
 
@@ -49,6 +49,11 @@ def op9_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op11_filter_audit(spark, sf_dir):
+    cells = audit.filter_cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audit.audit_orders(cells)
+
+
 def op13_fill_in_middle(spark, sf_dir):
     return infill.digests(table(spark, sf_dir, "documents"))
 
@@ -57,10 +62,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_suffix_dedup, op6_decontaminate,
-        op7_mix_sources, op8_extract_html, op9_minhash_dedup, op10_url_filter, op13_fill_in_middle,
+        op7_mix_sources, op8_extract_html, op9_minhash_dedup, op10_url_filter, op11_filter_audit,
+        op13_fill_in_middle,
     )
 }
 ORACLES = {
     "op3_quality_rules": quality.oracle(), "op6_decontaminate": decontaminate.oracle(), "op7_mix_sources": mixing.oracle(),
-    "op10_url_filter": urls.oracle(), "op13_fill_in_middle": infill.oracle(),
+    "op10_url_filter": urls.oracle(), "op11_filter_audit": audit.oracle(),
+    "op13_fill_in_middle": infill.oracle(),
 }
