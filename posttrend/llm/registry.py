@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from posttrend.llm import (
-    audit, decontaminate, extract, infill, licenses, lines, minhash, mixing, quality, suffixes, tokens, urls,
+    audit, decontaminate, extract, infill, licenses, lines, minhash, mixing, quality, suffixes, tokens, toxicity,
+    urls,
 )
 from posttrend.llm.common import table
 
@@ -54,6 +55,10 @@ def op11_filter_audit(spark, sf_dir):
     return audit.audit_orders(cells)
 
 
+def op12_toxicity(spark, sf_dir):
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_fill_in_middle(spark, sf_dir):
     return infill.digests(table(spark, sf_dir, "documents"))
 
@@ -63,7 +68,7 @@ QUERIES = {
     for f in (
         op1_line_dedup, op2_token_counts, op3_quality_rules, op4_license_scan, op5_suffix_dedup, op6_decontaminate,
         op7_mix_sources, op8_extract_html, op9_minhash_dedup, op10_url_filter, op11_filter_audit,
-        op13_fill_in_middle,
+        op12_toxicity, op13_fill_in_middle,
     )
 }
 ORACLES = {
