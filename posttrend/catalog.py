@@ -38,7 +38,16 @@ NEW_FROM = dt.datetime(2024, 1, 15)
 PRIOR_BEFORE = dt.datetime(2024, 1, 20)
 HOT_CUTOFF = 2000
 QUANTILES = [0.95, 0.97, 0.975, 0.98, 0.99]
+# What the two searches go through.
 C_VALUES = [1.0, 0.5, 0.25, 0.1, 0.01, 0.001, 0.0001, 0.00001]
+TREE_GRID = {
+    "n_estimators": [50, 100, 150],
+    "learning_rate": [0.1, 0.01, 0.001],
+    "min_samples_leaf": [1, 3, 5, 7],
+    "max_depth": [2, 3, 4],
+}
+# Thresholds of the written-down stumps that stand in for fitted trees in ``cv_summary_trees``.
+STUMP_THRESHOLDS = dict(zip(TREE_FEATURES, [300.0, 8.0, 8.0, 0.2, 0.1, 0.1]))
 WEIGHTS = {
     "maxScore21_40m": 0.0004,
     "maxScore41_60m": 0.0011,
@@ -579,10 +588,42 @@ def _(spark, sf_dir):
 @query("cv_summary")
 def _(spark, sf_dir):
     rows = train_rows(spark, sf_dir).select("postId", "target", *LINEAR_FEATURES)
-    folds = cut_lineage(splits.stratified_splits(rows, "target", "postId"))
-    stage = lambda params, n: models.logistic_stage(n, params["C"])
-    results = models.grid_search(folds, stage, {"C": C_VALUES}, LINEAR_FEATURES)
-    return models.leaderboard(models.cv_summary(results, ["C"]), n=len(C_VALUES))
+    folds = splits.stored_folds(rows, "target", "postId")
+    fitter = models.ml_fitter(lambda params, n: models.logistic_stage(n, params["C"]), LINEAR_FEATURES)
+    results = models.grid_search(folds, fitter, {"C": C_VALUES})
+    return models.leaderboard(models.cv_summary(results, ["C"]), ["C"], n=len(C_VALUES))
+
+
+def _fixed_trees(rows, params, n):
+    """In place of a fit, stumps that are written down: one after the other takes the next feature, and after each
+    round of all features the next of ``max_depth`` thresholds."""
+
+    def score(df: DataFrame, trees: int) -> DataFrame:
+        votes = " + ".join(
+            f"if({name} > {STUMP_THRESHOLDS[name] * (level + 1)!r}D + {params['min_samples_leaf']}, {count}, -{count})"
+            for (name, level), count in fixed_votes(params["max_depth"], trees).items()
+        )
+        return df.selectExpr("*", f"1 / (1 + exp(-2 * {params['learning_rate']!r}D * ({votes}))) AS predict_proba_1")
+
+    return score
+
+
+def fixed_votes(depth: int, trees: int) -> dict[tuple[str, int], int]:
+    """How many of the first ``trees`` stumps look at each feature and threshold."""
+    votes: dict[tuple[str, int], int] = {}
+    for i in range(trees):
+        place = (TREE_FEATURES[i % len(TREE_FEATURES)], i // len(TREE_FEATURES) % depth)
+        votes[place] = votes.get(place, 0) + 1
+    return votes
+
+
+@query("cv_summary_trees")
+def _(spark, sf_dir):
+    rows = train_rows(spark, sf_dir).select("postId", "target", *TREE_FEATURES)
+    folds = splits.stored_folds(rows, "target", "postId")
+    results = models.grid_search(folds, _fixed_trees, TREE_GRID, staged="n_estimators")
+    measures = [f"{kind}_{m}" for m in models.MEASURES for kind in ("mean", "std")]
+    return rounded(models.cv_summary(results, list(TREE_GRID)), *measures)
 
 
 # ---------------------------------------------------------------- streams

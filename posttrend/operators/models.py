@@ -8,13 +8,14 @@ from itertools import product
 
 import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from posttrend.operators.evaluate import above_counts, area_under_curve, running_scores
+from posttrend.operators.splits import Folds
 from posttrend.session import cut_lineage, fresh_path
 
 VECTOR = "_features"
@@ -162,43 +163,94 @@ def _fold_metrics(scored: DataFrame, by: list[str], y: str, q: float, top: float
     )
 
 
+# Scores rows by a fitted model, or by what it was after so many of its trees.
+FittedScorer = Callable[[DataFrame, int | None], DataFrame]
+
+
+def first_trees(model: PipelineModel, n: int) -> PipelineModel:
+    """The boosted model as it was after its first ``n`` trees: the model a fit of ``n`` trees would have given, as
+    trees are added one by one with the same seed."""
+    assembler, boosted = model.stages
+    if not 0 < n <= boosted.getNumTrees:
+        raise ValueError(f"{n} of {boosted.getNumTrees} trees asked for")
+    java, context = boosted._java_obj, SparkSession.active().sparkContext
+    kind = context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = context._gateway.new_array(kind, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for i, tree in enumerate(list(java.trees())[:n]):
+        trees[i], weights[i] = tree, float(java.treeWeights()[i])
+    shorter = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
+    out = GBTClassificationModel(shorter)
+    out._resetUid(boosted.uid)
+    # A model made by hand knows only defaults; the columns it reads and writes are those of the whole one.
+    for param in boosted.extractParamMap():
+        if boosted.isSet(param) and param.name != "maxIter":
+            out._set(**{param.name: boosted.getOrDefault(param)})
+    out._transfer_params_to_java()
+    return PipelineModel([assembler, out])
+
+
+def ml_fitter(stage_of: Callable[[dict, int], object], features: list[str], y: str = "target"):
+    """Fits a pyspark.ml classifier; ``stage_of(params, train_rows)`` returns it unfitted."""
+
+    def fit(rows: DataFrame, params: dict, n: int) -> FittedScorer:
+        model = _fit(rows, features, stage_of(params, n), y)
+        return lambda df, trees: score_model(df, model if trees is None else first_trees(model, trees))
+
+    return fit
+
+
+def _one_fit_each(combos: list[dict], staged: str | None) -> list[tuple[dict, list[tuple[int, int | None]]]]:
+    """The fits that serve all combinations: what to fit, and (combination, trees) to score with it.  Combinations
+    that differ in ``staged`` alone share the fit with most trees."""
+    shared: dict[tuple, list[int]] = {}
+    for i, combo in enumerate(combos):
+        shared.setdefault(tuple((k, v) for k, v in combo.items() if k != staged), []).append(i)
+    fits = []
+    for members in shared.values():
+        largest = max(members, key=lambda i: combos[i][staged]) if staged else members[0]
+        fits.append((combos[largest], [(i, int(combos[i][staged]) if staged else None) for i in members]))
+    return fits
+
+
 def grid_search(
-    splits: DataFrame,
-    stage_of: Callable[[dict, int], object],
+    folds: Folds,
+    fitter: Callable[[DataFrame, dict, int], FittedScorer],
     grid: dict[str, list],
-    features: list[str],
-    y: str = "target",
     q: float = 0.98,
     top: float = 0.95,
     parallelism: int = 4,
+    staged: str | None = None,
 ) -> DataFrame:
     """Fit every parameter combination on every split and score its test rows.
 
-    ``splits`` is the output of ``stratified_splits``; pass a stored or
-    checkpointed frame, since each fit reads it several times.
-    ``stage_of(params, train_rows)`` returns an unfitted classifier.  The fits
-    are submitted from a few threads and store their scored test rows; all of them
-    are then measured together, one group per (combination, split).
+    ``fitter(train_rows, params, number_of_rows)`` returns a scorer (see ``ml_fitter``).  ``staged`` names the
+    parameter that counts the steps of an ensemble: only the longest is fitted and the others are scored as its
+    beginnings.  The fits are submitted from a few threads, each stores the scored test rows of all its combinations;
+    all are then measured together, one group per (combination, split).
     """
     combos = expand_grid(grid)
-    sizes = {
-        r["split"]: r["n"] for r in splits.where("is_train = 1").groupBy("split").agg(F.count("*").alias("n")).collect()
-    }
-
-    spark = splits.sparkSession
+    spark, y = folds.rows.sparkSession, folds.y
     store = fresh_path(spark, "grid-scores")
+    fits = _one_fit_each(combos, staged)
 
     def run(job: tuple[int, int]) -> None:
-        combo, split = job
-        rows = splits.where(F.col("split") == split)
-        model = _fit(rows.where("is_train = 1"), features, stage_of(combos[combo], sizes[split]), y)
-        test = score_model(rows.where("is_train = 0"), model).select(F.col(y).cast("int"), "predict_proba_1")
-        test.write.mode("overwrite").parquet(f"{store}/combo={combo}/split={split}")
-
-    jobs = [(combo, split) for combo in range(len(combos)) for split in sorted(sizes)]
+        number, split = job
+        params, members = fits[number]
+        scorer = fitter(folds.train(split), params, folds.sizes[split])
+        test = folds.test(split).withColumn(y, F.col(y).cast("int"))
+        # Each member's scores beside the row, then one row per member.
+        names = {combo: f"_p{combo}" for combo, _ in members}
+        scored = test
+        for combo, trees in members:
+            scored = scorer(scored, trees).withColumnRenamed("predict_proba_1", names[combo])
+        pairs = F.array(*[F.struct(F.lit(c).alias("combo"), F.col(name).alias("predict_proba_1")) for c, name in names.items()])
+        scored.select(y, F.inline(pairs)).write.mode("overwrite").parquet(f"{store}/fit={number}/split={split}")
+
+    jobs = [(number, split) for number in range(len(fits)) for split in sorted(folds.cuts)]
     with ThreadPoolExecutor(parallelism) as pool:
         list(pool.map(run, jobs))
-    layout = f"`{y}` int, predict_proba_1 double, combo int, split int"
+    layout = f"`{y}` int, combo int, predict_proba_1 double, fit int, split int"
     scored = spark.read.schema(layout).parquet(store)
     # A few rows per fit, read by every summary made of them.
     metrics = cut_lineage(_fold_metrics(scored, ["combo", "split"], y, q, top))
@@ -220,13 +272,14 @@ def cv_summary(folds: DataFrame, params: list[str]) -> DataFrame:
     return folds.groupBy(*params).agg(F.count(F.lit(1)).alias("splits"), *measures)
 
 
-def leaderboard(summary: DataFrame, measure: str = "mean_aucpr", n: int = 5) -> DataFrame:
-    return summary.orderBy(F.col(measure).desc_nulls_last()).limit(n)
+def leaderboard(summary: DataFrame, params: list[str], measure: str = "mean_aucpr", n: int = 5) -> DataFrame:
+    """The best combinations; equal ones by their parameters, so that a cut is the same in every run."""
+    return summary.orderBy(F.col(measure).desc_nulls_last(), *params).limit(n)
 
 
 def best_params(summary: DataFrame, params: list[str], measure: str = "mean_top5Pctaucpr") -> dict:
     """The combination to refit on all rows."""
-    row = leaderboard(summary, measure, 1).select(*params).first()
+    row = leaderboard(summary, params, measure, 1).select(*params).first()
     return row.asDict() if row else {}
 
 

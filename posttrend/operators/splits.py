@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posttrend.functions import row_hash
+from posttrend.session import cut_lineage
 
 PREFIX_DIGITS = 3
 
@@ -65,3 +68,44 @@ def stratified_splits(
     marked = rows.join(F.broadcast(cuts), ["split", y], "left")
     is_train = F.coalesce(F.col("_hash") <= F.col("_cut"), F.lit(False)).cast("int")
     return marked.select("split", *df.columns, is_train.alias("is_train"))
+
+
+class Folds(NamedTuple):
+    """Rows stored once, and per split and class the hash of its last training row: splits are marked when read, so
+    no row is kept once per split.  ``sizes``: training rows per split."""
+
+    rows: DataFrame
+    y: str
+    key: str
+    seed: int
+    cuts: dict[int, dict[int, str]]
+    sizes: dict[int, int]
+
+    def is_train(self, split: int) -> Column:
+        return _in_training(self.y, self.key, self.seed, split, self.cuts[split])
+
+    def train(self, split: int) -> DataFrame:
+        return self.rows.where(self.is_train(split))
+
+    def test(self, split: int) -> DataFrame:
+        return self.rows.where(~self.is_train(split))
+
+
+def _in_training(y: str, key: str, seed: int, split: int, cuts: dict[int, str]) -> Column:
+    cut = F.lit(None).cast("string")
+    for label, last in cuts.items():
+        cut = F.when(F.col(y) == label, F.lit(last)).otherwise(cut)
+    return F.coalesce(row_hash(F.col(key), split, seed) <= cut, F.lit(False))
+
+
+def stored_folds(
+    df: DataFrame, y: str, key: str, test: float = 0.2, n: int = 10, seed: int = 0, classes: tuple[int, ...] = (0, 1),
+) -> Folds:
+    """The splits of ``stratified_splits`` over one stored copy of the rows."""
+    rows = cut_lineage(df.where(F.col(y).isin(list(classes))))
+    cuts: dict[int, dict[int, str]] = {split: {} for split in range(n)}
+    # n * len(classes) rows.
+    for r in split_cutoffs(rows, y, key, test, n, seed, classes).collect():
+        cuts[r["split"]][r[y]] = r["_cut"]
+    counts = [F.count_if(_in_training(y, key, seed, split, cuts[split])).alias(str(split)) for split in range(n)]
+    return Folds(rows, y, key, seed, cuts, {int(k): v for k, v in rows.agg(*counts).first().asDict().items()})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from posttrend.catalog import EXPLORED, HIST_WIDTHS, INTERCEPT, QUANTILES, RATES, WEIGHTS
+from posttrend.catalog import (
+    EXPLORED, HIST_WIDTHS, INTERCEPT, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
+)
 from posttrend.operators.evaluate import TOP_QUANTILES
 from posttrend.schema import METRICS, TREE_FEATURES, bucket_labels, feature_columns, feature_name, growth_name
 
@@ -542,6 +544,72 @@ FROM lab, (SELECT unnest(range(10))::int AS split)""",
 
 # ---------------------------------------------------------------- models and streams
 
+_VOTES = ", ".join(
+    f"({depth}, {trees}, '{name}', {STUMP_THRESHOLDS[name] * (level + 1)}::double, {count})"
+    for depth in TREE_GRID["max_depth"]
+    for trees in TREE_GRID["n_estimators"]
+    for (name, level), count in fixed_votes(depth, trees).items()
+)
+_LONG = "\n    UNION ALL ".join(f"""SELECT "postId", '{c}' AS name, "{c}"::double AS x FROM filled""" for c in TREE_FEATURES)
+_IN_GROUP = "max_depth, n_estimators, min_samples_leaf, learning_rate, split"
+CTES["tested"] = (
+    ("filled",),
+    f"""
+    SELECT "postId", target, split FROM (
+      SELECT "postId", target, split,
+        row_number() OVER (PARTITION BY split, target ORDER BY md5(concat_ws('|', "postId", split::varchar, '0')))
+          > round(0.8 * count(*) OVER (PARTITION BY split, target)) AS is_test
+      FROM filled, (SELECT unnest(range(10))::int AS split)) WHERE is_test""",
+)
+CTES["voted"] = (
+    ("filled",),
+    f"""
+    SELECT "postId", max_depth, n_estimators, min_samples_leaf, sum(CASE WHEN x > t + min_samples_leaf THEN n ELSE -n END) AS votes
+    FROM ({_LONG}) JOIN (VALUES {_VOTES}) AS v(max_depth, n_estimators, name, t, n) USING (name),
+      (SELECT unnest({TREE_GRID["min_samples_leaf"]}) AS min_samples_leaf)
+    GROUP BY ALL""",
+)
+CTES["searched"] = (
+    ("tested", "voted"),
+    f"""
+    SELECT target, split, max_depth, n_estimators, min_samples_leaf, learning_rate,
+      1 / (1 + exp(-2 * learning_rate * votes)) AS p
+    FROM tested JOIN voted USING ("postId"), (SELECT unnest({TREE_GRID["learning_rate"]})::double AS learning_rate)""",
+)
+CTES["cut"] = (
+    ("searched",),
+    f"""
+    SELECT {_IN_GROUP}, p, target, quantile_cont(p, 0.95) OVER w AS t95, quantile_cont(p, 0.98) OVER w AS t98
+    FROM searched WINDOW w AS (PARTITION BY {_IN_GROUP})""",
+)
+
+
+def _group_area(name: str, kept: str) -> str:
+    """Area under the curve of the kept rows of each combination and split."""
+    return f"""SELECT {_IN_GROUP}, sum(tp::double / total * (ct::double / cn
+        + coalesce((ct - tp)::double / nullif(cn - n, 0), 1.0)) / 2) AS {name}
+      FROM (SELECT *, sum(n) OVER w AS cn, sum(tp) OVER w AS ct, sum(tp) OVER (PARTITION BY {_IN_GROUP}) AS total
+        FROM (SELECT {_IN_GROUP}, p, count(*) AS n, sum(target) AS tp FROM cut WHERE {kept} GROUP BY ALL)
+        WINDOW w AS (PARTITION BY {_IN_GROUP} ORDER BY p DESC ROWS UNBOUNDED PRECEDING)) GROUP BY ALL"""
+
+
+_MEANS = ", ".join(
+    f"round(avg({m}), 6) AS mean_{m}, round(stddev_pop({m}), 6) AS std_{m}"
+    for m in ("aucpr", "top5Pctaucpr", "top2PctPrecision", "top2PctRecall")
+)
+oracle(
+    "cv_summary_trees",
+    f"""SELECT n_estimators::double AS n_estimators, learning_rate, min_samples_leaf::double AS min_samples_leaf,
+  max_depth::double AS max_depth, count(*) AS splits, {_MEANS}
+FROM ({_group_area("aucpr", "true")})
+JOIN ({_group_area("top5Pctaucpr", "p >= t95")}) USING ({_IN_GROUP})
+JOIN (SELECT {_IN_GROUP}, sum(CASE WHEN p >= t98 THEN target END)::double / count(CASE WHEN p >= t98 THEN 1 END) AS top2PctPrecision,
+        sum(CASE WHEN p >= t98 THEN target END)::double / nullif(sum(target), 0) AS top2PctRecall
+      FROM cut GROUP BY ALL) USING ({_IN_GROUP})
+GROUP BY n_estimators, learning_rate, min_samples_leaf, max_depth""",
+    "cut",
+)
+
 _ATTRIBUTION = [
     f"""SELECT target, '{c}' AS feature, round(avg(abs(a)), 6) AS mean_abs, round(max(abs(a)), 6) AS max_abs
 FROM (SELECT target, {w!r}::double * ("{c}" - avg("{c}") OVER ()) AS a FROM timed) GROUP BY ALL"""

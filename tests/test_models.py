@@ -10,7 +10,7 @@ from posttrend.catalog import QUERIES
 from posttrend.operators import models
 from posttrend.operators.evaluate import auc_pr
 from posttrend.operators.scoring import score_linear
-from posttrend.operators.splits import stratified_splits
+from posttrend.operators.splits import stored_folds, stratified_splits
 from posttrend.session import cut_lineage
 from posttrend.sources import registry
 
@@ -91,16 +91,15 @@ def test_attribution(frame, data):
 
 
 def test_grid_search_measures_every_fold(frame, data):
-    folds = cut_lineage(stratified_splits(frame, "target", "postId", n=2))
-    grid = {"C": [1.0, 0.01]}
-    stage = lambda params, n: models.logistic_stage(n, params["C"])
-    results = models.grid_search(folds, stage, grid, FEATURES, q=0.9, top=0.8)
+    folds = stored_folds(frame, "target", "postId", n=2)
+    fitter = models.ml_fitter(lambda params, n: models.logistic_stage(n, params["C"]), FEATURES)
+    results = models.grid_search(folds, fitter, {"C": [1.0, 0.01]}, q=0.9, top=0.8)
     rows = results.collect()
     assert sorted((r.C, r.split) for r in rows) == [(0.01, 0), (0.01, 1), (1.0, 0), (1.0, 1)]
 
     # One fold again by hand.
     x, y = data
-    train = {r.postId for r in folds.where("split = 1 AND is_train = 1").collect()}
+    train = {r.postId for r in folds.train(1).collect()}
     inside = np.array([f"k{i}" in train for i in range(len(y))])
     w = penalised_optimum(x[inside], y[inside], 1.0)
     p = 1 / (1 + np.exp(-(np.hstack([x[~inside], np.ones((sum(~inside), 1))]) @ w)))
@@ -113,29 +112,89 @@ def test_grid_search_measures_every_fold(frame, data):
     c1 = [r.aucpr for r in rows if r.C == 1.0]
     row = summary.where("C = 1.0").first()
     assert (row.splits, row.mean_aucpr, row.std_aucpr) == (2, pytest.approx(np.mean(c1)), pytest.approx(np.std(c1)))
-    assert models.leaderboard(summary, n=1).count() == 1
+    assert models.leaderboard(summary, ["C"], n=1).count() == 1
     assert models.best_params(summary, ["C"])["C"] in (1.0, 0.01)
     assert models.grid_long(summary, ["C"], "mean_aucpr").columns == ["mean_aucpr", "param", "param_value"]
 
 
-def test_boosted_grid_takes_whole_numbers(frame):
-    folds = cut_lineage(stratified_splits(frame, "target", "postId", n=1))
-    grid = {"n_estimators": [2], "learning_rate": [0.1], "min_samples_leaf": [1], "max_depth": [2]}
-    results = models.grid_search(folds, lambda params, n: models.boosted_stage(**params), grid, FEATURES)
-    assert results.count() == 1
-
-
-def test_registered_search_is_whole(spark, sf_small, monkeypatch):
+def test_folds_are_the_stratified_splits(frame):
+    folds = stored_folds(frame, "target", "postId", n=3)
+    want = stratified_splits(frame, "target", "postId", n=3).collect()
+    for split in range(3):
+        train = {r.postId for r in want if r.split == split and r.is_train}
+        assert {r.postId for r in folds.train(split).collect()} == train
+        assert {r.postId for r in folds.test(split).collect()} == {r.postId for r in want} - train
+        assert folds.sizes[split] == len(train)
+
+
+def test_beginnings_of_an_ensemble_are_the_shorter_fits(frame):
+    whole = models.fit_gbt(frame, FEATURES, n_estimators=6, max_depth=2, learning_rate=0.1)
+    for n in (2, 6):
+        shorter = models.fit_gbt(frame, FEATURES, n_estimators=n, max_depth=2, learning_rate=0.1)
+        want = {r.postId: r.predict_proba_1 for r in models.score_model(frame, shorter).collect()}
+        got = {r.postId: r.predict_proba_1 for r in models.score_model(frame, models.first_trees(whole, n)).collect()}
+        assert got == pytest.approx(want, abs=1e-12)
+    with pytest.raises(ValueError):
+        models.first_trees(whole, 7)
+
+
+def test_beginning_of_an_ensemble_can_be_stored(spark, frame, tmp_path):
+    short = models.first_trees(models.fit_gbt(frame, FEATURES, n_estimators=4, max_depth=2), 2)
+    registry.save_model(short, str(tmp_path), registry.model_name("GBM"))
+    loaded, _ = registry.load_latest(spark, str(tmp_path))
+    score = lambda m: sorted((r.postId, r.predict_proba_1) for r in models.score_model(frame, m).collect())
+    assert score(loaded) == score(short)
+
+
+def test_staged_search_fits_once_and_measures_alike(frame):
+    folds = stored_folds(frame, "target", "postId", n=2)
+    grid = {"n_estimators": [2, 4], "learning_rate": [0.1], "min_samples_leaf": [1, 5], "max_depth": [2]}
+    fitted = []
+
+    def counted(rows, params, n):
+        fitted.append(params)
+        return models.ml_fitter(lambda p, _: models.boosted_stage(**p), FEATURES)(rows, params, n)
+
+    staged = models.grid_search(folds, counted, grid, staged="n_estimators", q=0.9, top=0.8)
+    assert sorted((p["n_estimators"], p["min_samples_leaf"]) for p in fitted) == [(4, 1), (4, 1), (4, 5), (4, 5)]
+    plain = models.grid_search(folds, counted, grid, q=0.9, top=0.8)
+    assert len(fitted) == 4 + 8
+    order = ["split", *grid]
+    rows = lambda df: [tuple(r) for r in df.select(*order, *models.MEASURES).orderBy(*order).collect()]
+    assert len(rows(staged)) == 8
+    for a, b in zip(rows(staged), rows(plain)):
+        assert a == pytest.approx(b, abs=1e-9)
+
+    # The combination with the best upper part of the curve is fitted on all rows.
+    summary = models.cv_summary(staged, list(grid))
+    best = models.best_params(summary, list(grid))
+    top = max(summary.collect(), key=lambda r: (r.mean_top5Pctaucpr, *[-r[k] for k in grid]))
+    assert best == {k: top[k] for k in grid}
+    model = models.refit(frame, lambda p, _: models.boosted_stage(**p), best, FEATURES)
+    assert model.stages[1].getNumTrees == best["n_estimators"]
+
+
+def test_equal_combinations_have_an_order(spark):
+    rows = [(c, 0.5, 1.0) for c in (3.0, 1.0, 2.0)] + [(4.0, None, 2.0)]
+    summary = spark.createDataFrame(rows, "C double, mean_aucpr double, mean_top5Pctaucpr double")
+    assert [r.C for r in models.leaderboard(summary, ["C"], n=2).collect()] == [1.0, 2.0]
+    assert models.best_params(summary, ["C"])["C"] == 4.0
+
+
+def test_registered_searches_are_whole(spark, sf_small, monkeypatch):
     asked = []
 
-    def search(folds, stage_of, grid, features, **_):
-        asked.append((grid, folds.select("split").distinct().count()))
-        rows = [(float(c), 0.5, 0.5, 0.5, 0.5) for c in grid["C"]]
-        return spark.createDataFrame(rows, "C double, " + ", ".join(f"{m} double" for m in models.MEASURES))
+    def search(folds, fitter, grid, **options):
+        asked.append((grid, len(folds.cuts), options))
+        rows = [(i % 2, *map(float, c.values()), 0.5, 0.5, 0.5, 0.5) for i, c in enumerate(models.expand_grid(grid))]
+        names = [f"{c} double" for c in [*grid, *models.MEASURES]]
+        return spark.createDataFrame(rows, "split int, " + ", ".join(names))
 
     monkeypatch.setattr(models, "grid_search", search)
-    out = QUERIES["cv_summary"](spark, sf_small)
-    assert asked == [({"C": [1, 0.5, 0.25, 0.1, 0.01, 0.001, 0.0001, 0.00001]}, 10)] and out.count() == 8
+    assert QUERIES["cv_summary"](spark, sf_small).count() == 8
+    assert QUERIES["cv_summary_trees"](spark, sf_small).count() == 108
+    assert asked[0] == ({"C": [1, 0.5, 0.25, 0.1, 0.01, 0.001, 0.0001, 0.00001]}, 10, {})
+    assert asked[1][1:] == (10, {"staged": "n_estimators"})
 
 
 def test_grid_expansion():
@@ -167,9 +226,9 @@ def test_refit_uses_all_rows(frame, data):
 
 def test_newest_model_wins(spark, lr, frame, tmp_path):
     root = str(tmp_path)
-    old = registry.model_name("LR", dt.datetime(2023, 4, 14, 6, 10, 9))
-    new = registry.model_name("GBM", dt.datetime(2023, 5, 3, 23, 53, 29))
-    assert new == "post_model_20230503-235329_GBM"
+    old = registry.model_name("LR", dt.datetime(2031, 2, 3, 4, 5, 6))
+    new = registry.model_name("GBM", dt.datetime(2031, 2, 7, 8, 9, 10))
+    assert new == "post_model_20310207-080910_GBM"
     for name in (new, old):
         registry.save_model(lr, root, name)
     model, name = registry.load_latest(spark, root)
