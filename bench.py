@@ -17,7 +17,9 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # Model fits and streams take many jobs each; one timed run of them is enough.
-HEAVY = {"train_lr", "coef_table", "train_gbt", "feature_importance", "cv_summary", "stream_scoring"}
+HEAVY = {
+    "train_lr", "coef_table", "train_gbt", "feature_importance", "cv_summary", "cv_summary_trees", "stream_scoring",
+}
 
 
 def run_once(spark, name: str) -> float:

@@ -1,17 +1,19 @@
-"""Jobs for spark-submit: python -m posttrend {collect,training,score,report} ..."""
+"""Jobs for spark-submit: python -m posttrend {collect,training,fit,score,report} ..."""
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import os
 
 from posttrend.plans import live, monitoring
 from posttrend.plans.collect import collect
+from posttrend.plans.modeling import KINDS, build_model, read_threshold
 from posttrend.plans.training import build_training
 from posttrend.session import build_session
 from posttrend.sources import registry
-from posttrend.sources.tables import read_listing, read_scored, read_snapshots
+from posttrend.sources.tables import read_listing, read_scored, read_snapshots, read_training
 
 
 def _now() -> dt.datetime:
@@ -39,11 +41,21 @@ def _arguments() -> argparse.ArgumentParser:
     job.add_argument("--start", type=dt.date.fromisoformat)
     job.add_argument("--end", type=dt.date.fromisoformat)
 
+    job = jobs.add_parser("fit", help="fit a model on the training table, store it and its reports")
+    job.add_argument("--training", required=True)
+    job.add_argument("--kind", choices=sorted(KINDS), default="gbt")
+    job.add_argument("--models", required=True)
+    job.add_argument("--output", required=True, help="folder of the reports: search, holdout, weights, threshold, review")
+    job.add_argument("--grid", type=json.loads, help='parameters to search, as {"name": [values]}')
+    job.add_argument("--splits", type=int, default=10)
+    job.add_argument("--at", type=dt.datetime.fromisoformat)
+
     job = jobs.add_parser("score", help="score the posts seen last, store them and their alerts")
     job.add_argument("--rising", required=True)
     job.add_argument("--models", required=True)
     job.add_argument("--model", help="full model name; the newest one if left out")
-    job.add_argument("--threshold", type=float, default=0.0)
+    job.add_argument("--threshold", type=float, help="0 if neither this nor --reports is given")
+    job.add_argument("--reports", help="folder of the fit's reports, for the model's own threshold")
     job.add_argument("--scored", required=True)
     job.add_argument("--alerts", required=True)
     job.add_argument("--as-of", type=dt.datetime.fromisoformat)
@@ -65,6 +77,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "training":
         rising, hot = read_snapshots(spark, args.rising), read_snapshots(spark, args.hot)
         build_training(rising, hot, args.output, start=args.start, end=args.end)
+    elif args.job == "fit":
+        at = _naive(args.at) if args.at else None
+        build_model(read_training(spark, args.training), args.kind, args.models, args.output, args.grid, args.splits, at)
     elif args.job == "score":
         as_of = _naive(args.as_of or _now())
         if args.model:
@@ -75,7 +90,10 @@ def main(argv: list[str] | None = None) -> None:
         # Runs are numbered by the minute they stand for, so repeating one replaces it.
         batch = int((as_of - dt.datetime(1970, 1, 1)).total_seconds() // 60)
         scorer = live.model_scorer(model)
-        live.run_once(rising, scorer, name, args.threshold, args.scored, args.alerts, as_of, batch)
+        threshold = args.threshold
+        if threshold is None:
+            threshold = read_threshold(spark, args.reports, name) if args.reports else 0.0
+        live.run_once(rising, scorer, name, threshold, args.scored, args.alerts, as_of, batch)
     else:
         as_of = _naive(args.as_of or _now())
         # Only posts created in the report's two days count, so older days are not read.

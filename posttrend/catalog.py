@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from posttrend.functions import map_value_sum, utc
 from posttrend.operators import evaluate as ev
 from posttrend.operators import explore, features, intake, merge, models, monitor, scans, scoring, splits
-from posttrend.plans import collect, live, monitoring, training
+from posttrend.plans import collect, live, modeling, monitoring, training
 from posttrend.schema import FEATURES, LANDED, LINEAR_FEATURES, SNAPSHOT, TREE_FEATURES, feature_columns
 from posttrend.session import cut_lineage, fresh_path
 from posttrend.sources import registry
@@ -552,6 +552,15 @@ def _(spark, sf_dir):
 # ---------------------------------------------------------------- models
 
 
+@query("holdout_metrics")
+def _(spark, sf_dir):
+    """The fixed weights on the rows that the first split leaves out."""
+    rows = train_rows(spark, sf_dir)
+    folds = splits.stored_folds(rows, "target", "postId", n=1)
+    metrics = modeling.holdout_metrics(scoring.score_linear(folds.test(0), WEIGHTS, INTERCEPT))
+    return rounded(metrics, *metrics.columns)
+
+
 @query("linear_attribution")
 def _(spark, sf_dir):
     return rounded(models.linear_attribution(train_rows(spark, sf_dir), WEIGHTS), "mean_abs", "max_abs")
@@ -573,6 +582,12 @@ def _(spark, sf_dir):
     return models.coef_table(spark, models.fit_lr(_stored_train_rows(spark, sf_dir), LINEAR_FEATURES))
 
 
+@query("lr_gradient")
+def _(spark, sf_dir):
+    pulls = models.lr_gradient(train_rows(spark, sf_dir), WEIGHTS, INTERCEPT)
+    return pulls.select("feature", F.round("gradient", 4).alias("gradient"), F.round("share", 6).alias("share"))
+
+
 @query("train_gbt")
 def _(spark, sf_dir):
     rows = _stored_train_rows(spark, sf_dir)

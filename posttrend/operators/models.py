@@ -65,9 +65,34 @@ def _fit(df: DataFrame, features: list[str], stage, y: str) -> PipelineModel:
 
 
 def fit_lr(
-    df: DataFrame, features: list[str], c: float = 0.25, max_iter: int = 1000, y: str = "target"
+    df: DataFrame, features: list[str], c: float = 0.25, max_iter: int = 1000, y: str = "target",
+    tolerance: float | None = 1e-4,
 ) -> PipelineModel:
-    return _fit(df, features, logistic_stage(df.count(), c, max_iter, y), y)
+    """The penalised optimum; raises if the fit stopped where the gradient is above ``tolerance`` (see ``lr_gradient``)."""
+    model = _fit(df, features, logistic_stage(df.count(), c, max_iter, y), y)
+    if tolerance is not None:
+        worst = lr_gradient(df, *linear_weights(model), c, y).agg(F.max("share")).first()[0]
+        if worst > tolerance:
+            raise ValueError(f"the fit is no optimum: a gradient of {worst:.2g} of its parts is left")
+    return model
+
+
+def lr_gradient(df: DataFrame, weights: dict[str, float], intercept: float, c: float = 0.25, y: str = "target") -> DataFrame:
+    """The gradient of 0.5 |w|^2 + c * (summed log-loss) at the given weights, one row per feature.
+
+    ``gradient`` is the sum of what the penalty and the rows pull, ``share`` its part of the sum of their sizes: 0 at
+    the optimum, which is the only one, 1 where all pulls go one way.  One pass over the rows, combined on the map side.
+    """
+    z = " + ".join([repr(float(intercept)), *[f"{float(w)!r} * cast(`{f}` AS double)" for f, w in weights.items()]])
+    pulls = df.selectExpr(f"1 / (1 + exp(-({z}))) - cast(`{y}` AS double) AS _e", *[f"cast(`{f}` AS double) AS `{f}`" for f in weights])
+    sums, rows = [], []
+    for i, (name, w) in enumerate([*weights.items(), ("intercept", None)]):
+        part = "_e" if w is None else f"_e * `{name}`"
+        sums += [F.expr(f"sum({part}) AS g{i}"), F.expr(f"sum(abs({part})) AS a{i}")]
+        pull = 0.0 if w is None else float(w)
+        total = f"({pull!r}D + {float(c)!r}D * g{i})"
+        rows.append(f"struct('{name}' AS feature, {total} AS gradient, coalesce(try_divide(abs({total}), {abs(pull)!r}D + {float(c)!r}D * a{i}), 0D) AS share)")
+    return pulls.agg(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def fit_gbt(df: DataFrame, features: list[str], y: str = "target", **params) -> PipelineModel:

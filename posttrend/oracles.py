@@ -544,6 +544,39 @@ FROM lab, (SELECT unnest(range(10))::int AS split)""",
 
 # ---------------------------------------------------------------- models and streams
 
+_LINEAR = " + ".join([repr(INTERCEPT), *[f'{w!r}::double * "{c}"' for c, w in WEIGHTS.items()]])
+CTES["missed"] = (("timed",), f"""
+    SELECT *, 1 / (1 + exp(-({_LINEAR}))) - target AS e FROM timed""")
+
+
+def _pull(name: str, weight: float, x: str) -> str:
+    total = f"({weight!r}::double + 0.25 * sum(e * {x}))"
+    size = f"({abs(weight)!r}::double + 0.25 * sum(abs(e * {x})))"
+    return f"SELECT '{name}' AS feature, round({total}, 4) AS gradient, round(abs({total}) / {size}, 6) AS share FROM missed"
+
+
+oracle(
+    "lr_gradient",
+    "\nUNION ALL ".join([*[_pull(c, w, f'"{c}"::double') for c, w in WEIGHTS.items()], _pull("intercept", 0.0, "1.0")]),
+    "missed",
+)
+CTES["heldout"] = (
+    ("timed",),
+    f"""
+    SELECT target, 1 / (1 + exp(-({_LINEAR}))) AS predict_proba_1 FROM (
+      SELECT *, row_number() OVER (PARTITION BY target ORDER BY md5(concat_ws('|', "postId", '0', '0')))
+          > round(0.8 * count(*) OVER (PARTITION BY target)) AS is_test FROM timed) WHERE is_test""",
+)
+CTES["heldout5"] = (("heldout",), """
+    SELECT * FROM heldout WHERE predict_proba_1 >= (SELECT quantile_cont(predict_proba_1, 0.95) FROM heldout)""")
+oracle(
+    "holdout_metrics",
+    f"""SELECT aucpr, "top5Pctaucpr", "top2PctThreshold", "top2PctPrecision", "top2PctRecall"
+FROM ({_area("heldout")}) AS a, (SELECT aucpr AS "top5Pctaucpr" FROM ({_area("heldout5")}) AS b0) AS b,
+  (SELECT threshold AS "top2PctThreshold", precision AS "top2PctPrecision", recall AS "top2PctRecall"
+   FROM ({_above(0.98).replace("px", "heldout")}) AS c0) AS c""",
+    "heldout5",
+)
 _VOTES = ", ".join(
     f"({depth}, {trees}, '{name}', {STUMP_THRESHOLDS[name] * (level + 1)}::double, {count})"
     for depth in TREE_GRID["max_depth"]

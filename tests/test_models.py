@@ -62,6 +62,27 @@ def test_model_scores_equal_plain_weights(lr, frame):
     assert both.agg(F.max(F.abs(F.col("predict_proba_1") - F.col("q")))).first()[0] < 1e-12
 
 
+def test_gradient_is_the_loss_slope_and_vanishes_at_the_optimum(frame, data, lr):
+    x, y = data
+    w = np.array([0.3, -0.2, 0.1])
+    z = np.hstack([x, np.ones((len(x), 1))])
+    e = 1 / (1 + np.exp(-(z @ w))) - y
+    pull = np.array([*w[:2], 0.0])
+    want = pull + 0.5 * z.T @ e
+    size = abs(pull) + 0.5 * abs(z * e[:, None]).sum(axis=0)
+    got = models.lr_gradient(frame, {"a": 0.3, "b": -0.2}, 0.1, c=0.5).collect()
+    assert [r.feature for r in got] == ["a", "b", "intercept"]
+    assert [r.gradient for r in got] == pytest.approx(list(want))
+    assert [r.share for r in got] == pytest.approx(list(abs(want) / size))
+    assert max(r.share for r in models.lr_gradient(frame, *models.linear_weights(lr), c=0.25).collect()) < 1e-5
+
+
+def test_a_fit_that_stops_early_is_an_error(frame):
+    with pytest.raises(ValueError, match="no optimum"):
+        models.fit_lr(frame, FEATURES, c=100.0, max_iter=1)
+    assert models.fit_lr(frame, FEATURES, c=100.0, max_iter=1, tolerance=None) is not None
+
+
 def test_coefficient_table(spark, lr):
     table = {r.feature: r for r in models.coef_table(spark, lr).collect()}
     assert set(table) == {"a", "b", "intercept"}
