@@ -8,7 +8,7 @@ import json
 import os
 
 from posttrend.plans import live, monitoring
-from posttrend.plans.collect import collect
+from posttrend.plans.collect import collect_put
 from posttrend.plans.modeling import KINDS, build_model, read_threshold
 from posttrend.plans.training import build_training
 from posttrend.session import build_session
@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     os.environ["TZ"] = "UTC"
     spark = build_session(f"posttrend-{args.job}")
     if args.job == "collect":
-        collect(read_listing(spark, args.listing), {"rising": args.rising, "hot": args.hot})
+        collect_put(read_listing(spark, args.listing), {"rising": args.rising, "hot": args.hot})
     elif args.job == "training":
         rising, hot = read_snapshots(spark, args.rising), read_snapshots(spark, args.hot)
         build_training(rising, hot, args.output, start=args.start, end=args.end)

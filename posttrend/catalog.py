@@ -15,7 +15,7 @@ from posttrend.operators import explore, features, intake, merge, models, monito
 from posttrend.plans import collect, live, modeling, monitoring, training
 from posttrend.schema import FEATURES, LANDED, LINEAR_FEATURES, SNAPSHOT, TREE_FEATURES, feature_columns
 from posttrend.session import cut_lineage, fresh_path
-from posttrend.sources import registry
+from posttrend.sources import registry, tables
 from posttrend.sources.events import (
     EVENTS,
     event_listing,
@@ -37,6 +37,7 @@ MONITOR_AS_OF = dt.datetime(2024, 1, 25, 0, 0, 0)
 NEW_FROM = dt.datetime(2024, 1, 15)
 PRIOR_BEFORE = dt.datetime(2024, 1, 20)
 HOT_CUTOFF = 2000
+LOW_SCORE = 100
 QUANTILES = [0.95, 0.97, 0.975, 0.98, 0.99]
 # What the two searches go through.
 C_VALUES = [1.0, 0.5, 0.25, 0.1, 0.01, 0.001, 0.0001, 0.00001]
@@ -342,13 +343,47 @@ def _(spark, sf_dir):
     rows = snapshots(spark, sf_dir).select("event_id", "postId", "loadTSUTC", "score", "numComments")
     key = ["postId", "loadTSUTC"]
     half = lambda n: intake.dedupe_latest(rows.where(F.col("event_id") % 2 == n), key, "event_id")
-    return merge.upsert(half(0), half(1), key)
+    return merge.upsert(half(0), half(1), key, unique=True)
+
+
+def _stored_halves(spark, sf_dir):
+    """The snapshots of even events stored, then those of odd ones put over them, in two writes by time of day."""
+    rows = snapshots(spark, sf_dir)
+    table = tables.snapshot_table(spark, fresh_path(spark, "snapshot-table"))
+    table.put(rows.where("event_id % 2 = 0"), "event_id")
+    odd = rows.where("event_id % 2 = 1")
+    table.put(odd.where("hour(loadTSUTC) < 12"), "event_id")
+    table.put(odd.where("hour(loadTSUTC) >= 12"), "event_id")
+    return table
+
+
+def _same_twice(table):
+    """The rows as a fresh reader sees them, and again after old versions are gone."""
+    before = table.read()
+    counted = before.count()
+    table.clean(keep=1)
+    after = tables.snapshot_table(table.spark, table.path).read()
+    if after.count() != counted:
+        raise RuntimeError("cleaning changed the newest version")
+    return after.withColumn("upvoteRatio", F.round(F.col("upvoteRatio").cast("double"), 6))
+
+
+@query("table_merge")
+def _(spark, sf_dir):
+    return _same_twice(_stored_halves(spark, sf_dir))
+
+
+@query("table_delete")
+def _(spark, sf_dir):
+    table = _stored_halves(spark, sf_dir)
+    table.delete(table.read().where(f"score < {LOW_SCORE}").select("postId", "loadTSUTC", "loadDateUTC"))
+    return _same_twice(table)
 
 
 @query("upsert_scored")
 def _(spark, sf_dir):
     prior, new = prior_and_new(spark, sf_dir)
-    return merge.upsert(prior, new, ["postId"]).select("postId", "modelName", "predict_proba_1", "stepUp")
+    return merge.upsert(prior, new, ["postId"], unique=True).select("postId", "modelName", "predict_proba_1", "stepUp")
 
 
 @query("upsert_composite")
@@ -356,13 +391,13 @@ def _(spark, sf_dir):
     prior, new = prior_and_new(spark, sf_dir)
     columns = ["subreddit", "createdTSUTC", "modelName", "timeElapsedMin"]
     # The new side lacks the age, so updated rows keep the one they have.
-    return merge.upsert(prior.select(*columns), new.select(*columns[:-1]), columns[:2])
+    return merge.upsert(prior.select(*columns), new.select(*columns[:-1]), columns[:2], unique=True)
 
 
 @query("upsert_empty_target")
 def _(spark, sf_dir):
     rows = posts(spark, sf_dir)
-    return merge.upsert(merge.empty_like(spark, rows.schema), rows, ["postId"])
+    return merge.upsert(merge.empty_like(spark, rows.schema), rows, ["postId"], unique=True)
 
 
 @query("purge_stale")

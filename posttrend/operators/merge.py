@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,21 @@ def _one_per_key(new: DataFrame, keys: list[str], order: str | None) -> DataFram
     return dedupe_latest(new, keys, ranks[0], ranks[1:])
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+def _checked_unique(new: DataFrame, keys: list[str]) -> DataFrame:
+    """``new`` as it is; reading it fails where two rows share a key.
+
+    The count runs over the join's own partitioning and order, and needs no column but the keys.
+    """
+    names = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    message = F.concat(F.lit("several new rows of the key "), names)
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    counted = new.withColumn("_copies", F.when(copies > 1, F.raise_error(message).cast("int")))
+    return counted.where(F.col("_copies").isNull()).drop("_copies")
+
+
+def upsert(
+    old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None, unique: bool = False
+) -> DataFrame:
     """Insert the new keys and replace the columns ``new`` carries where the key exists.
 
     Columns only ``old`` has keep their value on an update and are NULL on an
@@ -35,7 +49,8 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None =
     ``ensure_columns``.  Of several new rows of one key the one with the largest
     ``order`` counts (without it, or on a tie, the largest by the other columns),
     so the table stays unique on ``keys``.  A key with a NULL in it finds nothing
-    in ``old``; new rows with the same such key count as one.
+    in ``old``; new rows with the same such key count as one.  ``unique`` says that
+    no two new rows share a key: none is ranked, and if two do, reading the result fails.
     """
     unknown = [c for c in new.columns if c not in old.columns]
     if unknown:
@@ -43,7 +58,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None =
     # Both sides are read once, and the rank above is partitioned like the join.
     here = F.lit(True).alias("here")
     before = old.select(*keys, F.struct(here, *[c for c in old.columns if c not in keys]).alias("_old"))
-    incoming = _one_per_key(new, keys, order)
+    incoming = _checked_unique(new, keys) if unique else _one_per_key(new, keys, order)
     incoming = incoming.select(*keys, F.struct(here, *[c for c in new.columns if c not in keys]).alias("_new"))
 
     def pick(name: str):

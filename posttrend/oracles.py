@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from posttrend.catalog import (
-    EXPLORED, HIST_WIDTHS, INTERCEPT, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
+    EXPLORED, HIST_WIDTHS, INTERCEPT, LOW_SCORE, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
 )
 from posttrend.operators.evaluate import TOP_QUANTILES
 from posttrend.schema import METRICS, TREE_FEATURES, bucket_labels, feature_columns, feature_name, growth_name
@@ -403,6 +403,15 @@ oracle(
     "snap",
 )
 
+CTES["stored"] = (
+    ("snap",),
+    """
+    SELECT * EXCLUDE (event_id) REPLACE ("loadDateUTC"::varchar AS "loadDateUTC") FROM snap
+    QUALIFY row_number() OVER (PARTITION BY "postId", "loadTSUTC" ORDER BY event_id % 2 DESC, event_id DESC) = 1""",
+)
+oracle("table_merge", "SELECT * FROM stored", "stored")
+oracle("table_delete", f"SELECT * FROM stored WHERE score >= {LOW_SCORE}", "stored")
+
 # ---------------------------------------------------------------- monitoring
 
 oracle("hot_max_score", "SELECT * FROM hotmax", "hotmax")

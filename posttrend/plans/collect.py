@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from posttrend.operators.intake import dedupe_latest, normalize_listing
 from posttrend.schema import SNAPSHOT_KEY
-from posttrend.sources.tables import append_snapshots
+from posttrend.sources.tables import append_snapshots, snapshot_table
 
 # How deep each feed is read.
 FEED_DEPTH = {"rising": 25, "hot": 3}
@@ -22,3 +22,9 @@ def collect(listing: DataFrame, paths: dict[str, str]) -> None:
     """Append the rising and hot snapshots of a landed batch."""
     for view, path in paths.items():
         append_snapshots(feed_snapshots(listing, view), path)
+
+
+def collect_put(listing: DataFrame, paths: dict[str, str]) -> None:
+    """Put the rising and hot snapshots of a landed batch: collected again, they replace themselves."""
+    for view, path in paths.items():
+        snapshot_table(listing.sparkSession, path).put(feed_snapshots(listing, view))

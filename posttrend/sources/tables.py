@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from posttrend.operators.intake import dedupe_latest
 from posttrend.operators.merge import delete_by_key
 from posttrend.schema import LANDED, LISTING, SCORED, SNAPSHOT, SNAPSHOT_KEY
+from posttrend.sources.keyed import KeyedTable, is_keyed
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -25,12 +26,19 @@ def read_landed_csv(spark: SparkSession, path: str, columns: list[str] | None =
     return spark.read.schema(order).csv(path, header=True, enforceSchema=False).select(*LANDED.names)
 
 
+def snapshot_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The stored snapshots: one per post and load time, a snapshot put again replaces the one before."""
+    return KeyedTable(spark, path, SNAPSHOT, SNAPSHOT_KEY, "loadDateUTC")
+
+
 def read_snapshots(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
-    """A snapshot table partitioned by load date.
+    """A snapshot table: the newest version where versions are kept, else files partitioned by load date.
 
-    ``latest_only`` lets the row written last stand for its (post, load time), so
-    that writing a snapshot again replaces it.
+    Of such files ``latest_only`` lets the row written last stand for its (post, load time), so
+    that writing a snapshot again replaces it; versions hold one row per key anyway.
     """
+    if is_keyed(spark, path):
+        return snapshot_table(spark, path).read()
     rows = spark.read.schema(SNAPSHOT).parquet(path)
     if not latest_only:
         return rows.select(*SNAPSHOT.names)

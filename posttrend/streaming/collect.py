@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from posttrend.plans.collect import collect
+from posttrend.plans.collect import collect_put
 
 CADENCE = "1 minute"
 
@@ -13,11 +13,11 @@ CADENCE = "1 minute"
 def run_collect(
     listing: DataFrame, paths: dict[str, str], checkpoint: str, cadence: str | None = CADENCE
 ) -> StreamingQuery:
-    """Append the snapshots of every landed batch to the table of their view.
+    """Put the snapshots of every landed batch into the table of their view.
 
     A fetch must land within one batch, as its ranks are compared.  A batch that
-    is replayed writes its snapshots again; reading with ``latest_only`` keeps one.
+    is replayed replaces what it wrote.
     """
-    writer = listing.writeStream.foreachBatch(lambda batch, _: collect(batch, paths))
+    writer = listing.writeStream.foreachBatch(lambda batch, _: collect_put(batch, paths))
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=cadence) if cadence else writer.trigger(availableNow=True)).start()

@@ -81,6 +81,19 @@ def test_upsert_keeps_keys_unique(spark, rows):
     assert rows(merge.upsert(old, half, ["k"]), "k", "v") == [(1, None), (2, "b"), (3, None)]
 
 
+def test_upsert_of_unique_rows_ranks_none(spark, rows, tmp_path):
+    make = lambda data: spark.createDataFrame(data, "k int, v string, n int")
+    old, new = make([(1, "a", 1), (2, "b", 1)]), make([(2, "z", 8), (3, "q", 2), (None, "n", 0)])
+    assert rows(merge.upsert(old, new, ["k"], unique=True)) == rows(merge.upsert(old, new, ["k"]))
+    with pytest.raises(Exception, match="several new rows of the key 3"):
+        merge.upsert(old, new.union(make([(3, "r", 3)])), ["k"], unique=True).collect()
+    # Only the columns asked for are read, and the check shares the join's exchange.
+    new.write.parquet(str(tmp_path / "new"))
+    got = merge.upsert(old, spark.read.parquet(str(tmp_path / "new")), ["k"], unique=True).select("k", "v")
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:int,v:string>" in text and text.count("Exchange hashpartitioning") <= 2
+
+
 def test_upsert_reads_each_side_once(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.createDataFrame([(1, "a", 1)], "k int, v string, at int").write.parquet(path)
