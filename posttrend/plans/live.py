@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from posttrend.operators.models import score_model
 from posttrend.operators.scans import recent_ids
 from posttrend.operators.scoring import alert_messages, drop_already_alerted, mark_step_up, with_model_name
 from posttrend.schema import SCORED
-from posttrend.sources.tables import JOBS, append_scored, batch_path, read_scored, read_scored_batch
+from posttrend.sources.scored import JOBS, batch_path, commit, committed, head, read_attempts, read_scored, write_attempt
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -90,7 +89,8 @@ def store_batch(
 ) -> bool:
     """Write a scored batch and its alerts; False if no row is left.
 
-    The batch is computed once: alerts come from the rows as stored.  A repeat of
+    The batch is computed once: alerts come from the rows as stored, and the batch is committed when both are there,
+    so a run cut short before that has stored nothing as far as readers know.  A repeat of
     the same ``batch`` of a ``run`` does not see its own rows as prior ones and
     replaces both its rows and its alerts, also by none, so a run cut short can
     simply be repeated.  ``moment`` (microseconds) tells its place among all runs.
@@ -98,10 +98,11 @@ def store_batch(
     spark = scored.sparkSession
     prior = _prior(spark, scored_path, since, batch, run, moment)
     left = scored if prior is None else drop_already_alerted(scored, prior)
-    append_scored(left, scored_path, batch, run, moment)
-    stored = read_scored_batch(spark, scored_path, batch, run)
+    attempt = write_attempt(left, scored_path, batch, run, moment)
+    stored = read_attempts(spark, scored_path, [attempt]).select(*SCORED.names)
     writer = alert_messages(stored, threshold).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "static").parquet(batch_path(alerts_path, batch, run))
+    commit(spark, scored_path, attempt)
     return not stored.isEmpty()
 
 
@@ -109,9 +110,6 @@ def _prior(
     spark: SparkSession, path: str, since: dt.date | None, batch: int, run: str, moment: int | None
 ) -> DataFrame | None:
     """What earlier batches stored; None before the first one."""
-    try:
-        return read_scored(spark, path, since, batch, run, moment)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not committed(spark, path) and not head(spark, path).version:
+        return None
+    return read_scored(spark, path, since, batch, run, moment)

@@ -15,12 +15,12 @@ import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from posttrend.operators.merge import delete_by_key, empty_like, upsert
+from posttrend.sources.files import Files
 
 VERSIONS, DATA, FOLDER = "_versions", "data", "_day"
 ATTEMPTS = 5
@@ -48,18 +48,12 @@ class KeyedTable(NamedTuple):
 
     # ------------------------------------------------------------ versions
 
-    def _file_system(self):
-        context = self.spark.sparkContext
-        hadoop = context._jvm.org.apache.hadoop.fs
-        return hadoop.Path, hadoop.Path(self.path).getFileSystem(context._jsc.hadoopConfiguration())
+    def _files(self) -> Files:
+        return Files(self.spark, self.path)
 
     def versions(self) -> list[int]:
         """Numbers of the stored versions, oldest first."""
-        to_path, system = self._file_system()
-        folder = to_path(posixpath.join(self.path, VERSIONS))
-        if not system.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in system.listStatus(folder)]
+        names = self._files().names(posixpath.join(self.path, VERSIONS))
         return sorted(int(name.removesuffix(".json")) for name in names if name[0].isdigit())
 
     def manifest(self, version: int | None = None) -> Manifest:
@@ -74,24 +68,9 @@ class KeyedTable(NamedTuple):
         return posixpath.join(self.path, VERSIONS, f"{version:010d}.json")
 
     def _commit(self, manifest: Manifest) -> None:
-        to_path, system = self._file_system()
-        waiting = to_path(posixpath.join(self.path, VERSIONS, f".{uuid.uuid4().hex}"))
-        out = system.create(waiting, False)
-        out.write(bytearray(json.dumps(manifest.days, sort_keys=True).encode()))
-        out.close()
-        context = self.spark.sparkContext
-        files = context._jvm.org.apache.hadoop.fs
-        no_overwrite = context._gateway.new_array(files.Options.Rename, 0)
-        target = to_path(self._manifest_path(manifest.version))
-        try:
-            files.FileContext.getFileContext(system.getUri(), context._jsc.hadoopConfiguration()).rename(
-                waiting, target, no_overwrite
-            )
-        except Py4JJavaError as error:
-            system.delete(waiting, False)
-            if "FileAlreadyExists" in str(error.java_exception.getClass().getName()):
-                raise Conflict(f"version {manifest.version} of {self.path} was written meanwhile") from error
-            raise
+        text = json.dumps(manifest.days, sort_keys=True)
+        if not self._files().put(self._manifest_path(manifest.version), text, replace=False):
+            raise Conflict(f"version {manifest.version} of {self.path} was written meanwhile")
 
     # ------------------------------------------------------------ reading
 
@@ -137,8 +116,8 @@ class KeyedTable(NamedTuple):
 
     def _existing(self, folders: dict[str, str]) -> dict[str, str]:
         """The days that have rows left."""
-        to_path, system = self._file_system()
-        return {d: f for d, f in folders.items() if system.exists(to_path(posixpath.join(self.path, f)))}
+        files = self._files()
+        return {d: f for d, f in folders.items() if files.exists(posixpath.join(self.path, f))}
 
     def put(self, rows: DataFrame, order: str | None = None, attempts: int = ATTEMPTS) -> Manifest:
         """Insert rows and replace those whose key is there already.
@@ -171,26 +150,19 @@ class KeyedTable(NamedTuple):
 
         Data of writers at work stays: it is for versions after the newest.
         """
-        to_path, system = self._file_system()
-        versions = self.versions()
+        files, versions = self._files(), self.versions()
         kept = versions[-max(keep, 1):]
         used = {posixpath.dirname(f) for v in kept for f in self.manifest(v).days.values()}
         for version in versions[: len(versions) - len(kept)]:
-            system.delete(to_path(self._manifest_path(version)), False)
-        folder = to_path(posixpath.join(self.path, DATA))
-        if not system.exists(folder):
-            return 0
+            files.delete(self._manifest_path(version))
         removed = 0
-        for status in system.listStatus(folder):
-            name = status.getPath().getName()
+        for name in files.names(posixpath.join(self.path, DATA)):
             if posixpath.join(DATA, name) not in used and int(name[1:].split("-")[0]) <= max(kept, default=0):
-                system.delete(status.getPath(), True)
+                files.delete(posixpath.join(self.path, DATA, name))
                 removed += 1
         return removed
 
 
 def is_keyed(spark: SparkSession, path: str) -> bool:
     """Whether a stored table of versions is at ``path``."""
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(posixpath.join(path, VERSIONS))
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return Files(spark, path).exists(posixpath.join(path, VERSIONS))

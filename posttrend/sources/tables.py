@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from posttrend.operators.intake import dedupe_latest
 from posttrend.operators.merge import delete_by_key
-from posttrend.schema import LANDED, LISTING, SCORED, SNAPSHOT, SNAPSHOT_KEY
+from posttrend.schema import LANDED, LISTING, SNAPSHOT, SNAPSHOT_KEY
 from posttrend.sources.keyed import KeyedTable, is_keyed
+from posttrend.sources.scored import append_scored, read_scored, read_scored_batch  # noqa: F401  (read with the others)
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -86,63 +85,3 @@ def read_training(spark: SparkSession, path: str) -> DataFrame:
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A relational table; filters and column choices are pushed to the database."""
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
-
-
-# The scored table is a log of batches: a folder per run and batch number, and in
-# it one per creation day.  A run is one stream with its checkpoint, or the jobs
-# started by hand.  A batch is written as a whole, so a repeat replaces all of it,
-# also where fewer rows or none are left, and no run touches another one's rows.
-# Rows carry the moment their batch stands for, which orders batches of all runs;
-# readers take the newest row per post.
-
-JOBS = "jobs"
-
-
-def batch_path(path: str, batch: int, run: str = JOBS) -> str:
-    return f"{path}/run={run}/batch={batch}"
-
-
-def append_scored(scored: DataFrame, path: str, batch: int, run: str = JOBS, moment: int | None = None) -> None:
-    """Store a batch in place of what its number held; ``moment`` orders it, by default the number itself."""
-    at = F.lit(batch if moment is None else moment).cast("long").alias("moment")
-    rows = scored.select(*SCORED.names, at, F.to_date("createdTSUTC").alias("createdDate"))
-    writer = _by_day(rows, "createdDate").write.partitionBy("createdDate").mode("overwrite")
-    writer.option("partitionOverwriteMode", "static").parquet(batch_path(path, batch, run))
-
-
-def _log_schema(*folders: T.StructField) -> T.StructType:
-    # Stored files may have NULL anywhere, as far as Spark is concerned.
-    fields = [T.StructField(f.name, f.dataType) for f in SCORED.fields]
-    return T.StructType([*fields, T.StructField("moment", T.LongType()), *folders])
-
-
-def read_scored_batch(spark: SparkSession, path: str, batch: int, run: str = JOBS) -> DataFrame:
-    """The rows of one batch as stored; only its own folder is listed."""
-    day = T.StructField("createdDate", T.DateType())
-    return spark.read.schema(_log_schema(day)).parquet(batch_path(path, batch, run)).select(*SCORED.names)
-
-
-def read_scored(
-    spark: SparkSession,
-    path: str,
-    since: dt.date | None = None,
-    before_batch: int | None = None,
-    run: str = JOBS,
-    moment: int | None = None,
-) -> DataFrame:
-    """Current scored rows, one per post; ``since`` prunes creation days.
-
-    ``before_batch`` leaves out the batch of that number in ``run`` and all that come after it: those of later
-    moments, and of the same moment those of another run or a larger number.
-    """
-    run_, batch = T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())
-    rows = spark.read.schema(_log_schema(run_, batch, T.StructField("createdDate", T.DateType()))).parquet(path)
-    if since is not None:
-        rows = rows.where(F.col("createdDate") >= F.lit(since))
-    if before_batch is not None:
-        at = F.lit(before_batch if moment is None else moment).cast("long")
-        own = F.col("run") == run
-        earlier = (F.col("moment") < at) | ((F.col("moment") == at) & own & (F.col("batch") < before_batch))
-        rows = rows.where(earlier & ~(own & (F.col("batch") == before_batch)))
-    newest = dedupe_latest(rows, ["postId"], "moment", ["batch", "run", "createdTSUTC", "title"])
-    return newest.select(*SCORED.names)
