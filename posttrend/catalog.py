@@ -26,14 +26,19 @@ from posttrend.sources.events import (
     read_events,
     zoned,
 )
-from posttrend.streaming.features import stream_snapshots
-from posttrend.streaming.scoring import run_scoring, write_feature_updates
+from posttrend.sources.files import Files
+from posttrend.sources.scored import compact, read_scored
+from posttrend.streaming import collect as stream_collect
+from posttrend.streaming import late
+from posttrend.streaming.features import latest_rows, stream_snapshots
+from posttrend.streaming.scoring import run_scoring, write_feature_updates, write_updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 THRESHOLD = 0.6
 AS_OF = dt.datetime(2024, 1, 30, 23, 0, 0)
 MONITOR_AS_OF = dt.datetime(2024, 1, 25, 0, 0, 0)
+CUTS = [dt.datetime(2024, 1, 5, 0, 40), dt.datetime(2024, 1, 11, 12, 30), dt.datetime(2024, 1, 17, 0, 20), dt.datetime(2024, 1, 23, 18, 45)]
 NEW_FROM = dt.datetime(2024, 1, 15)
 PRIOR_BEFORE = dt.datetime(2024, 1, 20)
 HOT_CUTOFF = 2000
@@ -703,6 +708,95 @@ def _(spark, sf_dir):
     return intake.dedupe_latest(rows, ["postId", "title"], "batch").select(*FEATURES.names)
 
 
+def _slices(events: DataFrame) -> list[DataFrame]:
+    """The events before, between and after the cuts, which fall into the hours of posts."""
+    at, ends = F.col("ts"), [None, *[utc(c) for c in CUTS], None]
+    return [
+        events.where((F.lit(True) if a is None else at >= a) & (F.lit(True) if b is None else at < b))
+        for a, b in zip(ends, ends[1:])
+    ]
+
+
+def _streamed(spark, slices: list[DataFrame], start) -> None:
+    """Land the slices one after the other; after each, ``start`` goes on with the stream until all is worked off."""
+    folder = fresh_path(spark, "events-in")
+    for part in slices:
+        # The log's times have no zone, as ``zoned`` expects.
+        part.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.mode("append").parquet(folder)
+        start(zoned(spark.readStream.schema(EVENTS).parquet(folder))).awaitTermination()
+
+
+@query("stream_dedupe")
+def _(spark, sf_dir):
+    """The newest snapshot of each post, over a stream that is cut within the hours of posts."""
+    sink, state = fresh_path(spark, "newest-out"), fresh_path(spark, "newest-state")
+
+    def start(events):
+        rows = latest_rows(event_snapshots(events), ["loadTSUTC", "event_id"])
+        return write_updates(rows.select("postId", "loadTSUTC", "event_id", "score"), sink, state, cadence=None)
+
+    _streamed(spark, _slices(read_events(spark, sf_dir)), start)
+    rows = spark.read.parquet(sink)
+    return intake.dedupe_latest(rows, ["postId"], "batch").select("postId", "loadTSUTC", "event_id", "score")
+
+
+@query("stream_late")
+def _(spark, sf_dir):
+    """Every fiftieth event lands a slice late; each event once, with the side it went to."""
+    events = read_events(spark, sf_dir)
+    parts = _slices(events)
+    held = F.col("event_id") % 50 == 0
+    none = events.where(F.lit(False))
+    mixed = [now.where(~held).unionByName(before.where(held)) for now, before in zip([*parts, none], [none, *parts])]
+    out, state = fresh_path(spark, "late-out"), fresh_path(spark, "late-state")
+    _streamed(spark, mixed, lambda rows: late.split_late(event_snapshots(rows), out, state, cadence=None))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("createdTSUTC", T.TimestampType())])
+    sides = [late.read_side(spark, out, side, schema).withColumn("side", F.lit(side)) for side in ("kept", "late")]
+    both = sides[0].unionByName(sides[1])
+    told = late.marks(spark, out)
+    counted = {r["side"]: r["count"] for r in both.groupBy("side").count().collect()}
+    if any(sum(m[side] for m in told) != counted.get(side, 0) for side in ("kept", "late")):
+        raise RuntimeError("the batches' counts do not add up")
+    return both
+
+
+@query("stream_collect")
+def _(spark, sf_dir):
+    """Fetches that land in three parts each, ranked as a whole in the end."""
+    paths = {"hot": fresh_path(spark, "collect-hot")}
+    items, state = fresh_path(spark, "collect-items"), fresh_path(spark, "collect-state")
+
+    def start(events):
+        return stream_collect.run_collect(event_listing(events), paths, state, cadence=None, items=items)
+
+    events = read_events(spark, sf_dir)
+    _streamed(spark, [events.where(F.col("event_id") % 5 % 3 == n) for n in range(3)], start)
+    return tables.read_snapshots(spark, paths["hot"]).withColumn("upvoteRatio", F.round(F.col("upvoteRatio").cast("double"), 6))
+
+
+@query("stream_scoring_replay")
+def _(spark, sf_dir):
+    """Scoring over several batches, the last of them repeated, all of it again on a new checkpoint, then folded."""
+    paths = {part: fresh_path(spark, f"replay-{part}") for part in ("scored", "alerts", "checkpoint")}
+    scorer = lambda df: scoring.score_linear(features.time_features(df), WEIGHTS, INTERCEPT)
+    folders = []
+
+    def start(events, paths=paths):
+        folders.append(events)
+        return run_scoring(event_snapshots(events), scorer, "fixed_weights", 0.3, paths, cadence=None)
+
+    _streamed(spark, _slices(read_events(spark, sf_dir)), start)
+    # A driver that dies between storing a batch and noting it in the checkpoint repeats that batch.
+    files, commits = Files(spark, paths["checkpoint"]), f"{paths['checkpoint']}/commits"
+    files.delete(f"{commits}/{max((n for n in files.names(commits) if n.isdigit()), key=int)}")
+    start(folders[-1]).awaitTermination()
+    start(folders[-1], {**paths, "checkpoint": fresh_path(spark, "replay-again")}).awaitTermination()
+    compact(spark, paths["scored"])
+    alerts = spark.read.parquet(paths["alerts"]).groupBy("postId").agg(F.count("*").alias("alerts"))
+    rows = read_scored(spark, paths["scored"]).join(alerts, "postId", "left")
+    return rounded(rows.select("postId", "predict_proba_1", "stepUp", F.coalesce("alerts", F.lit(0)).alias("alerts")), "predict_proba_1")
+
+
 @query("stream_scoring")
 def _(spark, sf_dir):
     paths = {part: fresh_path(spark, f"scoring-{part}") for part in ("scored", "alerts", "checkpoint")}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from posttrend.catalog import (
-    EXPLORED, HIST_WIDTHS, INTERCEPT, LOW_SCORE, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
+    CUTS, EXPLORED, HIST_WIDTHS, INTERCEPT, LOW_SCORE, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
 )
 from posttrend.operators.evaluate import TOP_QUANTILES
 from posttrend.schema import METRICS, TREE_FEATURES, bucket_labels, feature_columns, feature_name, growth_name
@@ -674,3 +674,43 @@ oracle(
 FROM lin WHERE q >= 0.3""",
     "lin",
 )
+
+ORACLES["stream_dedupe"] = ORACLES["dedupe_latest"]
+_STARTS = "[" + ", ".join(f"TIMESTAMP '{c}'" for c in CUTS) + "]"
+CTES["sliced"] = (
+    (),
+    f"""
+    SELECT event_id, date_trunc('hour', ts) AS "createdTSUTC",
+      len([c FOR c IN {_STARTS} IF c <= ts]) + (event_id % 50 = 0)::int AS slice FROM events""",
+)
+CTES["marks"] = (
+    ("sliced",),
+    """
+    SELECT slice, max(max("createdTSUTC")) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+    FROM sliced GROUP BY slice""",
+)
+oracle(
+    "stream_late",
+    """SELECT event_id, "createdTSUTC",
+  CASE WHEN coalesce("createdTSUTC" < seen - INTERVAL 90 MINUTE, false) THEN 'late' ELSE 'kept' END AS side
+FROM sliced JOIN marks USING (slice)""",
+    "sliced",
+    "marks",
+)
+oracle("stream_collect", f"SELECT {_DATE_AS_TEXT} FROM hot3", "hot3")
+# Posts of an hour with a cut in it are scored twice, first on what came before the cut.
+CTES["part_snap"] = (("snap",), "\n    UNION ALL ".join(f"""
+    SELECT * FROM snap WHERE event_id IN (SELECT event_id FROM events
+      WHERE ts < TIMESTAMP '{c}' AND date_trunc('hour', ts) = date_trunc('hour', TIMESTAMP '{c}'))""" for c in CUTS))
+CTES["part_feat"] = (("part_snap",), _features("part_snap"))
+CTES["part_filled"] = (("part_feat",), f"""
+    SELECT * REPLACE ({_FILL}) FROM part_feat""")
+CTES["part_timed"] = (("part_filled",), CTES["timed"][1].replace("FROM filled", "FROM part_filled"))
+oracle(
+    "stream_scoring_replay",
+    f"""SELECT "postId", round(CASE WHEN first >= 0.3 AND q >= 0.3 THEN first ELSE q END, 6) AS predict_proba_1,
+  (q >= 0.3)::int AS "stepUp", greatest((coalesce(first, 0) >= 0.3)::int, (q >= 0.3)::int)::bigint AS alerts
+FROM lin LEFT JOIN (SELECT "postId", 1 / (1 + exp(-({_MARGIN}))) AS first FROM part_timed) USING ("postId")""",
+    "lin",
+    "part_timed",
+)

@@ -138,6 +138,16 @@ class KeyedTable(NamedTuple):
 
         return self._write(days, change, attempts)
 
+    def replace_groups(self, groups: DataFrame, rows: DataFrame, by: list[str], attempts: int = ATTEMPTS) -> Manifest:
+        """Put ``rows`` in place of all rows of some groups: the values of ``by`` and the day that ``groups`` has.
+
+        Rows of other groups stay, but for those whose key comes again.
+        """
+        days = sorted({*self._days_of(groups), *self._days_of(rows)})
+        if not days:
+            return self.manifest()
+        return self._write(days, lambda old: upsert(delete_by_key(old, groups, by), rows, self.keys, unique=True), attempts)
+
     def delete(self, bad: DataFrame, attempts: int = ATTEMPTS) -> Manifest:
         """Delete the rows whose key is in ``bad``, which also has the day; a day without rows goes."""
         days = self._days_of(bad)

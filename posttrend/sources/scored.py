@@ -27,7 +27,7 @@ from posttrend.sources.files import Files
 from posttrend.sources.keyed import KeyedTable
 
 JOBS = "jobs"
-COMMITS, HEAD, BASE = "_commits", "_head.json", "_base"
+COMMITS, HEAD, BASE = "_commits", "head.json", "_base"
 # Stored files may have NULL anywhere, as far as Spark is concerned.
 _COLUMNS = [T.StructField(f.name, f.dataType) for f in SCORED.fields]
 _MOMENT = T.StructField("moment", T.LongType())
@@ -92,7 +92,8 @@ def write_attempt(scored: DataFrame, path: str, batch: int, run: str = JOBS, mom
     """Store a batch's rows; ``moment`` orders it, by default its number.  Nobody sees them before ``commit``."""
     at = batch if moment is None else moment
     folder = f"run={run}/batch={batch}/attempt={uuid.uuid4().hex}"
-    rows = scored.select(*SCORED.names, F.lit(at).cast("long").alias("moment"), F.to_date("createdTSUTC").alias("createdDate"))
+    typed = [F.col(f.name).cast(f.dataType) for f in SCORED.fields]
+    rows = scored.select(*typed, F.lit(at).cast("long").alias("moment"), F.to_date("createdTSUTC").alias("createdDate"))
     rows.hint("rebalance", "createdDate").write.partitionBy("createdDate").parquet(posixpath.join(path, folder))
     return Attempt(run, batch, at, folder)
 

@@ -30,6 +30,16 @@ def snapshot_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, SNAPSHOT, SNAPSHOT_KEY, "loadDateUTC")
 
 
+# Raw feed items with the day of their fetch; an item of a fetch counts once, however often it lands.
+LANDED_ITEM = T.StructType([*LISTING.fields, T.StructField("fetchDate", T.DateType(), False)])
+FETCH = ["subreddit", "view", "fetched_at"]
+
+
+def item_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The stored feed items, so that a fetch that lands in parts can be ranked as a whole."""
+    return KeyedTable(spark, path, LANDED_ITEM, [*FETCH, "rank", "id"], "fetchDate")
+
+
 def read_snapshots(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
     """A snapshot table: the newest version where versions are kept, else files partitioned by load date.
 

@@ -31,6 +31,17 @@ def drop_repeats(snapshots: DataFrame, delay: str = DELAY) -> DataFrame:
     return snapshots.withWatermark("loadTSUTC", delay).dropDuplicatesWithinWatermark(SNAPSHOT_KEY)
 
 
+def latest_rows(snapshots: DataFrame, order: list[str], key: str = "postId", delay: str = DELAY) -> DataFrame:
+    """The newest row of each post over a stream: the one with the largest ``order``.
+
+    One row per post is kept in state, until ``delay`` has passed since the post was created.  In update mode a post is
+    emitted whenever rows of it come, in append mode once, when no more are expected.
+    """
+    kept = snapshots.withWatermark("createdTSUTC", delay)
+    newest = F.max_by(F.struct(*[c for c in snapshots.columns if c not in (key, "createdTSUTC")]), F.struct(*order))
+    return kept.groupBy(key, "createdTSUTC").agg(newest.alias("_row")).select(key, "createdTSUTC", "_row.*")
+
+
 def drop_aged(snapshots: DataFrame) -> DataFrame:
     """Keep rows of the first hour, counted by true age rather than minute of day."""
     age = F.unix_timestamp("loadTSUTC") - F.unix_timestamp("createdTSUTC")

@@ -73,11 +73,16 @@ def write_feature_updates(
     snapshots: DataFrame, path: str, checkpoint: str, delay: str = DELAY, cadence: str | None = TRIGGER
 ) -> StreamingQuery:
     """Store every run's changed feature rows under its batch number; a replayed batch replaces itself."""
+    return write_updates(stream_features(snapshots, delay), path, checkpoint, cadence)
+
+
+def write_updates(rows: DataFrame, path: str, checkpoint: str, cadence: str | None = TRIGGER) -> StreamingQuery:
+    """Store what each run changed under its batch number; a replayed batch replaces itself."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch", F.lit(batch_id).cast("long"))
         writer = rows.write.partitionBy("batch").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
-    writer = stream_features(snapshots, delay).writeStream.outputMode("update").foreachBatch(handle)
+    writer = rows.writeStream.outputMode("update").foreachBatch(handle)
     return _trigger(writer.option("checkpointLocation", checkpoint), cadence).start()
