@@ -40,9 +40,11 @@ RULES = (
 )
 DAMPING = 0.85
 ROUNDS = 12  # what the SQL writes out; the spread itself goes on until it settles
-TOLERANCE = 1e-11
+TOLERANCE = 1e-9  # of a host's own rank, so that the size of the graph does not matter
+MARGIN = 1e-6  # distrust must be larger than trust by this share of it
 MOST_ROUNDS = 1000
-LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']?\s*([^"'\s>]+)"""
+# A tag ends at the next ``<`` at the latest, so that an unclosed one is not read on to the end of the page.
+LINK = r"""(?i)<a\s(?:[^<>]*?\s)?href\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
 def _after_scheme(url: Column) -> Column:
@@ -98,8 +100,9 @@ def settle(
     """``kind, host, rank`` that ``propagate`` comes ever closer to.
 
     As what leaves through no link goes back to the seeds, the settled ranks are in proportion to the sum of all that
-    arrives over 0, 1, 2, ... links from the seeds.  A step goes one link further, until less than ``tolerance`` is on
-    its way in all; without cycles that is the longest path.
+    arrives over 0, 1, 2, ... links from the seeds.  A step goes one link further, until what arrives anywhere is less
+    than ``tolerance`` of the rank the host has by then; without cycles that is the longest path.  From there on every
+    further step stays below that share too, whatever the number of hosts.
     """
     flow = _flow(edges)
     ranks = cut_lineage(seeds.select("kind", "host", F.col("seed").alias("step"), F.col("seed").alias("rank")))
@@ -110,7 +113,7 @@ def settle(
         parts = moved.unionByName(ranks.select("kind", "host", F.lit(0.0).alias("step"), "rank"))
         sums = parts.groupBy("kind", "host").agg(F.sum("step").alias("step"), F.sum("rank").alias("rank"))
         ranks = cut_lineage(sums.withColumn("rank", F.col("rank") + F.col("step")))
-        if (ranks.agg(F.sum("step")).first()[0] or 0.0) < tolerance:
+        if (ranks.agg(F.max(F.try_divide("step", "rank"))).first()[0] or 0.0) < tolerance:
             break
     else:
         raise RuntimeError("trust and distrust did not settle")
@@ -166,7 +169,7 @@ def host_scores(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds:
         F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"),
     )
-    return sums.withColumn("blocked", F.round("distrust", 9) > F.round("trust", 9))
+    return sums.withColumn("blocked", F.col("distrust") > F.col("trust") * (1 + MARGIN))
 
 
 def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
@@ -216,7 +219,8 @@ def oracle() -> str:
         ]
     ctes.append(
         "bad AS (SELECT host FROM (SELECT host, sum(CASE kind WHEN 'trust' THEN rank ELSE 0 END) AS trust, "
-        f"sum(CASE kind WHEN 'trust' THEN 0 ELSE rank END) AS distrust FROM r{ROUNDS} GROUP BY 1) WHERE round(distrust, 9) > round(trust, 9))"
+        f"sum(CASE kind WHEN 'trust' THEN 0 ELSE rank END) AS distrust FROM r{ROUNDS} GROUP BY 1) "
+        f"WHERE distrust > trust * {1 + MARGIN!r})"
     )
     return (
         "WITH " + ",\n".join(ctes) + "\nSELECT page_id, j.host, path, rule, "

@@ -79,5 +79,46 @@ def test_distrust_reaches_along_a_long_chain(make, by_id):
     assert {i for i, r in got.items() if r.verdict == "block"} == set(range(16))
 
 
+def _linked(copies):
+    """Hosts with little rank each: one links to a blocked host, one is linked by an allowed one, one has as much of both."""
+    rows = []
+    for c in range(copies):
+        bad, good = f'<a href="//bad{c}.com/">', f'<a href="//liked{c}.net/"><a href="//even{c}.net/">'
+        rows += [
+            (f"http://bad{c}.com/de/", None), (f"http://good{c}.org/", good), (f"http://spam{c}.net/", bad),
+            (f"http://liked{c}.net/", None), (f"http://even{c}.net/", f'{bad}<a href="//other{c}.net/">'), (f"http://other{c}.net/", f"{bad}{bad}"),
+        ]
+    return [(i, *r) for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_verdicts_do_not_depend_on_the_size_of_the_graph(make, by_id, copies):
+    got = by_id(urls.filter_urls(make(_linked(copies), PAGES)), "page_id")
+    each = ["block", "allow", "block", "allow", None, "block"]
+    for c in range(copies):
+        verdicts = [got[6 * c + i].verdict for i in range(6)]
+        assert [v for v, w in zip(verdicts, each) if w] == [w for w in each if w]
+        assert verdicts == [got[i].verdict for i in range(6)]
+
+
+def test_tiny_ranks_are_compared_by_their_ratio(spark):
+    hub = [(f"x{i}", "hub", 1) for i in range(3000)]
+    edges = spark.createDataFrame([*hub, ("y", "bad", 1), ("x0", "bad", 10**7)], "src string, dst string, links long")
+    seeds = spark.createDataFrame([("distrust", "bad", 1.0)], "kind string, host string, seed double")
+    got = {r.host: r["rank"] for r in urls.propagate(edges, seeds).collect()}
+    assert 0 < got["y"] < 1e-7 and set(got) == {"bad", "x0", "y"}
+
+
+def test_unclosed_tags_are_read_once(make):
+    import time
+
+    pages = [(1, "http://a.net/", "<a " * 100_000), (2, "http://b.net/", '<a <a href="//bad.com/">'), (3, "http://bad.com/de/", '<a href="' * 50_000)]
+    frame = make(pages, PAGES)
+    urls.filter_urls(make(pages[1:2], PAGES)).collect()
+    began = time.time()
+    got = {r.page_id: r.verdict for r in urls.filter_urls(frame).collect()}
+    assert got == {1: "allow", 2: "block", 3: "block"} and time.time() - began < 60
+
+
 def test_empty_table(make):
     assert urls.filter_urls(make([], PAGES)).count() == 0
