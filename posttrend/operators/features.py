@@ -13,10 +13,13 @@ QUARTERS = ((0, 6, "time0006"), (6, 12, "time0612"), (12, 18, "time1218"), (18,
 
 
 def post_features(
-    snapshots: DataFrame, metrics: tuple[str, ...] = tuple(METRICS), edges: tuple[int, ...] = (20, 40, 60)
+    snapshots: DataFrame, metrics: tuple[str, ...] = tuple(METRICS), edges: tuple[int, ...] = (20, 40, 60),
+    also: tuple[Column, ...] = (),
 ) -> DataFrame:
     """Largest value of each metric per age bucket, plus growth between the last two buckets.
 
+    ``also``: named aggregates to carry along.
+
     One pass of conditional maxima.  Every map task reduces a post to one row
     before the shuffle, so a post with very many snapshots is no hot spot.  An
     edited title starts a row of its own because the title is part of the key.
@@ -28,7 +31,7 @@ def post_features(
         for metric in metrics
         for low, high, label in labels
     ]
-    rows = snapshots.groupBy(*POST_KEY).agg(F.max(age).alias(age), *maxima)
+    rows = snapshots.groupBy(*POST_KEY).agg(F.max(age).alias(age), *maxima, *also)
     if len(labels) < 2:
         return rows
     earlier, later = labels[-2][2], labels[-1][2]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posttrend.operators.merge import melt
@@ -10,13 +10,13 @@ from posttrend.operators.merge import melt
 FLAG_COLUMNS = ["stepUp", "hotPost", "hotPost10k", "stepUpHotPost", "stepUpHotPost10k"]
 
 
-def hot_max_score(hot: DataFrame) -> DataFrame:
-    """Best score a post reached in the hot feed."""
-    return (
-        hot.groupBy("postId", "subreddit")
-        .agg(F.max("score").alias("hotPostMaxScore"))
-        .withColumnRenamed("subreddit", "hotPostSubreddit")
-    )
+def hot_max_score(hot: DataFrame, seen: Column | None = None) -> DataFrame:
+    """Best score a post reached in the hot feed; with ``seen``, of the posts for which that holds of any row."""
+    also = [] if seen is None else [F.bool_or(seen).alias("_seen")]
+    best = hot.groupBy("postId", "subreddit").agg(F.max("score").alias("hotPostMaxScore"), *also)
+    if seen is not None:
+        best = best.withColumn("_seen", F.max("_seen").over(Window.partitionBy("postId"))).where("_seen").drop("_seen")
+    return best.withColumnRenamed("subreddit", "hotPostSubreddit")
 
 
 def monitor_labels(scored: DataFrame, hot_max: DataFrame, cutoff: int = 10000) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posttrend.functions import utc, utc_date
+from posttrend.session import fresh_path
+
+# Ids that are sent to every task: a few megabytes.
+FEW_IDS = 100_000
 
 
 def date_spine(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -60,13 +64,26 @@ def recent_ids(
     return distinct_ids(snapshots.where(window))
 
 
-def history_for(snapshots: DataFrame, ids: DataFrame, key: str = "postId") -> DataFrame:
+def stored_ids(ids: DataFrame, key: str = "postId") -> DataFrame:
+    """The distinct ids as a table of their own, so that their number is known before anything is joined to them."""
+    spark, path = ids.sparkSession, fresh_path(ids.sparkSession, "ids")
+    distinct_ids(ids, key).write.parquet(path)
+    return spark.read.schema(f"`{key}` {ids.schema[key].dataType.simpleString()}").parquet(path)
+
+
+def are_few(ids: DataFrame, most: int = FEW_IDS) -> bool:
+    """Whether stored ids may be sent to every task; their count is in the files' footers."""
+    return ids.count() <= most
+
+
+def history_for(snapshots: DataFrame, ids: DataFrame, key: str = "postId", most: int = FEW_IDS) -> DataFrame:
     """Every snapshot of the wanted posts.
 
-    A plain semi join: adaptive execution broadcasts the ids once their measured
-    size allows it and otherwise splits a hot post over several tasks.
+    Up to ``most`` ids go to the snapshots, which are filtered where they are read and not shuffled; more than that
+    are a join, in which adaptive execution splits a hot post over several tasks.
     """
-    return snapshots.join(distinct_ids(ids, key), key, "left_semi")
+    wanted = stored_ids(ids, key)
+    return snapshots.join(F.broadcast(wanted) if are_few(wanted, most) else wanted, key, "left_semi")
 
 
 def scored_between(scored: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from posttrend.functions.columns import utc_date
 from posttrend.operators.features import fill_features, post_features, time_features
 from posttrend.operators.models import score_model
-from posttrend.operators.scans import recent_ids
+from posttrend.operators.scans import are_few, recent_ids, stored_ids
 from posttrend.operators.scoring import alert_messages, drop_already_alerted, mark_step_up, with_model_name
 from posttrend.schema import SCORED
 from posttrend.sources.scored import JOBS, batch_path, commit, committed, head, read_attempts, read_scored, write_attempt
@@ -30,17 +30,20 @@ def live_features(
 ) -> DataFrame:
     """Features of the posts seen within ``lookback`` of ``as_of``.
 
-    Features first, ids second: the aggregate leaves one row per post, so a post
-    with very many snapshots is reduced in the map tasks instead of meeting the
-    join as one huge key.  A post's whole history up to ``as_of`` counts;
-    ``history`` limits the scan to so much before the look-back, for callers who
+    The ids come first, and as long as they are few (they are those of some minutes) only the snapshots of these posts
+    are aggregated: all others are dropped where they are read.  Of more ids the features come first, so that a post
+    with very many snapshots is reduced in the map tasks instead of meeting the join as one huge key.  A post's whole
+    history up to ``as_of`` counts; ``history`` limits the scan to so much before the look-back, for callers who
     know that no post has older snapshots.
     """
     days = F.col("loadDateUTC") <= F.lit(utc_date(as_of))
     if history is not None:
         days = days & (F.col("loadDateUTC") >= F.lit(utc_date(as_of - lookback - history)))
-    ids = recent_ids(snapshots, as_of, lookback, **window)
-    return post_features(snapshots.where(days)).join(ids, "postId", "left_semi")
+    ids = stored_ids(recent_ids(snapshots, as_of, lookback, **window))
+    known = snapshots.where(days)
+    if are_few(ids):
+        return post_features(known.join(F.broadcast(ids), "postId", "left_semi"))
+    return post_features(known).join(ids, "postId", "left_semi")
 
 
 def score_batch(features: DataFrame, scorer: Scorer, model: str, threshold: float) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from posttrend.functions.columns import utc_date
 from posttrend.operators.monitor import hot_max_score, monitor_labels, precision_recall_by
-from posttrend.operators.scans import distinct_ids, scored_between
+from posttrend.operators.scans import scored_between
 
 
 def recent_labels(
@@ -26,8 +26,7 @@ def recent_labels(
     """
     days = F.col("loadDateUTC").between(F.lit(utc_date(as_of - back)), F.lit(utc_date(as_of)))
     window = scored_between(scored, as_of - back, as_of - lag)
-    best = hot_max_score(hot).join(distinct_ids(hot.where(days)), "postId", "left_semi")
-    return monitor_labels(window, best, cutoff)
+    return monitor_labels(window, hot_max_score(hot, days), cutoff)
 
 
 def report(scored: DataFrame, hot: DataFrame, as_of: dt.datetime, **options) -> DataFrame:

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from posttrend.operators.features import post_features
 from posttrend.operators.labels import label_members
-from posttrend.operators.scans import distinct_ids
 from posttrend.sources.tables import write_training
 
 
-def _loaded(snapshots: DataFrame, start: dt.date | None, end: dt.date | None) -> DataFrame:
+def _inside(start: dt.date | None, end: dt.date | None) -> Column:
+    inside = F.lit(True)
     if start is not None:
-        snapshots = snapshots.where(F.col("loadDateUTC") >= F.lit(start))
+        inside = inside & (F.col("loadDateUTC") >= F.lit(start))
     if end is not None:
-        snapshots = snapshots.where(F.col("loadDateUTC") <= F.lit(end))
-    return snapshots
+        inside = inside & (F.col("loadDateUTC") <= F.lit(end))
+    return inside
 
 
 def training_table(
@@ -27,17 +27,20 @@ def training_table(
 ) -> DataFrame:
     """Features of the posts loaded from ``start`` to ``end``, target 1 where the post was hot in that time.
 
-    Features come before the choice of posts: the aggregate reduces every post to
-    one row in the map tasks, so the semi join never meets a hot key.  The whole
-    history of a chosen post counts; ``margin`` limits the scan to so many days
-    around the range, for callers who know that no post has older snapshots.
+    One pass over the snapshots: whether a post was loaded in that time is carried along with its features, and posts
+    that were not are dropped after the aggregate, which every map task begins.  The whole history of a chosen post
+    counts; ``margin`` limits the scan to so many days around the range, for callers who know that no post has older
+    snapshots.
     """
     if start is None and end is None:
         features = post_features(rising)
     else:
-        around = rising if margin is None else _loaded(rising, start and start - margin, end and end + margin)
-        features = post_features(around).join(distinct_ids(_loaded(rising, start, end)), "postId", "left_semi")
-    return label_members(features, _loaded(hot, start, end))
+        around = rising if margin is None else rising.where(_inside(start and start - margin, end and end + margin))
+        loaded = F.bool_or(_inside(start, end)).alias("_loaded")
+        # A post whose title was edited has a row per title; it counts if any of them was loaded.
+        any_row = F.max("_loaded").over(Window.partitionBy("postId"))
+        features = post_features(around, also=(loaded,)).withColumn("_loaded", any_row).where("_loaded").drop("_loaded")
+    return label_members(features, hot.where(_inside(start, end)))
 
 
 def build_training(rising: DataFrame, hot: DataFrame, path: str, **days) -> None:

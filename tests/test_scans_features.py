@@ -211,3 +211,43 @@ def test_look_back_of_days_keeps_every_post(spark):
     assert live_features(data, as_of, dt.timedelta(days=4, hours=2)).count() == 5
     aware = as_of.replace(tzinfo=dt.timezone.utc).astimezone(dt.timezone(dt.timedelta(hours=-5)))
     assert live_features(data, aware, dt.timedelta(days=4, hours=2)).count() == 5
+
+
+def test_history_of_few_posts_shuffles_no_other(spark, tmp_path, plan):
+    rows = [snap(f"p{i % 50}", i % 60, i) for i in range(500)]
+    spark.createDataFrame(rows, SNAPSHOT).write.parquet(str(tmp_path / "t"))
+    data = spark.read.schema(SNAPSHOT).parquet(str(tmp_path / "t"))
+    ids = spark.createDataFrame([("p1",), ("p2",), ("p1",)], "postId string")
+    few, many = scans.history_for(data, ids), scans.history_for(data, ids, most=1)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) and few.count() == 20
+    assert "Exchange hashpartitioning" not in plan(few) and "BroadcastHashJoin" in plan(few)
+    assert "BroadcastHashJoin" not in many._jdf.queryExecution().optimizedPlan().toString()
+
+    # One exchange: that of the aggregate, which only gets the snapshots of the chosen posts.
+    text = plan(live_features(data, CREATED + dt.timedelta(minutes=60), dt.timedelta(minutes=2)))
+    assert text.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    assert text.index("HashAggregate") < text.index("BroadcastHashJoin")
+
+
+def test_live_features_of_many_posts_are_the_same(spark, monkeypatch):
+    from posttrend.plans import live
+
+    data = spark.createDataFrame([snap(f"p{i % 7}", i % 60, i) for i in range(100)], SNAPSHOT)
+    at = CREATED + dt.timedelta(minutes=30)
+    few = live_features(data, at).collect()
+    monkeypatch.setattr(live, "are_few", lambda ids: False)
+    assert sorted(map(repr, live_features(data, at).collect())) == sorted(map(repr, few)) and few
+
+
+def test_training_range_is_one_scan_and_keeps_edited_posts_whole(spark, tmp_path, plan):
+    first, second = CREATED.date(), CREATED.date() + dt.timedelta(days=1)
+    edited = list(snap("p", 3, 7))
+    edited[0], edited[7] = second, "new title"
+    rows = [snap("p", 5, 10), tuple(edited), snap("q", 5, 3)]
+    spark.createDataFrame(rows, SNAPSHOT).write.parquet(str(tmp_path / "t"))
+    data = spark.read.schema(SNAPSHOT).parquet(str(tmp_path / "t"))
+    hot = spark.createDataFrame([], SNAPSHOT)
+    got = training_table(data, hot, second, second)
+    assert sorted((r.postId, r.title, r.maxScore20m) for r in got.collect()) == [("p", "T", 10), ("p", "new title", 7)]
+    assert training_table(data, hot, first, second).count() == 3
+    assert plan(got).split("== Initial Plan ==")[0].count("FileScan parquet") == 1
