@@ -18,7 +18,9 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # Model fits and streams take many jobs each; one timed run of them is enough.
 HEAVY = {
-    "train_lr", "coef_table", "train_gbt", "feature_importance", "cv_summary", "cv_summary_trees", "stream_scoring",
+    "train_lr", "coef_table", "train_gbt", "feature_importance", "train_stump", "stump_importance", "cv_summary",
+    "cv_summary_trees", "table_merge", "table_delete", "stream_scoring", "stream_dedupe", "stream_late", "stream_collect",
+    "stream_scoring_replay",
 }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from posttrend.functions import map_value_sum, utc
 from posttrend.operators import evaluate as ev
-from posttrend.operators import explore, features, intake, merge, models, monitor, scans, scoring, splits
+from posttrend.operators import explore, features, intake, merge, models, monitor, scans, scoring, sketches, splits
 from posttrend.plans import collect, live, modeling, monitoring, training
 from posttrend.schema import FEATURES, LANDED, LINEAR_FEATURES, SNAPSHOT, TREE_FEATURES, feature_columns
 from posttrend.session import cut_lineage, fresh_path
@@ -535,6 +535,21 @@ def _(spark, sf_dir):
     return rounded(ev.quantiles(proxied(spark, sf_dir), "predict_proba_1", QUANTILES), "value")
 
 
+@query("score_quantiles_sketch")
+def _(spark, sf_dir):
+    """Thresholds from sketches stored per creation day, beside the exact ones, and whether they are as close as stated."""
+    scored = proxied(spark, sf_dir).select(F.to_date("createdTSUTC").alias("day"), "predict_proba_1")
+    path = fresh_path(spark, "score-sketches")
+    middle = F.col("day") < F.lit(dt.date(2024, 1, 16))
+    # The second half comes on its own, then the first half and one of the days again.
+    for part in (~middle, middle, F.col("day") == F.lit(dt.date(2024, 1, 20))):
+        sketches.store_sketches(sketches.day_sketches(scored.where(part), "predict_proba_1", "day"), path)
+    near = sketches.sketched_quantiles(sketches.read_sketches(spark, path), QUANTILES)
+    exact = ev.quantiles(scored, "predict_proba_1", QUANTILES)
+    checked = sketches.with_rank_check(near, scored, "predict_proba_1").join(exact.withColumnRenamed("value", "exact"), "q")
+    return rounded(checked.select("q", "exact", "n", "within"), "exact")
+
+
 @query("pr_at_quantiles")
 def _(spark, sf_dir):
     rows = ev.pr_at_quantiles(proxied(spark, sf_dir), "predict_proba_1", "target")
@@ -640,6 +655,30 @@ def _(spark, sf_dir):
     return models.feature_importance(spark, models.fit_gbt(_stored_train_rows(spark, sf_dir), TREE_FEATURES))
 
 
+FLAGS = ["time0006", "time0612", "time1218", "time1800", "sunday"]
+
+
+@query("split_gains")
+def _(spark, sf_dir):
+    gains = models.split_gains(train_rows(spark, sf_dir), FLAGS)
+    return rounded(gains, "below", "above", "gain")
+
+
+def _stump(rows):
+    return models.fit_gbt(rows, FLAGS, n_estimators=1, max_depth=1)
+
+
+@query("train_stump")
+def _(spark, sf_dir):
+    rows = _stored_train_rows(spark, sf_dir)
+    return rounded(models.score_model(rows, _stump(rows)).select("postId", "target", "predict_proba_1"), "predict_proba_1")
+
+
+@query("stump_importance")
+def _(spark, sf_dir):
+    return rounded(models.feature_importance(spark, _stump(_stored_train_rows(spark, sf_dir))), "featureImportance")
+
+
 @query("cv_summary")
 def _(spark, sf_dir):
     rows = train_rows(spark, sf_dir).select("postId", "target", *LINEAR_FEATURES)

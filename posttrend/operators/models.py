@@ -143,6 +143,26 @@ def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return table.orderBy(F.col("featureImportance").desc(), "featureName")
 
 
+def split_gains(df: DataFrame, features: list[str], y: str = "target") -> DataFrame:
+    """What a first tree of depth 1 gains by each 0/1 column, exactly: one row per feature, from one aggregate.
+
+    Labels count as -1 and 1.  ``gain`` is the variance of all labels less the weighted variance of the two sides,
+    ``below`` and ``above`` are the sides' means, which are the tree's leaves; both are NULL where a side is empty.
+    The tree splits at the largest gain, of equal ones at the feature named first; it has all the importance then.
+    """
+    label = f"(2 * cast(`{y}` AS double) - 1)"
+    sums = [F.expr(f"sum({label}) AS s"), F.expr("count(*) AS n")]
+    rows = []
+    for i, name in enumerate(features):
+        side = f"cast(`{name}` AS double) > 0.5"
+        sums += [F.expr(f"sum(CASE WHEN {side} THEN {label} END) AS s{i}"), F.expr(f"count(CASE WHEN {side} THEN 1 END) AS n{i}")]
+        # Labels are -1 or 1, so a side's variance is 1 less its squared mean.
+        below, above = f"try_divide(s - coalesce(s{i}, 0), n - n{i})", f"try_divide(s{i}, n{i})"
+        gain = f"((n - n{i}) * pow({below}, 2) + n{i} * pow({above}, 2)) / n - pow(s / n, 2)"
+        rows.append(f"struct({i} AS position, '{name}' AS feature, n - n{i} AS n_below, n{i} AS n_above, {below} AS below, {above} AS above, {gain} AS gain)")
+    return df.agg(*sums).where("n > 0").selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def linear_weights(model: PipelineModel) -> tuple[dict[str, float], float]:
     """Weights and intercept of a fitted logistic model, for ``score_linear``."""
     features, fitted = _parts(model)

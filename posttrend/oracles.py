@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from posttrend.catalog import (
-    CUTS, EXPLORED, HIST_WIDTHS, INTERCEPT, LOW_SCORE, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
+    CUTS, EXPLORED, FLAGS, HIST_WIDTHS, INTERCEPT, LOW_SCORE, QUANTILES, RATES, STUMP_THRESHOLDS, TREE_GRID, WEIGHTS, fixed_votes,
 )
 from posttrend.operators.evaluate import TOP_QUANTILES
 from posttrend.schema import METRICS, TREE_FEATURES, bucket_labels, feature_columns, feature_name, growth_name
@@ -714,3 +714,42 @@ FROM lin LEFT JOIN (SELECT "postId", 1 / (1 + exp(-({_MARGIN}))) AS first FROM p
     "lin",
     "part_timed",
 )
+
+_GAINS = [
+    f"""SELECT {i} AS position, '{c}' AS feature, n - n1 AS n_below, n1 AS n_above, (s - coalesce(s1, 0)) / nullif(n - n1, 0) AS below,
+    s1 / nullif(n1, 0) AS above, v - ((n - n1) * v0 + n1 * v1) / n AS gain
+    FROM (SELECT count(*) AS n, sum(l) AS s, var_pop(l) AS v, count(*) FILTER ("{c}" = 1) AS n1, sum(l) FILTER ("{c}" = 1) AS s1,
+      var_pop(l) FILTER ("{c}" = 1) AS v1, var_pop(l) FILTER ("{c}" = 0) AS v0
+      FROM (SELECT *, 2.0::double * target - 1 AS l FROM timed))"""
+    for i, c in enumerate(FLAGS)
+]
+CTES["gains"] = (("timed",), "\n    UNION ALL ".join(_GAINS))
+oracle(
+    "split_gains",
+    """SELECT position::int AS position, feature, n_below, n_above, round(below, 6) AS below, round(above, 6) AS above,
+  round(gain, 6) AS gain FROM gains""",
+    "gains",
+)
+CTES["split"] = (("gains",), """
+    SELECT * FROM gains ORDER BY gain DESC, position LIMIT 1""")
+_SIDE = "CASE feature " + " ".join(f"""WHEN '{c}' THEN "{c}" """ for c in FLAGS) + "END"
+oracle(
+    "train_stump",
+    f"""SELECT "postId", target, round(1 / (1 + exp(-2 * CASE WHEN {_SIDE} = 1 THEN above ELSE below END)), 6) AS predict_proba_1
+FROM timed, split""",
+    "split",
+)
+oracle(
+    "stump_importance",
+    """SELECT gains.feature AS "featureName", CASE WHEN gains.feature = split.feature THEN 1.0::double ELSE 0.0::double END AS "featureImportance"
+FROM gains, split""",
+    "split",
+)
+oracle(
+    "score_quantiles_sketch",
+    "\nUNION ALL ".join(
+        f"""SELECT {q}::double AS q, round(quantile_cont(predict_proba_1, {q}), 6) AS exact, count(*) AS n, true AS within FROM px"""
+        for q in QUANTILES
+    ),
+    "px",
+)
