@@ -22,6 +22,52 @@ def test_base_and_fuzzy(make, by_id):
     assert licenses.scan_licenses(make([])).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("Released under the MPL license", ""), ("Released under the MIT licence", "mit"),
+        ("This is licensed under CC BY-SA 4.0.", "cc-by-sa"), ("licensed under CC BY ND 4.0", "cc-by-nd"), ("licensed undr CC BY NC 4.0", "cc-by-nc"),
+        ("Licensed under the Apache License, Version 1.1", "apache-1"), ("Licensed undr the Apachee License, Version 2.0", "apache-2"),
+        ("licensed under the GNU Affero General Public License version 3", "agpl"),
+        ("licensed under the GNU Lesser General Public Licence version 3", "lgpl"), ("Licensed under the GNU General Public License, version 2", "gpl"),
+        ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("All rights reserved. Released under the MIT license. All rights reserved", "mit,reserved"),
+    ],
+)
+def test_edits_do_not_turn_one_license_into_another(text, labels):
+    _, base, spans = licenses.scan_text(f"some words {text} and more")
+    assert ",".join(sorted({s.label for s in spans} | {label for _, label in base})) == labels
+
+
+def test_overlapping_notices_and_ties():
+    both = (licenses.Notice("x", "alpha beta gamma", 3), licenses.Notice("y", "alpha betta gamma", 3), licenses.Notice("z", "alpha beta gammb", 3))
+    assert {s.label for s in licenses.scan_text("alpha beta gamma", (), both)[2]} == {"x"}
+    assert {s.label for s in licenses.scan_text("alpha betta gamma", (), both)[2]} == {"y"}
+    # As near to both: the first in the list.
+    assert {s.label for s in licenses.scan_text("alpha beta gamm", (), (both[2], both[0]))[2]} == {"z"}
+
+
+def test_repeated_beginnings_and_repeated_rows(make):
+    import time
+
+    begun = time.time()
+    hostile = ["licensed under the " * 7000, "licensed under the apache " * 5000, "permission is hereby granted " * 4000]
+    for text in hostile:
+        assert licenses.scan_text(text)[2] == []
+    assert time.time() - begun < 20
+    many = "Licensed under the Apache License, Version 2.0. " * 400
+    assert len(licenses.scan_text(many)[2]) == 400
+    rows = [(1, many[:60], "mit", 0.5)] * 3
+    got = licenses.scan_licenses(make(rows, "doc_id long, text string, labels string, score double")).collect()
+    assert len(got) == 3 and {(r.labels, r.score) for r in got} == {("apache-2", 1.0)}
+
+
+def test_one_edit():
+    for word, near in (("apache", True), ("apachee", True), ("apche", True), ("apbche", True), ("aapache", True), ("apachexx", False), ("pach", False), ("epachf", False)):
+        assert licenses._one_edit(word, "apache") == near, word
+
+
 def test_fuzzy_finds_what_a_plain_search_finds():
     import random
 
