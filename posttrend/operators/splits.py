@@ -11,6 +11,9 @@ from posttrend.functions import row_hash
 from posttrend.session import cut_lineage
 
 PREFIX_DIGITS = 3
+HASH_DIGITS = 32
+# Rows of a prefix that one task may order.
+CUT_ROWS = 100_000
 
 
 def _repeats(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -24,25 +27,44 @@ def _running(df: DataFrame, y: str, order: str) -> DataFrame:
     return df.withColumn("_upto", F.sum("_n").over(upto))
 
 
+def _crossed(drawn: DataFrame, y: str, test: float, digits: int, edge: DataFrame | None) -> DataFrame:
+    """The prefix of ``digits`` digits the cut falls into per (split, class): its rows, and which of them is the last."""
+    prefix = F.substring("_hash", 1, digits).alias("_prefix")
+    if edge is None:
+        counts = drawn.groupBy("split", y, prefix).agg(F.count(F.lit(1)).alias("_n"))
+        size = F.sum("_n").over(Window.partitionBy("split", y))
+        sized = counts.withColumn("_wanted", F.round(size * (1 - test)))
+    else:
+        inside = _inside(drawn, y, edge)
+        sized = inside.groupBy("split", y, prefix, F.col("_left").alias("_wanted")).agg(F.count(F.lit(1)).alias("_n"))
+    sized = _running(sized, y, "_prefix")
+    crossing = sized.where((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted")))
+    return crossing.select("split", y, "_prefix", "_n", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_left"))
+
+
+def _inside(drawn: DataFrame, y: str, edge: DataFrame) -> DataFrame:
+    """The rows whose hash begins with the prefix of their split and class."""
+    # len(classes) * n rows at most, so the broadcast cannot grow with the data.
+    return drawn.join(F.broadcast(edge.drop("_n")), ["split", y]).where(F.col("_hash").startswith(F.col("_prefix")))
+
+
 def split_cutoffs(
-    df: DataFrame, y: str, key: str, test: float, n: int, seed: int, classes: tuple[int, ...]
+    df: DataFrame, y: str, key: str, test: float, n: int, seed: int, classes: tuple[int, ...], most_rows: int = CUT_ROWS
 ) -> DataFrame:
     """The hash of the last training row per (split, class).
 
-    Rows are counted per hash prefix first, which combines on the map side and
-    leaves at most 16**PREFIX_DIGITS counts per split and class.  Only the one
-    prefix the cut falls into is then looked at row by row.
+    Rows are counted per hash prefix first, which combines on the map side and leaves at most 16**PREFIX_DIGITS counts
+    per split and class.  Only the one prefix the cut falls into is looked at closer: by the next digits as long as it
+    holds more than ``most_rows`` rows, then row by row, so no task ever orders more than that, unless one key does.
     """
     drawn = _repeats(df.where(F.col(y).isin(list(classes))).select(key, y), key, n, seed)
-    drawn = drawn.withColumn("_prefix", F.substring("_hash", 1, PREFIX_DIGITS))
-    counts = drawn.groupBy("split", y, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy("split", y)
-    sized = _running(counts.withColumn("_wanted", F.round(F.sum("_n").over(whole) * (1 - test))), y, "_prefix")
-    crossing = sized.where((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted")))
-    edge = crossing.select("split", y, "_prefix", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_left"))
-    # len(classes) * n rows at most, so the broadcast cannot grow with the data.
-    inside = drawn.join(F.broadcast(edge), ["split", y, "_prefix"])
-    hashes = inside.groupBy("split", y, "_hash", "_left").agg(F.count(F.lit(1)).alias("_n"))
+    edge, digits = None, 0
+    while digits < HASH_DIGITS:
+        digits += PREFIX_DIGITS
+        edge = cut_lineage(_crossed(drawn, y, test, digits, edge))
+        if (edge.agg(F.max("_n")).first()[0] or 0) <= most_rows:
+            break
+    hashes = _inside(drawn, y, edge).groupBy("split", y, "_hash", "_left").agg(F.count(F.lit(1)).alias("_n"))
     reached = _running(hashes, y, "_hash").where(F.col("_upto") >= F.col("_left"))
     return reached.groupBy("split", y).agg(F.min("_hash").alias("_cut"))
 

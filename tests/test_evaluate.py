@@ -230,3 +230,15 @@ def test_columns_without_values_are_described(spark):
     data = spark.createDataFrame([(0, 1.0, None), (0, 3.0, None), (1, None, 5.0)], "target int, a double, b double")
     got = {(r.feature, r.target): (r["count"], r["mean"]) for r in describe_by(data, "target", ["a", "b"]).collect()}
     assert got == {("a", 0): (2, 2.0), ("a", 1): (0, None), ("b", 0): (0, None), ("b", 1): (1, 5.0)}
+
+
+def test_cuts_found_by_more_digits_are_the_same(spark):
+    from posttrend.operators.splits import split_cutoffs
+
+    rows = [(f"k{i}", i % 3 % 2) for i in range(9000)] + [("same", 1)] * 40
+    frame = spark.createDataFrame(rows, "k string, y int")
+    find = lambda most: sorted(map(tuple, split_cutoffs(frame, "y", "k", 0.2, 3, 0, (0, 1), most).collect()))
+    want = find(10**6)
+    # 4,096 prefixes of three digits hold one or two rows each; with a limit of 0 all 32 digits are gone through.
+    assert len(want) == 6 and find(1) == want == find(0)
+    assert split_cutoffs(frame.where("y > 5"), "y", "k", 0.2, 2, 0, (0, 1)).count() == 0
