@@ -56,7 +56,7 @@ STAGES = [
     ("mix_sources", mix_sources),
 ]
 
-# Rolling-hash chunks and chains of near duplicates are beyond SQL; tests compare with a plain-Python pipeline.
+# Repeated chunks of lines and chains of near duplicates are beyond SQL; tests compare with a plain-Python pipeline.
 ORACLE_SQL = None
 
 
