@@ -57,9 +57,9 @@ def precision_recall_by(labels: DataFrame, group: str = "coalesceSubreddit") ->
     return sums.select("*", *rates)
 
 
-def ranked_metrics(metrics: DataFrame) -> DataFrame:
-    """Best recall first, groups without one last."""
-    return metrics.orderBy(F.col("recall_hotPost10k").desc_nulls_last())
+def ranked_metrics(metrics: DataFrame, group: str = "coalesceSubreddit") -> DataFrame:
+    """Best recall first, groups without one last; equal ones by name."""
+    return metrics.orderBy(F.col("recall_hotPost10k").desc_nulls_last(), group)
 
 
 def metrics_long(metrics: DataFrame, label: str, group: str = "coalesceSubreddit") -> DataFrame:

@@ -15,6 +15,7 @@ GROWTH_METRICS = ("score", "numComments")
 POST_KEY = ["postId", "subreddit", "title", "createdTSUTC"]
 SNAPSHOT_KEY = ["postId", "loadTSUTC"]
 
+# Names the feeds and their time filters go by.
 VIEWS = ("rising", "hot", "top")
 TIME_FILTERS = ("all", "day", "hour", "month", "week", "year")
 
@@ -23,7 +24,7 @@ def _struct(*fields: tuple) -> T.StructType:
     return T.StructType([T.StructField(name, kind, nullable) for name, kind, nullable in fields])
 
 
-# One item of a ranked feed as it lands, before any cleaning.
+# One item of a ranked feed as it lands, before any cleaning (fixed values: the feed's own field names).
 LISTING = _struct(
     ("subreddit", T.StringType(), False),
     ("view", T.StringType(), False),
@@ -117,7 +118,7 @@ ALERTS = _struct(
     ("footer", T.StringType(), False),
 )
 
-# Feature lists the two model families are trained on.
+# The features the two model families are trained on.
 TREE_FEATURES = [
     "maxScore41_60m",
     "maxNumComments21_40m",
