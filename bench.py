@@ -20,6 +20,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEAVY = {
     "train_lr", "coef_table", "train_gbt", "feature_importance", "train_stump", "stump_importance", "cv_summary",
     "cv_summary_trees", "table_merge", "table_delete", "stream_scoring", "stream_dedupe", "stream_late", "stream_collect",
+    "stream_features_sliced",
     "stream_scoring_replay",
 }
 

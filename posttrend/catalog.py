@@ -779,6 +779,15 @@ def _(spark, sf_dir):
     return intake.dedupe_latest(rows, ["postId"], "batch").select("postId", "loadTSUTC", "event_id", "score")
 
 
+@query("stream_features_sliced")
+def _(spark, sf_dir):
+    """The features again, with posts that are cut by the slices: state and watermark go from batch to batch."""
+    sink, state = fresh_path(spark, "sliced-out"), fresh_path(spark, "sliced-state")
+    start = lambda events: write_feature_updates(event_snapshots(events), sink, state, cadence=None)
+    _streamed(spark, _slices(read_events(spark, sf_dir)), start)
+    return intake.dedupe_latest(spark.read.parquet(sink), ["postId", "title"], "batch").select(*FEATURES.names)
+
+
 @query("stream_late")
 def _(spark, sf_dir):
     """Every fiftieth event lands a slice late; each event once, with the side it went to."""

@@ -676,6 +676,7 @@ FROM lin WHERE q >= 0.3""",
 )
 
 ORACLES["stream_dedupe"] = ORACLES["dedupe_latest"]
+ORACLES["stream_features_sliced"] = ORACLES["stream_features"]
 _STARTS = "[" + ", ".join(f"TIMESTAMP '{c}'" for c in CUTS) + "]"
 CTES["sliced"] = (
     (),
