@@ -10,7 +10,8 @@ caller; at most ``TRAINING_PAGES`` are used.  The weights (a few hundred numbers
 independent of each other, so there is no shuffle.
 
 Cases: NULL, empty and text-free html give the empty string and 0 characters; a NULL URL stays NULL; repeated rows are
-extracted one by one; an empty table gives an empty table; further columns are ignored.
+extracted one by one; an empty table gives an empty table; further columns are ignored.  Malformed markup and very long
+or deeply nested pages take time in proportion to their length (see ``html_blocks``).
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ import random
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posttrend.llm.html_blocks import Block, blocks
+from posttrend.llm.html_blocks import Block, Node, blocks
 
 TRAINING_PAGES = 400
 EPOCHS = 60
@@ -47,27 +49,64 @@ KINDS = {
 KIND_TESTS = {k: re.compile(p) for k, p in KINDS.items()}
 
 
+# Tags that say nothing of what the text is, and those looked through for the innermost telling one.
+PLAIN = frozenset("html body b i em strong span a".split())
+INLINE = frozenset("a b i em strong span small u".split())
+
+
 @lru_cache(maxsize=4096)
-def _kinds(names: str) -> tuple[str, ...]:
-    return tuple(k for k, test in KIND_TESTS.items() if test.search(names)) if names else ()
+def _short_kinds(names: str) -> frozenset[str]:
+    return frozenset(k for k, test in KIND_TESTS.items() if test.search(names))
+
+
+def _kinds(names: str) -> frozenset[str]:
+    return _short_kinds(names) if len(names) <= 200 else _short_kinds.__wrapped__(names)
+
+
+class _Around(NamedTuple):
+    """What the tags open around a block come to."""
+
+    score: float
+    kinds: frozenset[str]
+    inner: str
+
+
+def _around(node: Node | None, weights: dict[str, float], known: dict[Node, _Around]) -> _Around:
+    """The score of the features of ``node`` and the tags around it; each tag is looked at once a page."""
+    new = []
+    while node is not None and node not in known:
+        new.append(node)
+        node = node.parent
+    at = known[node] if node is not None else _Around(0.0, frozenset(), "none")
+    for node in reversed(new):
+        more = _kinds(node.names) - at.kinds
+        score = at.score + sum(weights.get(f"kind:{k}", 0.0) for k in sorted(more))
+        if node.first and node.tag not in PLAIN:
+            score += weights.get(f"in:{node.tag}", 0.0)
+        at = known[node] = _Around(score, at.kinds | more if more else at.kinds, at.inner if node.tag in INLINE else node.tag)
+    return at
+
+
+def _own(page: list[Block], i: int, inner: str) -> list[str]:
+    """Features of a block's text, links and place."""
+    b = page[i]
+    words = b.text.count(" ") + 1
+    density = b.linked / max(1, len(b.text))
+    return [
+        "bias", f"tag:{inner}", f"words:{min(6, int(math.log2(words)))}", f"links:{0 if not b.linked else 1 if density < 0.5 else 2}",
+        f"ends:{b.text[-1] in '.!?…\"\''}", f"rights:{b.text[:1] == '©' or 'copyright' in b.text[:60].lower()}",
+        f"place:{'first' if i == 0 else 'last' if i + 1 == len(page) else 'mid'}",
+    ]
 
 
 def features(page: list[Block]) -> list[list[str]]:
     """The names of each block's features."""
     out = []
     for i, b in enumerate(page):
-        tags = {t for t, _ in b.path}
-        found = {f"in:{t}" for t in tags if t not in ("html", "body", "b", "i", "em", "strong", "span", "a")}
+        found = {f"in:{t}" for t, _ in b.path if t not in PLAIN}
         found |= {f"kind:{k}" for _, names in b.path for k in _kinds(names)}
-        inner = next((t for t, _ in reversed(b.path) if t not in ("a", "b", "i", "em", "strong", "span", "small", "u")), "none")
-        words = b.text.count(" ") + 1
-        density = b.linked / max(1, len(b.text))
-        found |= {
-            "bias", f"tag:{inner}", f"words:{min(6, int(math.log2(words)))}", f"links:{0 if not b.linked else 1 if density < 0.5 else 2}",
-            f"ends:{b.text[-1] in '.!?…\"'}", f"rights:{b.text[:1] == '©' or 'copyright' in b.text[:60].lower()}",
-            f"place:{'first' if i == 0 else 'last' if i + 1 == len(page) else 'mid'}",
-        }
-        out.append(sorted(found))
+        inner = next((t for t, _ in reversed(b.path) if t not in INLINE), "none")
+        out.append(sorted(found.union(_own(page, i, inner))))
     return out
 
 
@@ -81,7 +120,11 @@ class Field:
         """The likeliest labels (Viterbi)."""
         if not page:
             return []
-        scores = [sum(self.weights.get(f, 0.0) for f in found) for found in features(page)]
+        known: dict[Node, _Around] = {}
+        scores = []
+        for i, b in enumerate(page):
+            around = _around(b.node, self.weights, known)
+            scores.append(around.score + sum(self.weights.get(f, 0.0) for f in _own(page, i, around.inner)))
         best = [0.0, scores[0]]
         back: list[tuple[int, int]] = []
         m = self.moves
