@@ -8,26 +8,27 @@ from itertools import product
 
 import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from posttrend.operators.evaluate import above_counts, area_under_curve, running_scores
+from posttrend.operators.logistic import PenalisedLogistic
 from posttrend.operators.splits import Folds
 from posttrend.session import cut_lineage, fresh_path
 
 VECTOR = "_features"
 
 
-def logistic_stage(rows: int, c: float = 0.25, max_iter: int = 1000, y: str = "target") -> LogisticRegression:
+def logistic_stage(rows: int, c: float = 0.25, max_iter: int = 1000, y: str = "target") -> PenalisedLogistic:
     """L2 logistic regression whose strength is given as C on the summed loss.
 
     pyspark.ml averages the loss, so C over ``rows`` rows is regParam 1 / (C * rows);
     features are not rescaled inside the penalty.
     """
-    return LogisticRegression(
+    return PenalisedLogistic(
         featuresCol=VECTOR,
         labelCol=y,
         regParam=1.0 / (c * rows),

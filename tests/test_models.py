@@ -89,6 +89,52 @@ def test_coefficient_table(spark, lr):
     assert sum(r.coefPct for r in table.values()) == pytest.approx(1.0)
 
 
+@pytest.fixture(scope="module")
+def lopsided():
+    """Columns that hold one value but for a few rows, beside large ones: what maxima over very many snapshots are."""
+    rng = np.random.default_rng(1)
+    n = 1000
+    large = rng.gumbel(4000, 500, size=(n, 2)).round()
+    ratio, growth = np.full((n, 2), 0.99), np.zeros(n)
+    ratio[rng.random((n, 2)) < 0.003] = 0.98
+    growth[rng.random(n) < 0.004] = 1 / 98
+    flags = (rng.integers(0, 4, n)[:, None] == [0, 1, 2]).astype(float)
+    x = np.column_stack([large, 99 - (ratio[:, ::-1] < 0.99), ratio, large[:, 1] / large[:, 0] - 1, growth, flags])
+    y = (rng.random(n) < 1 / (1 + np.exp(11 - 0.0012 * large.sum(axis=1)))).astype(int)
+    return x, y
+
+
+@pytest.fixture(scope="module")
+def lopsided_frame(spark, lopsided):
+    x, y = lopsided
+    rows = [(f"k{i}", *map(float, r), int(t)) for i, (r, t) in enumerate(zip(x, y))]
+    names = "".join(f", f{j} double" for j in range(x.shape[1]))
+    return cut_lineage(spark.createDataFrame(rows, f"postId string{names}, target int"))
+
+
+def scaled_optimum(x, y, c):
+    """``penalised_optimum`` in units of the columns' deviations, by Newton steps from the log-odds of the labels."""
+    mean, size = x.mean(axis=0), x.std(axis=0)
+    design = np.hstack([(x - mean) / size, np.ones((len(x), 1))])
+    penalty = np.append(size**-2.0, 0.0)
+    w = np.zeros(design.shape[1])
+    w[-1] = np.log(y.mean() / (1 - y.mean()))
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-design @ w))
+        hessian = c * (design.T * (p * (1 - p))) @ design + np.diag(penalty)
+        unit = np.sqrt(np.diag(hessian))
+        w -= np.linalg.solve(hessian / np.outer(unit, unit), (c * design.T @ (p - y) + penalty * w) / unit) / unit
+    return np.append(w[:-1] / size, w[-1] - (w[:-1] / size) @ mean)
+
+
+def test_almost_constant_columns_have_an_optimum(spark, lopsided, lopsided_frame):
+    x, y = lopsided
+    names = [f"f{j}" for j in range(x.shape[1])]
+    table = models.coef_table(spark, models.fit_lr(lopsided_frame, names, tolerance=1e-10)).orderBy("position").collect()
+    assert [r.feature for r in table] == [*names, "intercept"]
+    assert [r.coef for r in table] == pytest.approx(list(scaled_optimum(x, y, 0.25)), rel=1e-6)
+
+
 def test_boosted_trees_learn(spark, frame):
     model = models.fit_gbt(frame, FEATURES, n_estimators=5, learning_rate=0.1)
     scored = models.score_model(frame, model)
