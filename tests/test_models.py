@@ -135,6 +135,24 @@ def test_almost_constant_columns_have_an_optimum(spark, lopsided, lopsided_frame
     assert [r.coef for r in table] == pytest.approx(list(scaled_optimum(x, y, 0.25)), rel=1e-6)
 
 
+def test_almost_constant_columns_are_scored_at_the_optimum(lopsided, lopsided_frame):
+    x, y = lopsided
+    model = models.fit_lr(lopsided_frame, [f"f{j}" for j in range(x.shape[1])])
+    got = {r.postId: r.predict_proba_1 for r in models.score_model(lopsided_frame, model).collect()}
+    w = scaled_optimum(x, y, 0.25)
+    want = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    assert got == pytest.approx({f"k{i}": p for i, p in enumerate(want)}, abs=1e-9)
+
+
+def test_labels_all_alike_leave_an_intercept(frame):
+    for label in (0, 1):
+        alike = frame.withColumn("target", F.lit(label))
+        weights, intercept = models.linear_weights(models.fit_lr(alike, FEATURES, tolerance=None))
+        assert (list(weights.values()), intercept) == ([0.0, 0.0], np.inf if label else -np.inf)
+    with pytest.raises(ValueError, match="neither 0 nor 1"):
+        models.fit_lr(frame.withColumn("target", F.lit(2)), FEATURES)
+
+
 def test_boosted_trees_learn(spark, frame):
     model = models.fit_gbt(frame, FEATURES, n_estimators=5, learning_rate=0.1)
     scored = models.score_model(frame, model)
