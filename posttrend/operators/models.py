@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from posttrend.operators.evaluate import above_counts, area_under_curve, running_scores
-from posttrend.operators.logistic import PenalisedLogistic
+from posttrend.operators.logistic import PenalisedLogistic, fit_together
 from posttrend.operators.splits import Folds
 from posttrend.session import cut_lineage, fresh_path
 
@@ -60,9 +61,12 @@ def boosted_stage(
     )
 
 
+def _assembler(features: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=features, outputCol=VECTOR, handleInvalid="error")
+
+
 def _fit(df: DataFrame, features: list[str], stage, y: str) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=features, outputCol=VECTOR, handleInvalid="error")
-    return Pipeline(stages=[assembler, stage]).fit(df.select(*features, y))
+    return Pipeline(stages=[_assembler(features), stage]).fit(df.select(*features, y))
 
 
 def fit_lr(
@@ -236,14 +240,33 @@ def first_trees(model: PipelineModel, n: int) -> PipelineModel:
     return PipelineModel([assembler, out])
 
 
-def ml_fitter(stage_of: Callable[[dict, int], object], features: list[str], y: str = "target"):
+class MlFitter(NamedTuple):
     """Fits a pyspark.ml classifier; ``stage_of(params, train_rows)`` returns it unfitted."""
 
-    def fit(rows: DataFrame, params: dict, n: int) -> FittedScorer:
-        model = _fit(rows, features, stage_of(params, n), y)
+    stage_of: Callable[[dict, int], object]
+    features: list[str]
+    y: str
+
+    def __call__(self, rows: DataFrame, params: dict, n: int) -> FittedScorer:
+        return self._scorer(_fit(rows, self.features, self.stage_of(params, n), self.y))
+
+    def together(self, folds: Folds, combos: list[dict]) -> dict[tuple[int, int], FittedScorer]:
+        """The scorers of all (combination, split) if their fits can share passes over the rows, else none."""
+        splits = sorted(folds.cuts)
+        jobs = [(i, at) for i in range(len(combos)) for at in range(len(splits))]
+        fits = [(at, self.stage_of(combos[i], folds.sizes[splits[at]])) for i, at in jobs]
+        if not all(isinstance(stage, PenalisedLogistic) for _, stage in fits):
+            return {}
+        assembler = _assembler(self.features)
+        found = fit_together(assembler.transform(folds.rows), [folds.is_train(split) for split in splits], fits)
+        return {(i, splits[at]): self._scorer(PipelineModel([assembler, model])) for (i, at), model in zip(jobs, found)}
+
+    def _scorer(self, model: PipelineModel) -> FittedScorer:
         return lambda df, trees: score_model(df, model if trees is None else first_trees(model, trees))
 
-    return fit
+
+def ml_fitter(stage_of: Callable[[dict, int], object], features: list[str], y: str = "target") -> MlFitter:
+    return MlFitter(stage_of, features, y)
 
 
 def _one_fit_each(combos: list[dict], staged: str | None) -> list[tuple[dict, list[tuple[int, int | None]]]]:
@@ -272,28 +295,33 @@ def grid_search(
 
     ``fitter(train_rows, params, number_of_rows)`` returns a scorer (see ``ml_fitter``).  ``staged`` names the
     parameter that counts the steps of an ensemble: only the longest is fitted and the others are scored as its
-    beginnings.  The fits are submitted from a few threads, each stores the scored test rows of all its combinations;
-    all are then measured together, one group per (combination, split).
+    beginnings.  Logistic fits are made together, and a split's test rows are scored by all of them at once; other
+    fits are submitted from a few threads, each stores the scored test rows of all its combinations.  All are then
+    measured together, one group per (combination, split).
     """
     combos = expand_grid(grid)
     spark, y = folds.rows.sparkSession, folds.y
     store = fresh_path(spark, "grid-scores")
     fits = _one_fit_each(combos, staged)
 
-    def run(job: tuple[int, int]) -> None:
-        number, split = job
-        params, members = fits[number]
-        scorer = fitter(folds.train(split), params, folds.sizes[split])
+    fitted = fitter.together(folds, [params for params, _ in fits]) if isinstance(fitter, MlFitter) else {}
+
+    def run(job: tuple[list[int], int]) -> None:
+        numbers, split = job
         test = folds.test(split).withColumn(y, F.col(y).cast("int"))
         # Each member's scores beside the row, then one row per member.
-        names = {combo: f"_p{combo}" for combo, _ in members}
+        names = {combo: f"_p{combo}" for number in numbers for combo, _ in fits[number][1]}
         scored = test
-        for combo, trees in members:
-            scored = scorer(scored, trees).withColumnRenamed("predict_proba_1", names[combo])
+        for number in numbers:
+            params, members = fits[number]
+            scorer = fitted.get((number, split)) or fitter(folds.train(split), params, folds.sizes[split])
+            for combo, trees in members:
+                scored = scorer(scored, trees).withColumnRenamed("predict_proba_1", names[combo])
         pairs = F.array(*[F.struct(F.lit(c).alias("combo"), F.col(name).alias("predict_proba_1")) for c, name in names.items()])
-        scored.select(y, F.inline(pairs)).write.mode("overwrite").parquet(f"{store}/fit={number}/split={split}")
+        scored.select(y, F.inline(pairs)).write.mode("overwrite").parquet(f"{store}/fit={numbers[0]}/split={split}")
 
-    jobs = [(number, split) for number in range(len(fits)) for split in sorted(folds.cuts)]
+    shared = [list(range(len(fits)))] if fitted else [[number] for number in range(len(fits))]
+    jobs = [(numbers, split) for numbers in shared for split in sorted(folds.cuts)]
     with ThreadPoolExecutor(parallelism) as pool:
         list(pool.map(run, jobs))
     layout = f"`{y}` int, combo int, predict_proba_1 double, fit int, split int"

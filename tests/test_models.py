@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from posttrend.catalog import QUERIES
-from posttrend.operators import models
+from posttrend.operators import logistic, models
 from posttrend.operators.evaluate import auc_pr
 from posttrend.operators.scoring import score_linear
 from posttrend.operators.splits import stored_folds, stratified_splits
@@ -202,6 +202,31 @@ def test_grid_search_measures_every_fold(frame, data):
     assert models.grid_long(summary, ["C"], "mean_aucpr").columns == ["mean_aucpr", "param", "param_value"]
 
 
+def test_search_shares_its_passes_and_fits_each_split(lopsided, lopsided_frame, monkeypatch):
+    x, _ = lopsided
+    names = [f"f{j}" for j in range(x.shape[1])]
+    folds = stored_folds(lopsided_frame, "target", "postId", n=3)
+    grid = {"C": [1.0, 0.01, 0.00001]}
+    fitter = models.ml_fitter(lambda params, n: models.logistic_stage(n, params["C"]), names)
+    passes, sums = [], logistic._sums
+    monkeypatch.setattr(logistic, "_sums", lambda *args: passes.append(len(args[2])) or sums(*args))
+    together = models.grid_search(folds, fitter, grid, q=0.9, top=0.8)
+    assert max(passes) == 9 and len(passes) <= 15
+    alone = models.grid_search(folds, lambda rows, params, n: fitter(rows, params, n), grid, q=0.9, top=0.8)
+    order = ["split", "C"]
+    rows = lambda df: [tuple(r) for r in df.select(*order, *models.MEASURES).orderBy(*order).collect()]
+    assert len(rows(together)) == 9
+    for a, b in zip(rows(together), rows(alone)):
+        assert a == pytest.approx(b, abs=1e-9)
+
+    # All fits end at their optimum.
+    for (i, split), scorer in fitter.together(folds, models.expand_grid(grid)).items():
+        inside = np.array([r._in for r in lopsided_frame.select("postId", folds.is_train(split).alias("_in")).collect()])
+        w = scaled_optimum(x[inside], lopsided[1][inside], grid["C"][i])
+        got = np.array([r.predict_proba_1 for r in scorer(lopsided_frame, None).collect()])
+        assert got == pytest.approx(1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))), abs=1e-9)
+
+
 def test_folds_are_the_stratified_splits(frame):
     folds = stored_folds(frame, "target", "postId", n=3)
     want = stratified_splits(frame, "target", "postId", n=3).collect()
