@@ -64,7 +64,11 @@ def fit_together(df: DataFrame, members: list[Column], fits: list[tuple[int, Pen
 
 
 class Scale(NamedTuple):
-    """Mean and deviation of the columns over all rows.  Steps are taken in such units, which changes no optimum."""
+    """Mean and deviation of the columns over all rows.  Steps are taken in such units, which changes no optimum.
+
+    The deviation of a constant column is inf: in such units it is 0 in all rows, and its weight is exactly 0, as it is
+    at the optimum, where the intercept stands for it.
+    """
 
     mean: np.ndarray
     deviation: np.ndarray
@@ -91,7 +95,7 @@ def _facts(stored: DataFrame, members: int) -> tuple[Scale, np.ndarray, np.ndarr
         raise ValueError("no rows to fit a model on")
     mean, deviation = found["scale"]["mean"].toArray(), found["scale"]["std"].toArray()
     # A column that varies by rounding alone is constant.
-    return Scale(mean, np.where(deviation > 1e-12 * abs(mean), deviation, 1.0)), sizes, np.array(found["positives"], float)
+    return Scale(mean, np.where(deviation > 1e-12 * abs(mean), deviation, np.inf)), sizes, np.array(found["positives"], float)
 
 
 def _newton(
@@ -144,9 +148,12 @@ def _newton(
 
 
 def _solved(curve: np.ndarray, slope: np.ndarray) -> np.ndarray:
-    """curve^-1 slope by way of a unit diagonal, as sizes differ by many powers of ten."""
-    unit = np.sqrt(np.maximum(np.diag(curve), np.finfo(float).tiny))
-    return np.linalg.pinv(curve / np.outer(unit, unit), hermitian=True) @ (slope / unit) / unit
+    """curve^-1 slope by way of a unit diagonal, as sizes differ by many powers of ten; 0 where there is no curvature."""
+    bent = np.diag(curve) > 0
+    unit = np.sqrt(np.diag(curve)[bent])
+    step = np.zeros(len(slope))
+    step[bent] = np.linalg.pinv(curve[np.ix_(bent, bent)] / np.outer(unit, unit), hermitian=True) @ (slope[bent] / unit) / unit
+    return step
 
 
 def _sums(
@@ -167,10 +174,12 @@ def _sums(
             x = np.column_stack([x, np.ones(len(y))])
             y = y.to_numpy(zero_copy_only=False)[:, None]
             inside = inside.flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)[:, member]
-            z = x @ at.T
+            # Log-odds of the other label: no digits are lost where the right one is all but sure.
+            side = 1 - 2 * y
+            z = side * (x @ at.T)
             small = np.exp(-abs(z))
-            total[:, 0] += np.where(inside, np.maximum(z, 0) + np.log1p(small) - y * z, 0).sum(axis=0)
-            total[:, 1 : width + 1] += np.where(inside, np.where(z >= 0, 1, small) / (1 + small) - y, 0).T @ x
+            total[:, 0] += np.where(inside, np.maximum(z, 0) + np.log1p(small), 0).sum(axis=0)
+            total[:, 1 : width + 1] += np.where(inside, side * np.where(z >= 0, 1, small) / (1 + small), 0).T @ x
             total[:, width + 1 :] += np.where(inside, small / (1 + small) ** 2, 0).T @ (x[:, one] * x[:, two])
         fit, place = np.indices(total.shape, np.int32).reshape(2, -1)
         yield pa.RecordBatch.from_arrays([pa.array(fit), pa.array(place), pa.array(total.ravel())], ["fit", "place", "part"])

@@ -21,6 +21,8 @@ from posttrend.operators.splits import Folds
 from posttrend.session import cut_lineage, fresh_path
 
 VECTOR = "_features"
+# The largest gradient that is no more than rounding.
+ROUNDING = 1e-12
 
 
 def logistic_stage(rows: int, c: float = 0.25, max_iter: int = 1000, y: str = "target") -> PenalisedLogistic:
@@ -73,10 +75,15 @@ def fit_lr(
     df: DataFrame, features: list[str], c: float = 0.25, max_iter: int = 1000, y: str = "target",
     tolerance: float | None = 1e-4,
 ) -> PipelineModel:
-    """The penalised optimum; raises if the fit stopped where the gradient is above ``tolerance`` (see ``lr_gradient``)."""
+    """The penalised optimum; raises if the fit stopped where the gradient is above ``tolerance`` (see ``lr_gradient``).
+
+    Gradients below ``ROUNDING`` do not count, whatever their share: the penalty keeps a weight within its gradient of
+    the optimum, and the weight of a column that says nothing is rounding alone.
+    """
     model = _fit(df, features, logistic_stage(df.count(), c, max_iter, y), y)
     if tolerance is not None:
-        worst = lr_gradient(df, *linear_weights(model), c, y).agg(F.max("share")).first()[0]
+        pulls = lr_gradient(df, *linear_weights(model), c, y)
+        worst = pulls.agg(F.max(F.when(F.abs("gradient") <= ROUNDING, 0.0).otherwise(F.col("share")))).first()[0]
         if worst > tolerance:
             raise ValueError(f"the fit is no optimum: a gradient of {worst:.2g} of its parts is left")
     return model
@@ -88,7 +95,8 @@ def lr_gradient(df: DataFrame, weights: dict[str, float], intercept: float, c: f
     ``gradient`` is the sum of what the penalty and the rows pull, ``share`` its part of the sum of their sizes: 0 at
     the optimum, which is the only one, 1 where all pulls go one way.  One pass over the rows, combined on the map side.
     """
-    z = " + ".join([repr(float(intercept)), *[f"{float(w)!r} * cast(`{f}` AS double)" for f, w in weights.items()]])
+    # Labels all alike leave an intercept without end.
+    z = " + ".join([f"double('{float(intercept)!r}')", *[f"{float(w)!r} * cast(`{f}` AS double)" for f, w in weights.items()]])
     pulls = df.selectExpr(f"1 / (1 + exp(-({z}))) - cast(`{y}` AS double) AS _e", *[f"cast(`{f}` AS double) AS `{f}`" for f in weights])
     sums, rows = [], []
     for i, (name, w) in enumerate([*weights.items(), ("intercept", None)]):

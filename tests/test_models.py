@@ -1,5 +1,6 @@
 import datetime as dt
 import sys
+import warnings
 
 import numpy as np
 import pytest
@@ -144,6 +145,36 @@ def test_almost_constant_columns_are_scored_at_the_optimum(lopsided, lopsided_fr
     assert got == pytest.approx({f"k{i}": p for i, p in enumerate(want)}, abs=1e-9)
 
 
+def test_constant_columns_weigh_nothing(lopsided, lopsided_frame):
+    x, y = lopsided
+    names = [f"f{j}" for j in range(x.shape[1])]
+    fixed = {"most": 99.0, "ratio": 0.99, "nought": 0.0}
+    rows = lopsided_frame.withColumns({name: F.lit(value) for name, value in fixed.items()})
+    weights, intercept = models.linear_weights(models.fit_lr(rows, [*names[:6], *fixed, *names[6:]], tolerance=1e-10))
+    assert [weights[name] for name in fixed] == [0.0] * len(fixed)
+    assert [*[weights[name] for name in names], intercept] == pytest.approx(list(scaled_optimum(x, y, 0.25)), rel=1e-6)
+
+
+def test_rows_far_from_the_border_come_to_rest(spark):
+    """Labels that one column tells apart, over many powers of ten."""
+    x = np.random.default_rng(39).lognormal(0, 4, (20, 2))
+    y = x[:, 0] >= np.sort(x[:, 0])[-2]
+    rows = [(*map(float, r), int(t)) for r, t in zip(x, y)]
+    frame = cut_lineage(spark.createDataFrame(rows, "a double, b double, target int"))
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message=".*before they were at rest")
+        model = models.fit_lr(frame, FEATURES, max_iter=50)
+    got = models.score_model(frame, model).select("target", "predict_proba_1").collect()
+    assert all((r.predict_proba_1 > 0.5) == r.target for r in got)
+
+
+def test_labels_all_alike_are_scored(frame):
+    for label in (0, 1):
+        alike = frame.withColumn("target", F.lit(label))
+        scored = models.score_model(alike, models.fit_lr(alike, FEATURES))
+        assert [tuple(r) for r in scored.select("predict_proba_1").distinct().collect()] == [(float(label),)]
+
+
 def test_labels_all_alike_leave_an_intercept(frame):
     for label in (0, 1):
         alike = frame.withColumn("target", F.lit(label))
